@@ -37,12 +37,10 @@ def term_frequencies(docs: DataFrame, key: str, text: Column) -> DataFrame:
     The words of a row are sorted and cut into runs within the row, so nothing
     is shuffled to count them.
     """
-    listed = docs.select(key, F.array_sort(words(text)).alias("w"))
-    listed = listed.filter(F.size("w") > 0)
-    starts = F.filter(
-        F.sequence(F.lit(0), F.size("w") - 1),
-        lambda i: (i == 0) | (F.get("w", i) != F.get("w", i - 1)),
-    )
+    listed = docs.select(key, F.sort_array(words(text)).alias("w"))
+    is_start = lambda word, i: (i == 0) | (word != F.get("w", i - 1))
+    marks = F.transform("w", lambda word, i: F.when(is_start(word, i), i))
+    starts = F.filter(marks, lambda i: i.isNotNull())
     listed = listed.select(key, "w", starts.alias("s"))
     runs = F.transform(
         "s",
@@ -54,9 +52,10 @@ def term_frequencies(docs: DataFrame, key: str, text: Column) -> DataFrame:
     return listed.select(key, F.inline(runs))
 
 
-def vocabulary(terms: DataFrame) -> DataFrame:
+def vocabulary(docs: DataFrame, text: Column) -> DataFrame:
     """Documents per token."""
-    return terms.groupBy("token").agg(F.count("*").alias("df"))
+    tokens = docs.select(F.explode(F.array_distinct(words(text))).alias("token"))
+    return tokens.groupBy("token").agg(F.count("*").alias("df"))
 
 
 def idf(n_docs: int, df: Column) -> Column:
@@ -91,8 +90,9 @@ def match_text(
     limit = clamp(limit, MATCH_LIMIT_MAX)
     spark = docs.sparkSession
 
-    terms = term_frequencies(docs, "resume_id", F.col("clean_text"))
-    vocab = stage(vocabulary(terms), "vocabulary")
+    text = F.col("clean_text")
+    terms = term_frequencies(docs, "resume_id", text)
+    vocab = stage(vocabulary(docs, text), "vocabulary")
     n_docs = docs.count()
 
     # The query is one short text, so its words are few.
@@ -143,7 +143,7 @@ def match_text(
             "resume_id",
             "category",
             score_of(F.col("cosine")).alias("match_score"),
-            snippet(F.col("clean_text")).alias("snippet"),
+            snippet(text).alias("snippet"),
         )
     )
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vitaelake.sources.staging import sized, stage
 
-_SLICE = "__slice"
+_GROUP, _SLICE, _OFFSET = "__group", "__slice", "__offset"
 
 
 def match_all(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
@@ -72,23 +72,19 @@ def number_rows(
     is its number within the slice plus the rows of the slices before it.
     """
     group, order = list(group), list(order)
-    # Staged, so that all readers see the same slices.
+    # Staged, so that all readers see the same slices. As a struct the group is
+    # never NULL, and the join below can use the partitioning of the window.
     sliced = stage(
-        df.repartitionByRange(*group, *order).withColumn(_SLICE, F.spark_partition_id()),
+        df.repartitionByRange(*group, *order).withColumns(
+            {_GROUP: F.struct(*group), _SLICE: F.spark_partition_id()}
+        ),
         "slices",
     )
-    keys = [*group, _SLICE]
+    keys = [_GROUP, _SLICE]
     counted = sliced.groupBy(*keys).agg(F.count("*").alias("rows"))
-    offsets = sized(
-        stage(
-            counts_before(counted, group, [F.col(_SLICE)]).select(*keys, "before"),
-            "slice-offsets",
-        )
-    )
-    local = sliced.withColumn(
-        name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    )
-    joined = local.join(offsets, match_all(local, offsets, keys))
-    return joined.select(
-        *(local[c] for c in df.columns), (local[name] + offsets["before"]).alias(name)
+    offsets = counts_before(counted, [_GROUP], [F.col(_SLICE)]).select(
+        *keys, F.col("before").alias(_OFFSET)
     )
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    joined = sliced.withColumn(name, nth).join(offsets, keys)
+    return joined.select(*df.columns, (F.col(name) + F.col(_OFFSET)).alias(name))

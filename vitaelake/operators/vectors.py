@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import reduce
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import Normalizer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitaelake.sources.staging import sized, stage
+from vitaelake.sources.staging import stage
 
 QUERY_BLOCK = 1024
+TRAINING_ROWS_PER_CELL = 256
 
 # Cosines are compared at this precision, so that copies of a vector tie and
 # fall back on the id whatever order their products were added in.
@@ -54,8 +57,16 @@ def _best(
 
 
 def _scan(
-    query_ids: list, queries: np.ndarray, k: int, skip_self: bool
+    query_ids: list,
+    queries: np.ndarray,
+    k: int,
+    skip_self: bool,
+    probed: np.ndarray | None = None,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Running top k per query over id, vector and, if ``probed``, cell.
+
+    ``probed[cell, query]`` tells which cells count for which query.
+    """
     units = _unit(queries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,12 +76,14 @@ def _scan(
                 continue
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             cosines = np.round(_unit(_matrix(batch.column(1))) @ units.T, _DIGITS)
+            usable = ~np.isnan(cosines)
+            if probed is not None:
+                usable &= probed[batch.column(2).to_numpy()]
             for at, query in enumerate(query_ids):
-                cosine = cosines[:, at]
-                keep = ~np.isnan(cosine)
+                keep = usable[:, at]
                 if skip_self:
-                    keep &= ids != query
-                found = ids[keep], cosine[keep]
+                    keep = keep & (ids != query)
+                found = ids[keep], cosines[keep, at]
                 if best[at] is not None:
                     found = tuple(map(np.concatenate, zip(best[at], found)))
                 best[at] = _best(*found, k)
@@ -94,6 +107,26 @@ def _top_k(pairs: DataFrame, k: int) -> DataFrame:
     )
 
 
+def _blocks(queries: DataFrame, size: int) -> Iterator[tuple[list, np.ndarray]]:
+    """Ids and vectors of the queries, at most ``size`` at a time."""
+    rows = queries.select("vec_id", "embedding").filter("embedding IS NOT NULL")
+    stream = stage(rows, "query-vectors").toLocalIterator(prefetchPartitions=True)
+    while taken := list(islice(stream, size)):
+        matrix = np.array([r["embedding"] for r in taken], dtype=np.float64)
+        yield [r["vec_id"] for r in taken], matrix
+
+
+def _search(
+    usable: DataFrame, scans: Iterator[tuple[DataFrame, Callable]], k: int
+) -> DataFrame:
+    kind = usable.schema["vec_id"].dataType.simpleString()
+    schema = f"query_id {kind}, vec_id {kind}, cosine double"
+    found = [rows.mapInArrow(scan, schema) for rows, scan in scans]
+    if not found:
+        return _top_k(usable.sparkSession.createDataFrame([], schema), k)
+    return _top_k(reduce(DataFrame.unionByName, found), k)
+
+
 def match_vectors(
     vectors: DataFrame,
     queries: DataFrame,
@@ -109,73 +142,87 @@ def match_vectors(
     vectors are shuffled. A block holds at most ``block`` query vectors; a
     larger query set costs one scan per block, not more memory.
     """
-    kind = vectors.schema["vec_id"].dataType.simpleString()
     usable = vectors.select("vec_id", "embedding").filter("embedding IS NOT NULL")
-    rows = queries.select("vec_id", "embedding").filter("embedding IS NOT NULL")
-    schema = f"query_id {kind}, vec_id {kind}, cosine double"
+    scans = (
+        (usable, _scan(ids, matrix, k, skip_self)) for ids, matrix in _blocks(queries, block)
+    )
+    return _search(usable, scans, k)
 
-    stream = rows.toLocalIterator()
-    scans = []
-    while taken := list(islice(stream, block)):
-        matrix = np.array([r["embedding"] for r in taken], dtype=np.float64)
-        scan = _scan([r["vec_id"] for r in taken], matrix, k, skip_self)
-        scans.append(usable.mapInArrow(scan, schema))
-    if not scans:
-        return _top_k(vectors.sparkSession.createDataFrame([], schema), k)
-    return _top_k(reduce(DataFrame.unionByName, scans), k)
+
+@dataclass(frozen=True)
+class VectorIndex:
+    """Vectors stored by cell, and the centre of each cell."""
+
+    rows: DataFrame
+    centres: np.ndarray
+
+
+def build_vector_index(
+    vectors: DataFrame, path: str, cells: int = 64, seed: int = 42
+) -> VectorIndex:
+    """Store the vectors by their nearest of ``cells`` k-means centres.
+
+    The centres are trained on a sample, since they only steer which files a
+    search opens; every vector is stored. A cell is a folder of files, so a
+    crowded one is read by many tasks.
+    """
+    spark = vectors.sparkSession
+    dense = array_to_vector(F.col("embedding").cast("array<double>"))
+    raw = vectors.filter("embedding IS NOT NULL").select(
+        "vec_id", "embedding", dense.alias("raw")
+    )
+    units = Normalizer(inputCol="raw", outputCol="unit", p=2.0).transform(raw)
+    share = min(1.0, TRAINING_ROWS_PER_CELL * cells / max(1, raw.count()))
+    training = stage(units.sample(share, seed).select("unit"), "training-vectors")
+    model = KMeans(featuresCol="unit", predictionCol="cell", k=cells, seed=seed).fit(training)
+    model.transform(units).select("vec_id", "embedding", "cell").write.partitionBy(
+        "cell"
+    ).parquet(path)
+    schema = raw.select("vec_id", "embedding").schema.add("cell", "integer")
+    return VectorIndex(
+        spark.read.schema(schema).parquet(path), np.array(model.clusterCenters())
+    )
 
 
 def match_vectors_approx(
-    vectors: DataFrame,
+    index: VectorIndex,
     queries: DataFrame,
     k: int = 10,
     skip_self: bool = False,
-    bucket_length: float = 0.5,
-    tables: int = 24,
-    seed: int = 42,
-) -> tuple[DataFrame, DataFrame]:
-    """Approximate top k through random-projection buckets.
-
-    Returns the matches and the pairs that were compared, so that the caller
-    can hold recall against the work done. The buckets of the queries go to the
-    vectors by broadcast if they fit; a vector is then compared where it lies.
+    probes: int = 8,
+    block: int = QUERY_BLOCK,
+) -> DataFrame:
+    """Top k among the vectors in the ``probes`` cells nearest to a query.
+
+    Only folders of probed cells are read. With all cells probed the answer is
+    exact; ``pairs_examined`` tells the work that fewer cells save.
     """
-    scale = Normalizer(inputCol="raw", outputCol="unit", p=2.0)
-
-    def units(df: DataFrame, name: str) -> DataFrame:
-        dense = F.col("embedding").cast("array<double>")
-        raw = df.filter("embedding IS NOT NULL").select(
-            F.col("vec_id").alias(name), array_to_vector(dense).alias("raw")
-        )
-        return scale.transform(raw).drop("raw")
-
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="unit",
-        outputCol="hashes",
-        bucketLength=bucket_length,
-        numHashTables=tables,
-        seed=seed,
-    )
-    left = units(vectors, "vec_id")
-    model = lsh.fit(left)
-
-    def buckets(df: DataFrame, name: str, unit: str) -> DataFrame:
-        return model.transform(df).select(
-            name,
-            vector_to_array("unit").alias(unit),
-            F.posexplode("hashes").alias("entry", "bucket"),
-        )
-
-    asked = sized(stage(buckets(units(queries, "query_id"), "query_id", "b"), "query-buckets"))
-    found = buckets(left, "vec_id", "a").join(asked, ["entry", "bucket"])
-    if skip_self:
-        found = found.filter("query_id <> vec_id")
-    products = F.zip_with("a", "b", lambda x, y: x * y)
-    cosine = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
-    # A pair that meets in several tables does so within one task.
-    pairs = (
-        found.select("query_id", "vec_id", F.round(cosine, _DIGITS).alias("cosine"))
-        .groupBy("query_id", "vec_id")
-        .agg(F.max("cosine").alias("cosine"))
-    )
-    return _top_k(pairs, k), pairs
+
+    def scans() -> Iterator[tuple[DataFrame, Callable]]:
+        for ids, matrix in _blocks(queries, block):
+            probed = _probed(index, matrix, probes)
+            cells = np.flatnonzero(probed.any(axis=1)).tolist()
+            yield (
+                index.rows.filter(F.col("cell").isin(cells)),
+                _scan(ids, matrix, k, skip_self, probed),
+            )
+
+    return _search(index.rows, scans(), k)
+
+
+def _probed(index: VectorIndex, queries: np.ndarray, probes: int) -> np.ndarray:
+    near = np.argsort(-(_unit(index.centres) @ _unit(queries).T), axis=0)[:probes]
+    probed = np.zeros((len(index.centres), len(queries)), dtype=bool)
+    np.put_along_axis(probed, near, True, axis=0)
+    return probed
+
+
+def pairs_examined(
+    index: VectorIndex, queries: DataFrame, probes: int = 8, block: int = QUERY_BLOCK
+) -> int:
+    """Query-vector pairs that ``match_vectors_approx`` compares."""
+    sizes = np.zeros(len(index.centres), dtype=np.int64)
+    for row in index.rows.groupBy("cell").count().collect():
+        sizes[row["cell"]] = row["count"]
+    blocks = _blocks(queries, block)
+    return int(sum(sizes @ _probed(index, m, probes).sum(axis=1) for _, m in blocks))

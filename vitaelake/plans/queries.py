@@ -213,8 +213,9 @@ def match_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def match_vectors_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = _table(spark, sf_dir, "embeddings")
-    matches, _ = vectors.match_vectors_approx(embeddings, label_centroids(embeddings), k=10)
-    return matches
+    path = f"{shared_dir(spark)}/vector-index-{uuid.uuid4().hex}"
+    index = vectors.build_vector_index(embeddings, path, cells=16)
+    return vectors.match_vectors_approx(index, label_centroids(embeddings), k=10, probes=12)
 
 
 @_query

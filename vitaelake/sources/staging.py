@@ -19,13 +19,13 @@ BROADCAST_MAX_ROWS = 1_000_000
 SPREAD_BYTES_PER_CORE = 64 * 1024 * 1024
 
 _local_dirs: dict[str, str] = {}
+_staged: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; a temporary folder only in local mode."""
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    configured = configured or context.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
     if not context.master.startswith("local"):
@@ -41,10 +41,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write the rows to a fresh folder of the shared directory, read them back."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage/{name}-{uuid.uuid4().hex}"
+    _staged.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the tables staged so far. No frame built on them may be in use."""
+    jvm, configuration = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _staged:
+        folder = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        folder.getFileSystem(configuration).delete(folder, True)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate; for a file scan it is the size of the files."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
@@ -52,7 +61,7 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def fits_broadcast(staged: DataFrame) -> bool:
-    """Whether a staged table is small enough to copy to every executor."""
+    """Whether a staged table, or a part of it, may go to every executor."""
     if estimated_bytes(staged) > BROADCAST_MAX_BYTES:
         return False
     return staged.count() <= BROADCAST_MAX_ROWS
