@@ -110,5 +110,5 @@ def test_staged_tables_lie_in_the_folder_the_session_names(spark, monkeypatch, t
 def test_large_inputs_are_not_spread(spark, monkeypatch):
     df = spark.range(10)
     assert staging.spread(df, "id") is not df
-    monkeypatch.setattr(staging, "SPREAD_BYTES_PER_CORE", 1)
+    monkeypatch.setattr(staging, "SPREAD_BYTES_PER_TASK", 1)
     assert staging.spread(df, "id") is df

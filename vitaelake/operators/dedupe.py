@@ -3,19 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitaelake.sources.staging import sized, stage
 
-_KEY, _FIRST, _ORDER = "__key", "__first", "__order"
-
-
-def _same_key(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> Column:
-    matches = (df[k].eqNullSafe(other[_KEY][k]) for k in keys)
-    return reduce(lambda x, y: x & y, matches)
+_KEY, _FIRST, _COPIES, _NTH = "__key", "__first", "__copies", "__nth"
 
 
 def dedupe(
@@ -26,41 +20,42 @@ def dedupe(
 ) -> DataFrame:
     """Keep per key the row that comes first by ``order``.
 
-    Wide rows are not shuffled: the repeated keys are found on key and order
-    columns alone, with partial aggregation, and joined back by broadcast if
-    their staged table is small. ``probe`` may name a narrow frame with the
-    same keys and orders, such as a staged table. NULL keys count as equal.
-    Order values are compared as Spark sorts them, NULL first.
+    Wide rows are not shuffled: the repeated keys are found on the key columns
+    alone, with partial aggregation, and joined back by broadcast if their
+    staged table is small. ``probe`` may name a narrow frame with the same keys
+    and orders, such as a staged table. NULL keys count as equal. Order values
+    are compared as Spark sorts them, NULL first.
     """
-    keys, order = list(keys), list(order)
-    narrow = (probe if probe is not None else df).select(*dict.fromkeys(keys + order))
-    repeated = stage(
-        narrow.groupBy(F.struct(*keys).alias(_KEY))
-        .agg(
-            F.count("*").alias("__rows"),
-            F.min(F.struct(*order)).alias(_FIRST),
-        )
-        .filter("__rows > 1")
-        .select(_KEY, _FIRST),
-        "repeated-keys",
+    # Structs are never NULL and compare NULL fields as equal.
+    key, position = F.struct(*keys), F.struct(*order)
+    narrow = (probe if probe is not None else df).select(
+        key.alias(_KEY), position.alias(_FIRST)
     )
+    repeated = narrow.groupBy(_KEY).count().filter("count > 1").select(_KEY)
+    repeated = stage(repeated, "repeated-keys")
     if repeated.isEmpty():
         return df
-    hint = sized(repeated)
 
-    def is_first(side: DataFrame) -> Column:
-        return F.struct(*(side[c] for c in order)).eqNullSafe(hint[_FIRST])
-
-    winners = narrow.join(hint, _same_key(narrow, hint, keys) & is_first(narrow))
-    tied = not winners.groupBy(_KEY).count().filter("count > 1").isEmpty()
-    if not tied:
-        kept = df.join(hint, _same_key(df, hint, keys), "left")
-        return kept.filter(hint[_KEY].isNull() | is_first(df)).select(*df.columns)
+    copies = F.count("*").alias(_COPIES)
+    firsts = stage(
+        narrow.join(sized(repeated), _KEY, "left_semi")
+        .groupBy(_KEY, _FIRST)
+        .agg(copies)
+        .groupBy(_KEY)
+        .agg(F.min(_FIRST).alias(_FIRST), F.min_by(_COPIES, _FIRST).alias(_COPIES)),
+        "first-of-repeated-keys",
+    )
+    first = sized(firsts)
+    same_key = key == first[_KEY]
+    is_first = position == first[_FIRST]
+    if firsts.filter(F.col(_COPIES) > 1).isEmpty():
+        kept = df.join(first, same_key, "left").filter(first[_KEY].isNull() | is_first)
+        return kept.select(*(df[c] for c in df.columns))
 
     # Rows alike in key and order: only these go through a window, and its
     # limit of one is applied before the shuffle.
-    alone = df.join(hint, _same_key(df, hint, keys), "left_anti")
-    chosen = df.join(hint, _same_key(df, hint, keys) & is_first(df)).select(*df.columns)
+    alone = df.join(first, same_key, "left_anti")
+    chosen = df.join(first, same_key & is_first).select(*(df[c] for c in df.columns))
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    chosen = chosen.withColumn(_ORDER, nth).filter(F.col(_ORDER) == 1).drop(_ORDER)
+    chosen = chosen.withColumn(_NTH, nth).filter(F.col(_NTH) == 1).drop(_NTH)
     return alone.unionByName(chosen)

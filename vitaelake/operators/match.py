@@ -7,7 +7,8 @@ model would; with an embedding function of your own, keep a vector table by
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import math
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -31,16 +32,24 @@ def clamp(limit: int, most: int) -> int:
     return max(1, min(int(limit), most))
 
 
-def term_frequencies(docs: DataFrame, key: str, text: Column) -> DataFrame:
+def term_frequencies(
+    docs: DataFrame, key: str, text: Column, sharing: Sequence[str] | None = None
+) -> DataFrame:
     """One row per document and distinct word: key, ``token``, ``tf``.
 
     The words of a row are sorted and cut into runs within the row, so nothing
-    is shuffled to count them.
+    is shuffled to count them. With ``sharing``, only documents that hold one
+    of these words are listed, all their words included.
     """
     listed = docs.select(key, F.sort_array(words(text)).alias("w"))
     is_start = lambda word, i: (i == 0) | (word != F.get("w", i - 1))
     marks = F.transform("w", lambda word, i: F.when(is_start(word, i), i))
     starts = F.filter(marks, lambda i: i.isNotNull())
+    if sharing is not None:
+        # An emptied list rather than a filter, which would be pushed below
+        # the tokenising and repeat it.
+        shared = F.arrays_overlap("w", F.array(*map(F.lit, sharing)))
+        starts = F.when(shared, starts).otherwise(F.array().cast("array<int>"))
     listed = listed.select(key, "w", starts.alias("s"))
     runs = F.transform(
         "s",
@@ -91,7 +100,6 @@ def match_text(
     spark = docs.sparkSession
 
     text = F.col("clean_text")
-    terms = term_frequencies(docs, "resume_id", text)
     vocab = stage(vocabulary(docs, text), "vocabulary")
     n_docs = docs.count()
 
@@ -100,17 +108,19 @@ def match_text(
         spark.createDataFrame([("query", query_text)], "id string, text string"),
         "id",
         F.col("text"),
-    ).select("token", F.col("tf").alias("query_tf"))
-    known = vocab.join(F.broadcast(asked), "token")
-    asked = asked.join(known.select("token", "df"), "token", "left").select(
-        "token",
-        (F.col("query_tf") * idf(n_docs, F.coalesce("df", F.lit(0)))).alias("query_weight"),
+    ).collect()
+    counts = {r["token"]: r["tf"] for r in asked}
+    known = vocab.filter(F.col("token").isin(list(counts))).collect()
+    holders = {r["token"]: r["df"] for r in known}
+    asked_weights = [
+        (token, tf * math.log((1 + n_docs) / (1 + holders.get(token, 0))))
+        for token, tf in counts.items()
+    ]
+    query_norm = math.sqrt(sum(w * w for _, w in asked_weights))
+    weights = spark.createDataFrame(
+        asked_weights if query_norm else [], "token string, query_weight double"
     )
-    asked_rows = asked.collect()
-    query_norm = sum(r["query_weight"] ** 2 for r in asked_rows) ** 0.5
-    if query_norm == 0:
-        asked_rows = []
-    weights = spark.createDataFrame(asked_rows, "token string, query_weight double")
+    terms = term_frequencies(docs, "resume_id", text, sharing=list(holders))
 
     weight = F.col("tf") * idf(n_docs, F.col("df"))
     best = (

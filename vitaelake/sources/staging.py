@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 BROADCAST_MAX_BYTES = 16 * 1024 * 1024
 BROADCAST_MAX_ROWS = 1_000_000
-SPREAD_BYTES_PER_CORE = 64 * 1024 * 1024
+SPREAD_TASKS = 64
+SPREAD_BYTES_PER_TASK = 64 * 1024 * 1024
 
 _local_dirs: dict[str, str] = {}
 _staged: list[str] = []
@@ -79,9 +80,10 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Give every core a share of an input that has too few file splits.
 
     A file is split by row group, so a small table in one file would be scored
-    by one task. Inputs of real size have splits enough and are not shuffled.
+    by one task. Inputs above a few gigabytes have splits enough and are not
+    shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) >= cores * SPREAD_BYTES_PER_CORE:
+    tasks = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_TASKS)
+    if estimated_bytes(df) >= tasks * SPREAD_BYTES_PER_TASK:
         return df
-    return df.repartition(min(cores, 64), key)
+    return df.repartition(tasks, key)
