@@ -117,8 +117,9 @@ def test_match_text(spark, monkeypatch, way):
         monkeypatch.setattr(match, "COMMON_TERM_SHARE", 3)
         assert staging.fits_broadcast is real
     docs = spark.createDataFrame(DOCS, "resume_id string, category string, clean_text string")
+    statistics = match.term_statistics(docs)
     for query in ("data team led", "unknown data", "ÉLED!"):
-        got = match.match_text(docs.repartition(3), query, 5).collect()
+        got = match.match_text(docs.repartition(3), query, 5, statistics).collect()
         assert [(r["resume_id"], r["match_score"]) for r in got] == plain_scores(DOCS, query)[:5]
     assert got[0]["snippet"] == "éled ÉLED" and got[0]["category"] == "HR"
     assert match.match_text(docs, "nowhere", 5).count() == 0

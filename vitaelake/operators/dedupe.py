@@ -33,22 +33,23 @@ def dedupe(
     )
     repeated = narrow.groupBy(_KEY).count().filter("count > 1").select(_KEY)
     repeated = stage(repeated, "repeated-keys")
-    if repeated.isEmpty():
+    n_repeated = repeated.count()
+    if n_repeated == 0:
         return df
 
     copies = F.count("*").alias(_COPIES)
     firsts = stage(
-        narrow.join(sized(repeated), _KEY, "left_semi")
+        narrow.join(sized(repeated, n_repeated), _KEY, "left_semi")
         .groupBy(_KEY, _FIRST)
         .agg(copies)
         .groupBy(_KEY)
         .agg(F.min(_FIRST).alias(_FIRST), F.min_by(_COPIES, _FIRST).alias(_COPIES)),
         "first-of-repeated-keys",
     )
-    first = sized(firsts)
+    first = sized(firsts, n_repeated)
     same_key = key == first[_KEY]
     is_first = position == first[_FIRST]
-    if firsts.filter(F.col(_COPIES) > 1).isEmpty():
+    if firsts.agg(F.max(_COPIES)).first()[0] == 1:
         kept = df.join(first, same_key, "left").filter(first[_KEY].isNull() | is_first)
         return kept.select(*(df[c] for c in df.columns))
 

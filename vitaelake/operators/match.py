@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -67,6 +68,20 @@ def vocabulary(docs: DataFrame, text: Column) -> DataFrame:
     return tokens.groupBy("token").agg(F.count("*").alias("df"))
 
 
+@dataclass(frozen=True)
+class TermStatistics:
+    """What the weights need to know of all documents, as a stored table."""
+
+    vocabulary: DataFrame
+    n_docs: int
+
+
+def term_statistics(docs: DataFrame) -> TermStatistics:
+    """Count the terms once, for any number of ``match_text`` calls."""
+    counted = vocabulary(docs, F.col("clean_text"))
+    return TermStatistics(stage(counted, "vocabulary"), docs.count())
+
+
 def idf(n_docs: int, df: Column) -> Column:
     return F.log(F.lit(float(1 + n_docs)) / (df + 1))
 
@@ -86,7 +101,10 @@ def _with_df(terms: DataFrame, vocab: DataFrame, n_docs: int) -> DataFrame:
 
 
 def match_text(
-    docs: DataFrame, query_text: str, limit: int = MATCH_LIMIT_DEFAULT
+    docs: DataFrame,
+    query_text: str,
+    limit: int = MATCH_LIMIT_DEFAULT,
+    statistics: TermStatistics | None = None,
 ) -> DataFrame:
     """Best documents for a text: id, category, score 0 to 1, and snippet.
 
@@ -100,8 +118,8 @@ def match_text(
     spark = docs.sparkSession
 
     text = F.col("clean_text")
-    vocab = stage(vocabulary(docs, text), "vocabulary")
-    n_docs = docs.count()
+    statistics = statistics or term_statistics(docs)
+    vocab, n_docs = statistics.vocabulary, statistics.n_docs
 
     # The query is one short text, so its words are few.
     asked = term_frequencies(

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from vitaelake.sources.staging import sized, stage
 
+WINDOW_MAX_ROWS = 1_000_000
+
 _GROUP, _SLICE, _OFFSET = "__group", "__slice", "__offset"
 
 
@@ -64,14 +66,24 @@ def top_ranked(
 
 
 def number_rows(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], name: str
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    name: str,
+    largest: int | None = None,
 ) -> DataFrame:
-    """Exact ``row_number()`` for groups too large for one task.
+    """Exact ``row_number()`` also for groups too large for one task.
 
     Range partitioning cuts a group into slices along the order; a row's number
-    is its number within the slice plus the rows of the slices before it.
+    is its number within the slice plus the rows of the slices before it. A
+    plain window does where ``largest``, the rows of the largest group, is
+    known to fit into a task.
     """
     group, order = list(group), list(order)
+    if largest is not None and largest <= WINDOW_MAX_ROWS:
+        nth = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+        return df.withColumn(name, nth.cast("bigint"))
+
     # Staged, so that all readers see the same slices. As a struct the group is
     # never NULL, and the join below can use the partitioning of the window.
     sliced = stage(

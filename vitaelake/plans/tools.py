@@ -14,7 +14,7 @@ from vitaelake.config import (
     SEARCH_LIMIT_MAX,
     SHORTLIST_LIMIT_DEFAULT,
 )
-from vitaelake.operators.match import clamp, match_text
+from vitaelake.operators.match import TermStatistics, clamp, match_text
 from vitaelake.operators.shortlist import record_action
 
 shortlist_candidate = record_action
@@ -53,11 +53,14 @@ def search_resumes(
 
 
 def find_matching_resumes(
-    silver: DataFrame, job_description: str, limit: int = MATCH_LIMIT_DEFAULT
+    silver: DataFrame,
+    job_description: str,
+    limit: int = MATCH_LIMIT_DEFAULT,
+    statistics: TermStatistics | None = None,
 ) -> DataFrame:
     """Résumés whose text is closest to the description, closest first."""
     docs = silver.select("resume_id", "category", "clean_text")
-    return match_text(docs, job_description, limit)
+    return match_text(docs, job_description, limit, statistics)
 
 
 def get_shortlist(

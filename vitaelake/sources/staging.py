@@ -61,19 +61,22 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
-def fits_broadcast(staged: DataFrame) -> bool:
-    """Whether a staged table, or a part of it, may go to every executor."""
+def fits_broadcast(staged: DataFrame, rows: int | None = None) -> bool:
+    """Whether a staged table, or a part of it, may go to every executor.
+
+    ``rows`` saves the count where the caller knows it.
+    """
     if estimated_bytes(staged) > BROADCAST_MAX_BYTES:
         return False
-    return staged.count() <= BROADCAST_MAX_ROWS
+    return (staged.count() if rows is None else rows) <= BROADCAST_MAX_ROWS
 
 
-def sized(staged: DataFrame) -> DataFrame:
+def sized(staged: DataFrame, rows: int | None = None) -> DataFrame:
     """Mark a staged table for broadcast if it fits.
 
     If it does not, the join shuffles and adaptive execution splits hot keys.
     """
-    return F.broadcast(staged) if fits_broadcast(staged) else staged
+    return F.broadcast(staged) if fits_broadcast(staged, rows) else staged
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
