@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from vitaelake.config import EMAIL_PATTERN, LEADERSHIP, SENIORITY, Lexicon
+from vitaelake.config import EMAIL_PATTERN, LEADERSHIP, PHONE_PATTERN, SENIORITY, Lexicon
 from vitaelake.functions.extract import extract_text
 from vitaelake.functions.paths import category_of, resume_id_of
 from vitaelake.functions.text import (
@@ -84,6 +84,36 @@ def test_alternation_only_where_terms_cannot_overlap(spark):
         term_hits(F.lit("a"), [""])
 
 
+@pytest.mark.parametrize(
+    "lexicon",
+    [
+        Lexicon(("head of", "head"), ("state",)),
+        Lexicon(("head",), ("head of", "of")),
+        Lexicon(("head", "of"), ("head",)),
+        Lexicon((), ("of",)),
+        Lexicon(("Head",), ()),
+        Lexicon(("head", "of"), ("state", "no.thing")),
+    ],
+)
+def test_score_is_the_difference_of_the_sides(spark, lexicon):
+    texts = ["head of state head of head", "Head, of-of no.thing nothing", "", None]
+    got = evaluate(
+        spark,
+        texts,
+        lambda v: lexicon_score(v, lexicon),
+        lambda v: term_hits(v, lexicon.plus) - term_hits(v, lexicon.minus),
+    )
+    plain = [
+        None if t is None else sum(
+            sign * len(re.findall(rf"\b{re.escape(term.lower())}\b", t.lower()))
+            for sign, side in ((1, lexicon.plus), (-1, lexicon.minus))
+            for term in side
+        )
+        for t in texts
+    ]
+    assert got == [(n, n) for n in plain]
+
+
 def test_contacts(spark):
     texts = [
         "x a.b@c.org",
@@ -102,6 +132,7 @@ def test_contacts(spark):
     got = evaluate(spark, texts, has_email, has_phone)
     phones = [False, True, True, False, False, True] + [False] * 6
     assert got == [(bool(re.search(EMAIL_PATTERN, t)), p) for t, p in zip(texts, phones)]
+    assert phones == [bool(re.search(PHONE_PATTERN, t)) for t in texts]
 
 
 def test_snippet(spark):

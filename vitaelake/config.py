@@ -27,10 +27,11 @@ PHONE_PATTERN = r"\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}"
 CATEGORY_PATTERN = r"[A-Za-z\-]+"
 QUARANTINE_REASON = "empty_or_null_extracted_text"
 
-# A search only asks whether the pattern occurs, and then one character of the
-# local part is as good as a run of them. Without the run a long token that has
-# no "@" costs linear instead of quadratic time.
+# A search only asks whether a pattern occurs. One character of the local part
+# is then as good as a run of them, which makes a long token without "@" cost
+# linear instead of quadratic time, and an optional first character says nothing.
 EMAIL_SEARCH_PATTERN = r"[A-Za-z0-9._%+-]@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+PHONE_SEARCH_PATTERN = r"\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}"
 
 TOP_N_PER_CATEGORY = 10
 LENGTH_BUCKETS = ("short", "medium", "long")

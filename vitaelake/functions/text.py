@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from vitaelake.config import (
     EMAIL_SEARCH_PATTERN,
-    PHONE_PATTERN,
+    PHONE_SEARCH_PATTERN,
     SNIPPET_CHARS,
     Lexicon,
 )
 
-# Every whitespace run but the single space, which needs no replacement.
-_WHITESPACE_RUN = r"[\t\n\x0B\f\r]\s*| \s+"
+# Every whitespace run but the single space, which needs no replacement: two or
+# more characters, or one that is no space.
+_WHITESPACE_RUN = r"\s(?:\s++|(?<! ))"
 
 
 def clean_text(raw: Column) -> Column:
@@ -39,8 +40,9 @@ def is_unreadable(raw: Column, min_words: int = 1) -> Column:
 
 def word_count(clean: Column) -> Column:
     """Words of a text that ``clean_text`` produced, counted by its spaces."""
-    gapless = F.length(F.replace(clean, F.lit(" "), F.lit("")))
-    return F.length(clean) - gapless + F.lit(1)
+    # A space is one byte, and bytes need no decoding.
+    gapless = F.octet_length(F.replace(clean, F.lit(" "), F.lit("")))
+    return F.octet_length(clean) - gapless + F.lit(1)
 
 
 def _is_word(ch: str) -> bool:
@@ -82,23 +84,37 @@ def _term_pattern(terms: Sequence[str]) -> str:
     return rf"(?U)(?=[{firsts}])\b(?:{body})\b"
 
 
+def _one_scan(terms: Sequence[str]) -> bool:
+    """Whether a single alternation counts the terms as one scan each would."""
+    return len(set(terms)) == len(terms) and not terms_can_overlap(terms)
+
+
+def _lowered(terms: Sequence[str]) -> list[str]:
+    if any(not t for t in terms):
+        raise ValueError("a term must not be empty")
+    return [t.lower() for t in terms]
+
+
 def term_hits(text: Column, terms: Sequence[str]) -> Column:
     """Whole-word, case-blind hits of all terms in the text."""
-    unique = [t.lower() for t in terms]
-    if any(not t for t in unique):
-        raise ValueError("a term must not be empty")
-    if not unique:
+    terms = _lowered(terms)
+    if not terms:
         return F.lit(0)
-    lowered = F.lower(text)
-    repeated = len(set(unique)) < len(unique)
-    groups = [[t] for t in unique] if repeated or terms_can_overlap(unique) else [unique]
-    counts = [F.regexp_count(lowered, F.lit(_term_pattern(g))) for g in groups]
+    groups = [terms] if _one_scan(terms) else [[t] for t in terms]
+    counts = [F.regexp_count(F.lower(text), F.lit(_term_pattern(g))) for g in groups]
     return reduce(lambda x, y: x + y, counts)
 
 
 def lexicon_score(text: Column, lexicon: Lexicon) -> Column:
     """Hits of the raising terms minus hits of the lowering terms."""
-    return term_hits(text, lexicon.plus) - term_hits(text, lexicon.minus)
+    plus, minus = _lowered(lexicon.plus), _lowered(lexicon.minus)
+    if not plus or not minus or not _one_scan(plus + minus):
+        return term_hits(text, plus) - term_hits(text, minus)
+    # The text is scanned once for both sides; the few hits are then told apart.
+    pattern = F.lit(_term_pattern(plus + minus))
+    hits = F.regexp_extract_all(F.lower(text), pattern, F.lit(0))
+    raising = reduce(F.array_remove, minus, hits)
+    return F.size(raising) * 2 - F.size(hits)
 
 
 def has_email(text: Column) -> Column:
@@ -106,7 +122,7 @@ def has_email(text: Column) -> Column:
 
 
 def has_phone(text: Column) -> Column:
-    return text.rlike(PHONE_PATTERN)
+    return text.rlike(PHONE_SEARCH_PATTERN)
 
 
 def snippet(text: Column, chars: int = SNIPPET_CHARS) -> Column:
