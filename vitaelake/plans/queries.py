@@ -73,7 +73,7 @@ def bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def bronze_category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.category_counts(bronze(spark, sf_dir))
+    return tools.highest_first(gold.category_counts(bronze(spark, sf_dir)), "resume_count")
 
 
 @_query
@@ -146,7 +146,7 @@ def silver_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def silver_category_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.category_check(_silver(spark, sf_dir))
+    return tools.highest_first(gold.category_check(_silver(spark, sf_dir)), "resume_count")
 
 
 @_query

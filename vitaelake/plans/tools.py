@@ -1,4 +1,7 @@
-"""The five reader tools over the Gold tables, the texts and the shortlist."""
+"""Readers of the Gold tables, and the five tools.
+
+A stored table has no order, so order is made where a table is read.
+"""
 
 from __future__ import annotations
 
@@ -14,17 +17,27 @@ from vitaelake.config import (
     SEARCH_LIMIT_MAX,
     SHORTLIST_LIMIT_DEFAULT,
 )
+from vitaelake.operators.gold import bucket_order
 from vitaelake.operators.match import TermStatistics, clamp, match_text
 from vitaelake.operators.shortlist import record_action
 
 shortlist_candidate = record_action
 
 
+def highest_first(table: DataFrame, metric: str) -> DataFrame:
+    """A table of categories by falling metric, the order it is read in."""
+    return table.orderBy(F.desc(metric), "category")
+
+
+def by_length(table: DataFrame) -> DataFrame:
+    """The terciles of each category from short to long."""
+    return table.orderBy("category", bucket_order(F.col("length_bucket")))
+
+
 def get_category_stats(stats: DataFrame) -> DataFrame:
     """Statistics per category, most leadership first."""
-    return stats.select(
-        "category", "resume_count", "avg_word_count", "avg_leadership_score"
-    ).orderBy(F.desc("avg_leadership_score"), "category")
+    columns = ("category", "resume_count", "avg_word_count", "avg_leadership_score")
+    return highest_first(stats.select(*columns), "avg_leadership_score")
 
 
 def valid_category(category: str | None) -> str | None:
