@@ -123,6 +123,8 @@ def test_match_text(spark, monkeypatch, way):
         assert [(r["resume_id"], r["match_score"]) for r in got] == plain_scores(DOCS, query)[:5]
     assert got[0]["snippet"] == "éled ÉLED" and got[0]["category"] == "HR"
     assert match.match_text(docs, "nowhere", 5).count() == 0
+    assert match.match_text(docs.limit(0), "data", 5).count() == 0
+    assert match.term_statistics(docs).n_docs == len(DOCS)
     assert match.match_text(docs, "data team led", 0).count() == 1
 
 

@@ -132,8 +132,7 @@ def snippet(text: Column, chars: int = SNIPPET_CHARS) -> Column:
 
 def words(text: Column) -> Column:
     """Lower-case runs of letters and digits, as an array."""
-    tokens = F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+")
-    return F.filter(tokens, lambda t: t != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+"), "")
 
 
 # Markup that carries no text, then the entities; the ampersand comes last so

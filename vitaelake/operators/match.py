@@ -62,12 +62,6 @@ def term_frequencies(
     return listed.select(key, F.inline(runs))
 
 
-def vocabulary(docs: DataFrame, text: Column) -> DataFrame:
-    """Documents per token."""
-    tokens = docs.select(F.explode(F.array_distinct(words(text))).alias("token"))
-    return tokens.groupBy("token").agg(F.count("*").alias("df"))
-
-
 @dataclass(frozen=True)
 class TermStatistics:
     """What the weights need to know of all documents, as a stored table."""
@@ -77,9 +71,17 @@ class TermStatistics:
 
 
 def term_statistics(docs: DataFrame) -> TermStatistics:
-    """Count the terms once, for any number of ``match_text`` calls."""
-    counted = vocabulary(docs, F.col("clean_text"))
-    return TermStatistics(stage(counted, "vocabulary"), docs.count())
+    """Documents per token, and documents, for any number of ``match_text`` calls.
+
+    Every document also counts for the empty token, which is no word, so one
+    pass over the texts yields both.
+    """
+    found = F.coalesce(words(F.col("clean_text")), F.array().cast("array<string>"))
+    tokens = F.explode(F.array_append(F.array_distinct(found), "")).alias("token")
+    counted = docs.select(tokens).groupBy("token").agg(F.count("*").alias("df"))
+    counted = stage(counted, "vocabulary")
+    every = counted.filter("token = ''").first()
+    return TermStatistics(counted.filter("token <> ''"), every["df"] if every else 0)
 
 
 def idf(n_docs: int, df: Column) -> Column:

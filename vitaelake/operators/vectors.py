@@ -174,7 +174,10 @@ def build_vector_index(
     units = Normalizer(inputCol="raw", outputCol="unit", p=2.0).transform(raw)
     share = min(1.0, TRAINING_ROWS_PER_CELL * cells / max(1, raw.count()))
     training = stage(units.sample(share, seed).select("unit"), "training-vectors")
-    model = KMeans(featuresCol="unit", predictionCol="cell", k=cells, seed=seed).fit(training)
+    trainer = KMeans(
+        featuresCol="unit", predictionCol="cell", k=cells, seed=seed, maxIter=10
+    )
+    model = trainer.fit(training)
     model.transform(units).select("vec_id", "embedding", "cell").write.partitionBy(
         "cell"
     ).parquet(path)
