@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitaelake.llm import lm_scoring, url_filters
+from vitaelake.llm import decontamination, lm_scoring, url_filters
 from vitaelake.llm.tables import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,49 @@ SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NU
     || '|[^/]*/cgi-bin/.*|[^/]*/login|[^/]*/logout|[^/]*/.*/cart/checkout.*|[^/]*/.*\.exe|[^/]*/.*\.zip'
     || '|ads\.[^/]*/.*|[^/]*\.doubleclick\.[^/]*/.*)$') THEN 'block' ELSE 'allow' END AS verdict FROM ruled
 """
+
+
+def _sha256(names: Column) -> Column:
+    return F.sha2(F.array_join(names, ","), 256)
+
+
+@_query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.search(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        decontamination.n_hit(F.col("hit_spans")).alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        _sha256(F.col("items")).alias("items_sha256"),
+        (F.size("hit_spans") > 0).alias("contaminated"),
+    )
+
+
+ORACLE_SQL["op5_decontamination"] = r"""
+WITH lowered AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item_words AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, unnest([array_to_string(w[i:i + least(len(w), 10) - 1], ' ')
+    for i in range(1, len(w) - least(len(w), 10) + 2)]) AS g FROM item_words WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT k FROM item_windows),
+doc_windows AS (
+  SELECT r, k, unnest(range(1, len(w) - k + 2)) AS i, w FROM lowered, sizes WHERE len(w) >= k),
+hits AS (
+  SELECT d.r, d.i, d.k, t.item_id FROM doc_windows d
+  JOIN item_windows t ON t.k = d.k AND t.g = array_to_string(d.w[d.i:d.i + d.k - 1], ' ')),
+hit_words AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + k)) AS p FROM hits) GROUP BY r),
+hit_items AS (
+  SELECT r, count(*) AS n, string_agg(x, ',' ORDER BY x) AS names
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS x FROM hits) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(t.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM lowered LEFT JOIN hit_words h USING (r) LEFT JOIN hit_items t USING (r)
+"""
