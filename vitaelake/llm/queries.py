@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitaelake.llm import decontamination, lm_scoring, url_filters
+from vitaelake.llm import decontamination, lm_scoring, quality_rules, url_filters
 from vitaelake.llm.tables import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +119,14 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coa
   sha256(coalesce(names, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
 FROM lowered LEFT JOIN hit_words h USING (r) LEFT JOIN hit_items t USING (r)
 """
+
+
+@_query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1")
+    judged = quality_rules.judge(docs, trusted)
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "llr",
+    )
