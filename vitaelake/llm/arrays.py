@@ -50,6 +50,7 @@ def constants(n: int, salt: int = 0) -> np.ndarray:
 
 _BYTE_VALUE = constants(256, 7)
 _STEP = constants(64, 11)
+_LENGTH = constants(64, 13)
 _powers: list[np.ndarray] = []
 
 
@@ -127,7 +128,7 @@ def windows(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarra
         out[target] = summed[np.flatnonzero(target) + where]
     for i in np.flatnonzero(short):
         own = hashes[first[i] : first[i + 1]]
-        out[begins[i]] = np.sum(own * _STEP[: len(own)], dtype=_U64) + _U64(len(own)) * _ODD
+        out[begins[i]] = np.sum(own * _STEP[: len(own)] + _LENGTH[len(own)], dtype=_U64)
     return mixed(out), begins
 
 

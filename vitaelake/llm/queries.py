@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitaelake.llm import decontamination, lm_scoring, quality_rules, url_filters
+from vitaelake.llm import decontamination, lm_scoring, near_dedup, quality_rules, url_filters
 from vitaelake.llm.tables import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +130,31 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "llr",
     )
+
+
+@_query
+def op8_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return near_dedup.near_duplicates(docs, settings=near_dedup.Settings(shingle_words=2))
+
+
+ORACLE_SQL["op8_setsketch_dedup"] = r"""
+WITH RECURSIVE lowered AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE len(w) WHEN 0 THEN [] WHEN 1 THEN w
+    ELSE [w[i] || ' ' || w[i + 1] for i in range(1, len(w))] END) AS s FROM lowered),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id
+    AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY ALL),
+links AS (SELECT a, b FROM common WHERE 100 * c >= 80 * (na + nb - c)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION
+  SELECT r.a, edges.b FROM reached r JOIN edges ON r.b = edges.a)
+SELECT s.doc_id, len(s)::BIGINT AS n_shingles, component_id, s.doc_id = component_id AS kept
+FROM sets s JOIN (SELECT a, min(b) AS component_id FROM reached GROUP BY a) c ON c.a = s.doc_id
+"""
