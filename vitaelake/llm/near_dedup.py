@@ -6,9 +6,12 @@ the sketch of a union is the registers' maximum. Bands of registers give bucket
 keys. In a bucket every set is paired with one pivot; a pair whose registers and
 set sizes make the wanted similarity all but impossible (by the joint likelihood)
 is put aside, the others are confirmed by the exact size of the intersection.
-Buckets whose members are then still in different components are searched once
-more for links between those, so a chain of links in a bucket is not lost and a
-group of n copies costs about n confirmations.
+In buckets whose members are then still in different components, members outside
+the pivot's component become pivots in turn, four a bucket at first and twice as
+many each round, until all members have been one or are joined to it. So no chain of
+links in a bucket is lost, and a group of n near copies costs a few times n
+confirmations and not n squared. Only a bucket of many sets that are all similar
+but not similar enough comes near that, since each pair then has to be refuted.
 
 Documents of equal sets are one node from the start. A NULL or wordless text has
 an empty set and links with nothing; a row with NULL id links with nothing and has
@@ -23,13 +26,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitaelake.llm.arrays import constants, mixed, windows, words_of
 from vitaelake.llm.components import components
 from vitaelake.sources.staging import sized, stage
 
+#: New pivots of a bucket in the first round after the star; doubled each round.
+FIRST_PIVOTS = 4
+
 _U64 = np.uint64
 _FINGER = constants(2, 307)
 
@@ -248,39 +254,39 @@ class _Search:
             "confirmed",
         )
 
-    def open_pairs(self, buckets: DataFrame, labels: DataFrame, checked: DataFrame) -> DataFrame:
-        """Pairs of a bucket, without its pivot, whose components still differ."""
-        larger = buckets.filter("rows > 2")
-        near = checked.select(
-            F.col("a").alias("pivot"), F.col("b").alias("node"), "similarity"
+    def members(self, buckets: DataFrame) -> DataFrame:
+        """(key, node, pivot) of all nodes of buckets in which links can be missing."""
+        larger = buckets.filter("rows > 2").select("key", "node", "pivot")
+        pivots = larger.select("key", F.col("pivot").alias("node"), "pivot").distinct()
+        return larger.union(pivots)
+
+    def open_members(self, members: DataFrame, labels: DataFrame) -> DataFrame:
+        """Members of buckets that hold several components, with their labels."""
+        pivot_labels = labels.select(
+            F.col("node").alias("pivot"), F.col("component").alias("pivot_component")
         )
-        named = larger.join(labels, "node", "left").join(
-            labels.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_component")),
-            "pivot", "left",
-        ).join(near, ["pivot", "node"], "left")
-        named = named.select(
-            "key", "node", "similarity",
+        named = members.join(labels, "node", "left").join(pivot_labels, "pivot", "left").select(
+            "key", "node", "pivot",
             F.coalesce("component", "node").alias("label"),
-            F.coalesce("pivot_component", "pivot").alias("pivot_label"),
-        )
-        apart = named.filter("label <> pivot_label")
-        keys = apart.select("key").distinct()
-        members = stage(named.join(keys, "key", "left_semi"), "open-buckets")
-        x = members.filter("label <> pivot_label").alias("x")
-        y = members.alias("y")
-        # The Jaccard distance is a metric: two sets cannot be closer than the
-        # difference of their distances to the pivot.
-        slack = 1 - self.settings.percent / 100 + 1e-9
-        reachable = F.coalesce(
-            F.abs(F.col("x.similarity") - F.col("y.similarity")) <= slack, F.lit(True)
+            F.coalesce("pivot_component", "pivot").alias("main"),
         )
-        once = (F.col("y.label") == F.col("y.pivot_label")) | (F.col("x.node") < F.col("y.node"))
-        joined = x.join(y, F.col("x.key") == F.col("y.key")).filter(
-            (F.col("x.label") != F.col("y.label")) & once & reachable
-        )
-        return joined.select(
-            F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
-        ).distinct()
+        apart = named.filter("label <> main").select("key").distinct()
+        return stage(named.join(apart, "key", "left_semi"), "open-buckets")
+
+    def next_pivots(self, members: DataFrame, used: DataFrame, number: int) -> DataFrame:
+        """Up to ``number`` members of each bucket outside its main component, not yet tried."""
+        order = Window.partitionBy("key").orderBy(F.xxhash64("node"), "node")
+        fresh = members.filter("label <> main").join(used, ["key", "node"], "left_anti")
+        nth = fresh.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= number)
+        return stage(nth.select("key", "node", "label"), "next-pivots")
+
+    def pairs_of(self, chosen: DataFrame, members: DataFrame, used: DataFrame) -> DataFrame:
+        """Each chosen pivot with every member of another component it has not met."""
+        # The first pivot of a bucket has met all of them.
+        others = members.filter("node <> pivot").join(used, ["key", "node"], "left_anti")
+        x = chosen.select("key", F.col("node").alias("x"), F.col("label").alias("x_label"))
+        met = x.join(others, "key").filter("x_label <> label")
+        return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -295,11 +301,18 @@ def near_duplicates(
     copies = search.copies.select(F.col("first").alias("a"), F.col("node").alias("b"))
     links = copies.union(star.filter("linked").select("a", "b"))
     labels = stage(components(links, "a", "b"), "components")
-    rest = stage(search.open_pairs(buckets, labels, star), "open-pairs")
-    if not rest.isEmpty():
-        more = search.confirmed(rest).filter("linked").select("a", "b")
+    members, used = search.members(buckets), buckets.select("key", "node").limit(0)
+    number = FIRST_PIVOTS
+    while True:
+        members = search.open_members(members.select("key", "node", "pivot"), labels)
+        chosen = search.next_pivots(members, used, number)
+        if chosen.isEmpty():
+            break
+        more = search.confirmed(search.pairs_of(chosen, members, used)).filter("linked")
         whole = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
-        labels = stage(components(whole.union(more), "a", "b"), "components")
+        labels = stage(components(whole.union(more.select("a", "b")), "a", "b"), "components")
+        used = used.union(chosen.select("key", "node"))
+        number *= 2
     rows = search.sketches.select("node", "size").join(labels, "node", "left")
     component = F.coalesce("component", "node")
     return rows.select(

@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitaelake.llm import decontamination, lm_scoring, near_dedup, quality_rules, url_filters
+from vitaelake.llm import (
+    decontamination,
+    lm_scoring,
+    mixing,
+    near_dedup,
+    quality_gam,
+    quality_rules,
+    sharding,
+    url_filters,
+)
 from vitaelake.llm.tables import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,3 +167,38 @@ reached AS (
 SELECT s.doc_id, len(s)::BIGINT AS n_shingles, component_id, s.doc_id = component_id AS kept
 FROM sets s JOIN (SELECT a, min(b) AS component_id FROM reached GROUP BY a) c ON c.a = s.doc_id
 """
+
+
+@_query
+def op9_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned = sharding.assign(table(spark, sf_dir, "documents"))
+    return assigned.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@_query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.plan(table(spark, sf_dir, "documents"))
+    return mixing.taken(mix).select(
+        F.col("key").alias("doc_id"), "size", "source_size", "target",
+        (F.col("size") * F.col("copies")).alias("taken"),
+    )
+
+
+PREDICTED_FROM = 0.3
+
+
+@_query
+def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    featured = quality_gam.feature_table(table(spark, sf_dir, "documents"))
+    held_out = fold(F.col("id")) == 0
+    labels = table(spark, sf_dir, "labels")
+    model = quality_gam.train(featured.filter(~held_out), labels, "doc_id", "quality")
+    return quality_gam.score(featured, model).select(
+        F.col("id").alias("doc_id"),
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= PREDICTED_FROM).cast("int").alias("predicted"),
+    )
