@@ -6,12 +6,10 @@ the sketch of a union is the registers' maximum. Bands of registers give bucket
 keys. In a bucket every set is paired with one pivot; a pair whose registers and
 set sizes make the wanted similarity all but impossible (by the joint likelihood)
 is put aside, the others are confirmed by the exact size of the intersection.
-In buckets whose members are then still in different components, members outside
-the pivot's component become pivots in turn, four a bucket at first and twice as
-many each round, until all members have been one or are joined to it. So no chain of
-links in a bucket is lost, and a group of n near copies costs a few times n
-confirmations and not n squared. Only a bucket of many sets that are all similar
-but not similar enough comes near that, since each pair then has to be refuted.
+Where members of a pivot's buckets are then still in different components, those
+outside the pivot's component meet the others in blocks of full sets, by matrix
+products in tasks that return at most one link per member. So no chain of links in a
+bucket is lost, no pairs are emitted, and a hot bucket is spread over many tasks.
 
 Documents of equal sets are one node from the start. A NULL or wordless text has
 an empty set and links with nothing; a row with NULL id links with nothing and has
@@ -26,15 +24,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitaelake.llm.arrays import constants, mixed, windows, words_of
 from vitaelake.llm.components import components
 from vitaelake.sources.staging import sized, stage
 
-#: New pivots of a bucket in the first round after the star; doubled each round.
-FIRST_PIVOTS = 4
+#: Members of each side of a block of full sets, and shingles taken at once.
+BLOCK = 128
+BLOCK_COLUMNS = 8192
 
 _U64 = np.uint64
 _FINGER = constants(2, 307)
@@ -189,6 +188,58 @@ def _sets(shingle_words: int):
     return run
 
 
+def _block_links(percent: int):
+    """Links between the two sides of a block that join different components."""
+
+    def run(table: pa.Table) -> pa.Table:
+        outer = table.column("outer").to_numpy().astype(bool)
+        label, node = table.column("label").to_pylist(), table.column("node").to_pylist()
+        lists = table.column("shingles").combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy())
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        _, number, count = np.unique(
+            lists.flatten().to_numpy(), return_inverse=True, return_counts=True
+        )
+        keep = count[number] > 1
+        owner, number = owner[keep], number[keep]
+        order = np.argsort(number, kind="stable")
+        owner, number = owner[order], number[order]
+        sides = [np.flatnonzero(outer), np.flatnonzero(~outer)]
+        place = np.empty(len(sizes), dtype=np.int64)
+        for side in sides:
+            place[side] = np.arange(len(side))
+        common = np.zeros((len(sides[0]), len(sides[1])), dtype=np.float64)
+        top = int(number[-1]) + 1 if len(number) else 0
+        for lo in range(0, top, BLOCK_COLUMNS):  # shingles in slices, so memory is bounded
+            a, b = np.searchsorted(number, [lo, lo + BLOCK_COLUMNS])
+            part, column = owner[a:b], number[a:b] - lo
+            grids = []
+            for side, own in zip(sides, (outer[part], ~outer[part])):
+                grid = np.zeros((len(side), BLOCK_COLUMNS), dtype=np.float32)
+                grid[place[part[own]], column[own]] = 1
+                grids.append(grid)
+            common += grids[0] @ grids[1].T
+        union = sizes[sides[0]][:, None] + sizes[sides[1]][None, :] - common
+        parent: dict = {}
+
+        def root(x):
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        out = []
+        for i, j in np.argwhere(common * 100 >= union * percent):
+            x, y = sides[0][i], sides[1][j]
+            a, b = root(label[x]), root(label[y])
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append((node[x], node[y]))
+        kind = table.schema.field("node").type
+        return pa.table({"a": pa.array([o[0] for o in out], kind), "b": pa.array([o[1] for o in out], kind)})
+
+    return run
+
+
 class _Search:
     """The tables of one run."""
 
@@ -254,39 +305,52 @@ class _Search:
             "confirmed",
         )
 
-    def members(self, buckets: DataFrame) -> DataFrame:
-        """(key, node, pivot) of all nodes of buckets in which links can be missing."""
-        larger = buckets.filter("rows > 2").select("key", "node", "pivot")
-        pivots = larger.select("key", F.col("pivot").alias("node"), "pivot").distinct()
-        return larger.union(pivots)
+    def rest(self, buckets: DataFrame, labels: DataFrame) -> DataFrame:
+        """(a, b): links that join components within the buckets of one pivot.
 
-    def open_members(self, members: DataFrame, labels: DataFrame) -> DataFrame:
-        """Members of buckets that hold several components, with their labels."""
+        Members outside the pivot's component meet all members, in blocks of both,
+        and a block returns no more links than it has members.
+        """
+        groups = buckets.groupBy("pivot", "node").agg(F.max("rows").alias("rows"))
         pivot_labels = labels.select(
             F.col("node").alias("pivot"), F.col("component").alias("pivot_component")
         )
-        named = members.join(labels, "node", "left").join(pivot_labels, "pivot", "left").select(
-            "key", "node", "pivot",
+        named = groups.join(labels, "node", "left").join(pivot_labels, "pivot", "left").select(
+            "pivot", "node",
             F.coalesce("component", "node").alias("label"),
             F.coalesce("pivot_component", "pivot").alias("main"),
         )
-        apart = named.filter("label <> main").select("key").distinct()
-        return stage(named.join(apart, "key", "left_semi"), "open-buckets")
-
-    def next_pivots(self, members: DataFrame, used: DataFrame, number: int) -> DataFrame:
-        """Up to ``number`` members of each bucket outside its main component, not yet tried."""
-        order = Window.partitionBy("key").orderBy(F.xxhash64("node"), "node")
-        fresh = members.filter("label <> main").join(used, ["key", "node"], "left_anti")
-        nth = fresh.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= number)
-        return stage(nth.select("key", "node", "label"), "next-pivots")
+        outside = F.sum((F.col("label") != F.col("main")).cast("long"))
+        open_ = named.groupBy("pivot").agg(outside.alias("outside"), F.count("*").alias("all"))
+        # The pivot itself has met everyone; one member alone has nobody left to meet.
+        open_ = open_.filter("outside > 0 AND all > 1").select(
+            "pivot",
+            F.ceil(F.col("outside") / BLOCK).cast("int").alias("outside_blocks"),
+            F.ceil(F.col("all") / BLOCK).cast("int").alias("all_blocks"),
+        )
+        members = stage(named.join(open_, "pivot"), "open-members")
+        ids = sized(stage(members.select("node").distinct(), "open-nodes"))
+        sets = self.docs.join(ids, "node", "left_semi").mapInArrow(
+            _sets(self.settings.shingle_words), f"node {self.kind}, shingles array<long>"
+        )
 
-    def pairs_of(self, chosen: DataFrame, members: DataFrame, used: DataFrame) -> DataFrame:
-        """Each chosen pivot with every member of another component it has not met."""
-        # The first pivot of a bucket has met all of them.
-        others = members.filter("node <> pivot").join(used, ["key", "node"], "left_anti")
-        x = chosen.select("key", F.col("node").alias("x"), F.col("label").alias("x_label"))
-        met = x.join(others, "key").filter("x_label <> label")
-        return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+        def dealt(side: DataFrame, outer: bool) -> DataFrame:
+            own, others = ("outside_blocks", "all_blocks") if outer else ("all_blocks", "outside_blocks")
+            mine = F.pmod(F.xxhash64("node"), F.col(own)).cast("int")
+            other = F.explode(F.sequence(F.lit(0), F.col(others) - 1))
+            x, y = (mine, other) if outer else (other, mine)
+            return side.select(
+                "pivot", "node", "label", F.lit(outer).alias("outer"), x.alias("x"), y.alias("y")
+            )
+
+        both = dealt(members.filter("label <> main"), True).union(dealt(members, False))
+        blocks = both.join(sets, "node")
+        return stage(
+            blocks.groupBy("pivot", "x", "y").applyInArrow(
+                _block_links(self.settings.percent), f"a {self.kind}, b {self.kind}"
+            ),
+            "open-links",
+        )
 
 
 def near_duplicates(
@@ -301,18 +365,10 @@ def near_duplicates(
     copies = search.copies.select(F.col("first").alias("a"), F.col("node").alias("b"))
     links = copies.union(star.filter("linked").select("a", "b"))
     labels = stage(components(links, "a", "b"), "components")
-    members, used = search.members(buckets), buckets.select("key", "node").limit(0)
-    number = FIRST_PIVOTS
-    while True:
-        members = search.open_members(members.select("key", "node", "pivot"), labels)
-        chosen = search.next_pivots(members, used, number)
-        if chosen.isEmpty():
-            break
-        more = search.confirmed(search.pairs_of(chosen, members, used)).filter("linked")
+    more = search.rest(buckets, labels)
+    if not more.isEmpty():
         whole = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
-        labels = stage(components(whole.union(more.select("a", "b")), "a", "b"), "components")
-        used = used.union(chosen.select("key", "node"))
-        number *= 2
+        labels = stage(components(whole.union(more), "a", "b"), "components")
     rows = search.sketches.select("node", "size").join(labels, "node", "left")
     component = F.coalesce("component", "node")
     return rows.select(

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from vitaelake.llm import (
     decontamination,
+    line_dedup,
     lm_scoring,
     mixing,
     near_dedup,
+    pii,
     quality_gam,
     quality_rules,
     sharding,
@@ -202,3 +204,28 @@ def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= PREDICTED_FROM).cast("int").alias("predicted"),
     )
+
+
+@_query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.train(docs))
+
+    def joined(spans: str) -> Column:
+        texts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"]))
+        return F.array_join(texts, ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(joined("base_spans"), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+    )
