@@ -120,13 +120,18 @@ def _entry(front: Column, back: Column, length: Column, content: Column) -> Colu
 
 
 def _cut(entries: DataFrame) -> DataFrame:
-    """Halve what is open of each entry; its edit is in one half, so the other matches."""
-    middle = F.floor((F.col("front") + F.col("length") - F.col("back")) / 2).cast("int")
+    """Halve what is open of each entry; its edit is in one half, so the other matches.
+
+    Of a single open character the longer line has two, and the edit adds the one
+    or the other: the character matches from the front or from the back.
+    """
+    end = F.col("length") - F.col("back")
+    middle = F.floor((F.col("front") + end) / 2).cast("int")
     halves = F.array(
-        F.struct(middle.alias("front"), F.col("back").alias("back")),
+        F.struct(F.greatest(middle, F.col("front") + 1).alias("front"), F.col("back").alias("back")),
         F.struct(F.col("front").alias("front"), (F.col("length") - middle).alias("back")),
     )
-    parts = entries.withColumn("part", F.explode(F.array_distinct(halves)))
+    parts = entries.withColumn("part", F.explode(halves))
     front, back = F.col("part.front"), F.col("part.back")
     return parts.select(
         "id", "longer", "length", front.alias("front"), back.alias("back"),
