@@ -123,7 +123,7 @@ def round_fractions(records: DataFrame, counts: dict[int, int]) -> DataFrame:
             {"draw": _draw(level), "block": F.pmod(F.xxhash64("id", F.lit(-1 - level)), "blocks")}
         )
         rounded = stage(dealt.groupBy("number", "block").applyInPandas(_rounded, _RECORD), "rounded")
-        done.append(rounded.filter(~_fraction(F.col("mass"))).select("id", "mass"))
+        done.append(rounded.filter(~_fraction(F.col("mass"))).select("id", F.round("mass").alias("mass")))
         current = rounded.filter(_fraction(F.col("mass"))).select("number", "id", "size", "mass")
         level += 1
         if max(blocks.values(), default=1) <= 1:
