@@ -30,6 +30,9 @@ from vitaelake.sources.staging import sized, stage
 EDITS = 1
 MIN_CHARS = 10
 CROWDED = 64
+#: Halves compared before the edit distance, down to so many open characters.
+HALVINGS = 8
+VERIFIED_CHARS = 16
 
 _BAND_BITS = 32
 
@@ -183,7 +186,35 @@ def links(lines: DataFrame) -> DataFrame:
     texts = lines.join(ids, "id", "left_semi")
     sides = [texts.select(F.col("id").alias(s), F.col("content").alias(f"text_{s}")) for s in "ab"]
     both = pairs.join(sides[0], "a").join(sides[1], "b")
-    return both.filter(edit_distance(F.col("text_a"), F.col("text_b"), EDITS) <= EDITS).select("a", "b")
+    swapped = F.length("text_a") > F.length("text_b")
+    ordered = both.select(
+        "a", "b",
+        F.when(swapped, F.col("text_b")).otherwise(F.col("text_a")).alias("x"),
+        F.when(swapped, F.col("text_a")).otherwise(F.col("text_b")).alias("y"),
+        F.lit(0).alias("front"), F.lit(0).alias("back"),
+    )
+    n, m = F.length("x"), F.length("y")
+    for _ in range(HALVINGS):
+        # Of what is open one half must match, so pairs in which none does go early.
+        front, back = F.col("front"), F.col("back")
+        middle = F.floor((front + n - back) / 2).cast("int")
+        size, rest = middle - front, n - back - middle
+        ahead = F.substring("x", front + 1, size) == F.substring("y", front + 1, size)
+        behind = F.substring("x", middle + 1, rest) == F.substring("y", m - n + middle + 1, rest)
+        open_ = n - back - front > VERIFIED_CHARS
+        ordered = ordered.select(
+            "a", "b", "x", "y",
+            F.when(open_ & ahead, middle).otherwise(front).alias("front"),
+            F.when(open_ & ~ahead & behind, n - middle).otherwise(back).alias("back"),
+            (~open_ | ahead | behind).alias("possible"),
+        ).filter("possible").drop("possible")
+    front, back = F.col("front"), F.col("back")
+    parts = ordered.select(
+        "a", "b",
+        F.substring("x", front + 1, n - back - front).alias("x"),
+        F.substring("y", front + 1, m - back - front).alias("y"),
+    )
+    return parts.filter(edit_distance(F.col("x"), F.col("y"), EDITS) <= EDITS).select("a", "b")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
