@@ -191,24 +191,32 @@ def links(lines: DataFrame) -> DataFrame:
         "a", "b",
         F.when(swapped, F.col("text_b")).otherwise(F.col("text_a")).alias("x"),
         F.when(swapped, F.col("text_a")).otherwise(F.col("text_b")).alias("y"),
-        F.lit(0).alias("front"), F.lit(0).alias("back"),
     )
     n, m = F.length("x"), F.length("y")
-    for _ in range(HALVINGS):
-        # Of what is open one half must match, so pairs in which none does go early.
-        front, back = F.col("front"), F.col("back")
+
+    def halved(s: Column, _: Column) -> Column:
+        # Of what is open one half must match; where none does, no edit distance is taken.
+        front, back = s["front"], s["back"]
         middle = F.floor((front + n - back) / 2).cast("int")
         size, rest = middle - front, n - back - middle
         ahead = F.substring("x", front + 1, size) == F.substring("y", front + 1, size)
         behind = F.substring("x", middle + 1, rest) == F.substring("y", m - n + middle + 1, rest)
-        open_ = n - back - front > VERIFIED_CHARS
-        ordered = ordered.select(
-            "a", "b", "x", "y",
-            F.when(open_ & ahead, middle).otherwise(front).alias("front"),
-            F.when(open_ & ~ahead & behind, n - middle).otherwise(back).alias("back"),
-            (~open_ | ahead | behind).alias("possible"),
-        ).filter("possible").drop("possible")
-    front, back = F.col("front"), F.col("back")
+
+        def state(front: Column, back: Column, possible: Column) -> Column:
+            return F.struct(front.alias("front"), back.alias("back"), possible.alias("possible"))
+
+        done = ~s["possible"] | (n - back - front <= VERIFIED_CHARS)
+        return (
+            F.when(done, s)
+            .when(ahead, state(middle, back, F.lit(True)))
+            .when(behind, state(front, n - middle, F.lit(True)))
+            .otherwise(state(front, back, F.lit(False)))
+        )
+
+    start = F.struct(F.lit(0).alias("front"), F.lit(0).alias("back"), F.lit(True).alias("possible"))
+    steps = F.sequence(F.lit(1), F.lit(HALVINGS))
+    ordered = ordered.withColumn("open", F.aggregate(steps, start, halved)).filter("open.possible")
+    front, back = F.col("open.front"), F.col("open.back")
     parts = ordered.select(
         "a", "b",
         F.substring("x", front + 1, n - back - front).alias("x"),
