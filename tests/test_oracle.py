@@ -8,9 +8,11 @@ import pytest
 from check import comparable, connect, oracle_rows
 
 import __spark_entry__ as entry
+from vitaelake.plans.oracle import oracle_sql
+from vitaelake.plans.queries import QUERIES
 
 SF_DIR = f"/root/testdata/sf{os.environ.get('TEST_SF', '0.001')}"
-SQL = entry.oracle_sql()
+SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,14 +22,14 @@ def db():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, db, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     columns, expected = oracle_rows(db, SQL[name])
     assert sorted(df.columns) == sorted(columns)
     assert comparable(df.columns, df.collect()) == comparable(columns, expected)
 
 
 def test_only_the_approximate_search_has_no_sql():
-    assert set(entry.queries()) - set(SQL) == {"match_vectors_approx"}
+    assert set(QUERIES) - set(SQL) == {"match_vectors_approx"}
 
 
 def test_entry(spark):

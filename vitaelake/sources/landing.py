@@ -38,13 +38,20 @@ def stream_landing(
     root: str,
     extension: str = "pdf",
     max_files_per_batch: int | None = None,
+    max_file_age: str = "36500d",
 ) -> DataFrame:
-    """The same files as a stream, each of them once per checkpoint."""
+    """The same files as a stream, each of them once per checkpoint.
+
+    Spark leaves out files that are older than the newest one seen by more than
+    ``max_file_age``. By default no file is too old, so the stream's list of seen
+    files grows with the folder.
+    """
     reader = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)
         .option("pathGlobFilter", f"*.{extension}")
         .option("recursiveFileLookup", "true")
+        .option("maxFileAge", max_file_age)
     )
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
