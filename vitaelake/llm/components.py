@@ -18,37 +18,44 @@ def _large_star(edges: DataFrame) -> DataFrame:
     least = around.groupBy("u").agg(F.min("v").alias("m"))
     least = least.select("u", F.least("u", "m").alias("m"))
     joined = around.join(least, "u").filter("v > u")
-    return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+    return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """Tie a node and its smaller neighbours to the smallest of them; edges have u > v."""
+    """Tie a node and its smaller neighbours to the smallest of them; edges have u > v.
+
+    The edge to the smallest stays as it is, every other one moves, so edges never
+    become more.
+    """
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    others = edges.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return others.union(least.select("u", F.col("m").alias("v"))).distinct()
+    moved = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
+    return edges.join(least, "u").select(moved.alias("u"), F.col("m").alias("v"))
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").bitwiseAND(F.lit((1 << 40) - 1)))).first())
+def _roles(edges: DataFrame) -> DataFrame:
+    """(node, least, most, parent) of every node: its ends of edges, and whether it is one."""
+    children = edges.select(F.col("u").alias("node"), "v", F.lit(False).alias("parent"))
+    parents = edges.select(
+        F.col("v").alias("node"), F.lit(None).cast(edges.schema["v"].dataType).alias("v"), F.lit(True).alias("parent")
+    )
+    return children.union(parents).groupBy("node").agg(
+        F.min("v").alias("least"), F.max("v").alias("most"), F.max("parent").alias("parent")
+    )
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): the smallest node reachable, for every node with an edge.
 
-    Each step is a table in the shared folder. Nothing but a row count and a
-    checksum of the edges reaches the driver; a hub's edges are combined before
-    the shuffle, and the joins on it can be split.
+    Each step is a table in the shared folder, and edges may repeat. The rounds end
+    when every node has one parent or is one, which is read off the table that gives
+    the result; nothing but this answer reaches the driver. A hub's edges are
+    combined before the shuffle, and the joins on it can be split. An edge with a
+    NULL end is no edge, a node that only meets itself has none.
     """
     pair = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-    current = stage(pair.filter("u <> v").distinct(), "edges")
-    before = _state(current)
-    while before[0]:
+    current = stage(pair.filter(f"u <> v AND {a} IS NOT NULL AND {b} IS NOT NULL"), "edges")
+    while True:
         current = stage(_small_star(stage(_large_star(current), "large-star")), "small-star")
-        after = _state(current)
-        if after == before:
-            break
-        before = after
-    roots = current.select(F.col("v").alias("node")).distinct()
-    return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-        roots.select("node", F.col("node").alias("component"))
-    )
+        roles = stage(_roles(current), "roles")
+        if roles.filter("least <> most OR (parent AND least IS NOT NULL)").isEmpty():
+            return roles.select("node", F.coalesce("least", "node").alias("component"))
