@@ -25,7 +25,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what the quality rules reject."""
     trusted = table(spark, sf_dir, "labels").filter("quality = 1")
     whole = docs.select(F.struct(*docs.columns).alias("__row"), "doc_id", "text")
-    return quality_rules.judge(whole, trusted).filter("kept").select("__row.*")
+    # Written before the filter: pushed into the rules it would compute them many times over.
+    judged = stage(quality_rules.judge(whole, trusted).select("__row", "kept"), "judged")
+    return judged.filter("kept").select("__row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
