@@ -21,6 +21,8 @@ the smallest (doc_id, line); NULL ids come first. Repeated rows get equal verdic
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,20 +33,29 @@ EDITS = 1
 MIN_CHARS = 10
 CROWDED = 64
 #: Halves compared before the edit distance, down to so many open characters.
-HALVINGS = 8
+HALVINGS = 16
 VERIFIED_CHARS = 16
 
 _BAND_BITS = 32
+_BLANKS = " \t\n\x0b\f\r"
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """doc, line, content, id of every line with a word; outer whitespace is cut."""
     split = docs.select(F.col(key).alias("doc"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("line", "raw"))
-    content = F.regexp_replace("raw", r"^[ \t-\x0D]+|[ \t-\x0D]+$", "")
-    cut = split.select("doc", "line", content.alias("content")).filter("content <> ''")
+    cut = split.select("doc", "line", F.btrim("raw", F.lit(_BLANKS)).alias("content")).filter("content <> ''")
     return cut.withColumn("id", F.xxhash64("content"))
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once a row.
+
+    A name given in a select does not do: where a filter is moved below it, the
+    expression is put in each place of the name, in every step of a fold.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def edit_distance(a: Column, b: Column, most: int) -> Column:
     """Edit distance of two strings; more than ``most`` if it is more than that.
 
@@ -52,14 +63,26 @@ def edit_distance(a: Column, b: Column, most: int) -> Column:
     (plus one, minus one) per column; a column is a few bitwise operations. The
     distance is followed along the band's lower edge, and then along the last row.
     """
+    texts = F.struct(a.alias("a"), b.alias("b"))
+
+    def signs(t: Column) -> Column:
+        return F.struct(
+            t["a"].alias("a"), t["b"].alias("b"),
+            F.split(t["a"], "").alias("rows"), F.split(t["b"], "").alias("columns"),
+            F.length(t["a"]).alias("n"), F.length(t["b"]).alias("m"),
+        )
+
+    return _once(texts, lambda t: _once(signs(t), lambda s: _banded(s, most)))
+
+
+def _banded(signs: Column, most: int) -> Column:
     top = 1 << (_BAND_BITS - 1)
     mask = (1 << _BAND_BITS) - 1
 
     def const(x: int) -> Column:
         return F.lit(x).cast("long")
 
-    rows, columns = F.split(a, ""), F.split(b, "")
-    n, m = F.length(a), F.length(b)
+    rows, columns, n, m = (signs[name] for name in ("rows", "columns", "n", "m"))
 
     def step(state: Column, j: Column) -> Column:
         symbol = F.get(columns, j)
@@ -96,9 +119,8 @@ def edit_distance(a: Column, b: Column, most: int) -> Column:
             (s["distance"] + F.when(past == 0, on_edge).otherwise(along)).alias("distance"),
         )
 
-    # A one-element array names the matches, which are used several times.
     def column_step(state: Column, j: Column) -> Column:
-        return F.transform(F.array(step(state, j)), moved)[0]
+        return _once(step(state, j), moved)
 
     start = F.struct(
         const(mask & ~(top - 1) | sum(top >> d for d in range(most + 1))).alias("up"),
@@ -109,7 +131,7 @@ def edit_distance(a: Column, b: Column, most: int) -> Column:
     near = F.abs(n - m) <= most
     # Strings that end within the first band have no lower edge to follow.
     tiny = F.least(n, m) <= most
-    return F.when(near & tiny, F.levenshtein(a, b)).when(near, walked).otherwise(most + 1)
+    return F.when(near & tiny, F.levenshtein(signs["a"], signs["b"])).when(near, walked).otherwise(most + 1)
 
 
 def _entry(front: Column, back: Column, length: Column, content: Column) -> Column:
@@ -192,19 +214,27 @@ def links(lines: DataFrame) -> DataFrame:
         F.when(swapped, F.col("text_b")).otherwise(F.col("text_a")).alias("x"),
         F.when(swapped, F.col("text_a")).otherwise(F.col("text_b")).alias("y"),
     )
-    n, m = F.length("x"), F.length("y")
+    pair = F.struct("x", "y", F.length("x").alias("n"), F.length("y").alias("m"))
+    linked = _once(pair, lambda p: _once(_open(p), lambda o: _one_edit(p, o)))
+    return ordered.select("a", "b", linked.alias("linked")).filter("linked").select("a", "b")
+
+
+def _open(pair: Column) -> Column:
+    """What is open of a pair when equal halves are taken off its front and back.
+
+    Of what is open one half must match; where none does, the pair is not possible.
+    """
+    x, y, n, m = (pair[name] for name in ("x", "y", "n", "m"))
+
+    def state(front: Column, back: Column, possible: Column) -> Column:
+        return F.struct(front.alias("front"), back.alias("back"), possible.alias("possible"))
 
     def halved(s: Column, _: Column) -> Column:
-        # Of what is open one half must match; where none does, no edit distance is taken.
         front, back = s["front"], s["back"]
         middle = F.floor((front + n - back) / 2).cast("int")
         size, rest = middle - front, n - back - middle
-        ahead = F.substring("x", front + 1, size) == F.substring("y", front + 1, size)
-        behind = F.substring("x", middle + 1, rest) == F.substring("y", m - n + middle + 1, rest)
-
-        def state(front: Column, back: Column, possible: Column) -> Column:
-            return F.struct(front.alias("front"), back.alias("back"), possible.alias("possible"))
-
+        ahead = F.substring(x, front + 1, size) == F.substring(y, front + 1, size)
+        behind = F.substring(x, middle + 1, rest) == F.substring(y, m - n + middle + 1, rest)
         done = ~s["possible"] | (n - back - front <= VERIFIED_CHARS)
         return (
             F.when(done, s)
@@ -213,16 +243,16 @@ def links(lines: DataFrame) -> DataFrame:
             .otherwise(state(front, back, F.lit(False)))
         )
 
-    start = F.struct(F.lit(0).alias("front"), F.lit(0).alias("back"), F.lit(True).alias("possible"))
-    steps = F.sequence(F.lit(1), F.lit(HALVINGS))
-    ordered = ordered.withColumn("open", F.aggregate(steps, start, halved)).filter("open.possible")
-    front, back = F.col("open.front"), F.col("open.back")
-    parts = ordered.select(
-        "a", "b",
-        F.substring("x", front + 1, n - back - front).alias("x"),
-        F.substring("y", front + 1, m - back - front).alias("y"),
-    )
-    return parts.filter(edit_distance(F.col("x"), F.col("y"), EDITS) <= EDITS).select("a", "b")
+    start = state(F.lit(0), F.lit(0), F.lit(True))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), start, halved)
+
+
+def _one_edit(pair: Column, left: Column) -> Column:
+    """Whether what is left of a pair is within the wanted edits."""
+    front, back = left["front"], left["back"]
+    x = F.substring(pair["x"], front + 1, pair["n"] - back - front)
+    y = F.substring(pair["y"], front + 1, pair["m"] - back - front)
+    return F.when(left["possible"], edit_distance(x, y, EDITS) <= EDITS).otherwise(False)
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
