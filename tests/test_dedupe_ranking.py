@@ -100,11 +100,13 @@ def test_staged_tables_lie_in_the_folder_the_session_names(spark, monkeypatch, t
     if configured:
         assert staging.shared_dir(spark) == configured.rstrip("/")
     monkeypatch.setattr(staging, "shared_dir", lambda _: str(tmp_path))
-    monkeypatch.setattr(staging, "_staged", [])
-    assert staging.stage(spark.range(3), "t").count() == 3
-    assert any((tmp_path / "stage").iterdir())
-    staging.release(spark)
-    assert not any((tmp_path / "stage").iterdir())
+    outside = staging.stage(spark.range(3), "t")
+    with pytest.raises(ValueError), staging.scope(spark):
+        assert staging.stage(spark.range(4), "t").count() == 4
+        raise ValueError
+    # The failed block took its own table with it, and no other.
+    assert len(list((tmp_path / "stage").iterdir())) == 1
+    assert outside.count() == 3
 
 
 def test_large_inputs_are_not_spread(spark, monkeypatch):

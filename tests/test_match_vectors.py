@@ -96,7 +96,7 @@ def plain_scores(docs, query):
     tf = {i: tokens(t) for i, _, t in docs}
     df = Counter(w for counts in tf.values() for w in counts)
     weigh = lambda c: {
-        w: n * math.log((1 + len(docs)) / (1 + df[w])) for w, n in c.items()
+        w: n * (1 + math.log((1 + len(docs)) / (1 + df[w]))) for w, n in c.items()
     }
     norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
     asked = weigh(tokens(query))
@@ -160,3 +160,11 @@ def test_refresh_embeds_only_what_changed(spark):
     assert actions == {("2", "changed"), ("3", "removed"), ("4", "new")}
     second = {r[0]: r[2] for r in match.refresh_vectors(now, kept, embed).collect()}
     assert second == {"1": [-1.0, -1.0], "2": [7.0, 1.0], "4": [4.0, 1.0]}
+
+
+def test_words_of_all_documents_still_match(spark):
+    docs = spark.createDataFrame(
+        [("1", "a", "data one"), ("2", "a", "data two")],
+        "resume_id string, category string, clean_text string",
+    )
+    assert {r["resume_id"] for r in match.match_text(docs, "data team", 5).collect()} == {"1", "2"}

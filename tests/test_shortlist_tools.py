@@ -80,6 +80,7 @@ def test_rejects(spark):
     rows.append((*good[:6], None, 1))
     df = actions(spark, rows)
     assert s.accepted(df).count() == 1
+    assert s.shortlist(df).count() == 1
     assert sorted(r["reason"] for r in s.rejects(df).collect()) == sorted(
         [f"{c} is null" for c in ("recruiter_email", "resume_id", "category", "job_title")]
         + ["added_at is null", "recruiter_email is longer than 255"]

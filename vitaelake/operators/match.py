@@ -85,7 +85,8 @@ def term_statistics(docs: DataFrame) -> TermStatistics:
 
 
 def idf(n_docs: int, df: Column) -> Column:
-    return F.log(F.lit(float(1 + n_docs)) / (df + 1))
+    """One at least, so that a word of all documents still counts as shared."""
+    return F.log(F.lit(float(1 + n_docs)) / (df + 1)) + 1
 
 
 def _with_df(terms: DataFrame, vocab: DataFrame, n_docs: int) -> DataFrame:
@@ -111,7 +112,7 @@ def match_text(
     """Best documents for a text: id, category, score 0 to 1, and snippet.
 
     ``docs`` has ``resume_id``, ``category`` and ``clean_text``. Weights are
-    tf * ln((1 + N) / (1 + df)), the score is the cosine moved to 0..1.
+    tf * (1 + ln((1 + N) / (1 + df))), the score is the cosine moved to 0..1.
     Documents that share no word with the query are no matches.
     """
     if not query_text or not query_text.strip():
@@ -133,7 +134,7 @@ def match_text(
     known = vocab.filter(F.col("token").isin(list(counts))).collect()
     holders = {r["token"]: r["df"] for r in known}
     asked_weights = [
-        (token, tf * math.log((1 + n_docs) / (1 + holders.get(token, 0))))
+        (token, tf * (1 + math.log((1 + n_docs) / (1 + holders.get(token, 0)))))
         for token, tf in counts.items()
     ]
     query_norm = math.sqrt(sum(w * w for _, w in asked_weights))

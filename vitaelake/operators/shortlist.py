@@ -58,14 +58,15 @@ def _fold_columns() -> Sequence[Column]:
 
 def fold_state(actions: DataFrame, key: Sequence[str] = SHORTLIST_KEY) -> DataFrame:
     """The fold with the order of the actions it rests on, which streams keep."""
-    return actions.groupBy(*key).agg(*_fold_columns())
+    return accepted(actions).groupBy(*key).agg(*_fold_columns())
 
 
 def shortlist(actions: DataFrame, key: Sequence[str] = SHORTLIST_KEY) -> DataFrame:
     """Current shortlist: one row per key.
 
     The category is that of the first action; description, note and time are
-    those of the last. ``seq`` orders actions of the same time. Aggregates
+    those of the last. Actions that break a constraint are left out; ``rejects``
+    lists them. ``seq`` orders actions of the same time. Aggregates
     before the shuffle, so a key with many actions is no hot spot.
     """
     return unpack(fold_state(actions, key), key)

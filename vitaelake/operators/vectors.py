@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from vitaelake.sources.staging import stage
 
 QUERY_BLOCK = 1024
-TRAINING_ROWS_PER_CELL = 256
+ROWS_PER_CELL_FILE = 100_000
 
 # Cosines are compared at this precision, so that copies of a vector tie and
 # fall back on the id whatever order their products were added in.
@@ -162,9 +162,9 @@ def build_vector_index(
 ) -> VectorIndex:
     """Store the vectors by their nearest of ``cells`` k-means centres.
 
-    The centres are trained on a sample, since they only steer which files a
-    search opens; every vector is stored. A cell is a folder of files, so a
-    crowded one is read by many tasks.
+    All vectors train the centres and all are stored. A cell is a folder with a
+    file for about every ``ROWS_PER_CELL_FILE`` rows, so a crowded one is written
+    and read by many tasks.
     """
     spark = vectors.sparkSession
     dense = array_to_vector(F.col("embedding").cast("array<double>"))
@@ -172,13 +172,18 @@ def build_vector_index(
         "vec_id", "embedding", dense.alias("raw")
     )
     units = Normalizer(inputCol="raw", outputCol="unit", p=2.0).transform(raw)
-    share = min(1.0, TRAINING_ROWS_PER_CELL * cells / max(1, raw.count()))
-    training = stage(units.sample(share, seed).select("unit"), "training-vectors")
+    training = stage(units.select("unit"), "training-vectors")
     trainer = KMeans(
         featuresCol="unit", predictionCol="cell", k=cells, seed=seed, maxIter=10
     )
     model = trainer.fit(training)
-    model.transform(units).select("vec_id", "embedding", "cell").write.partitionBy(
+    placed = stage(
+        model.transform(units).select("vec_id", "embedding", "cell"), "placed-vectors"
+    )
+    files = F.ceil(F.count("*") / ROWS_PER_CELL_FILE).alias("files")
+    salted = placed.join(F.broadcast(placed.groupBy("cell").agg(files)), "cell")
+    salted = salted.withColumn("salt", F.pmod(F.xxhash64("vec_id"), "files"))
+    salted.repartition("cell", "salt").drop("salt", "files").write.partitionBy(
         "cell"
     ).parquet(path)
     schema = raw.select("vec_id", "embedding").schema.add("cell", "integer")

@@ -271,10 +271,10 @@ total AS (SELECT count(*) AS n FROM docs),
 asked_tokens AS ({_TOKENS.format(key="1 AS one", text="q", table=f"(SELECT '{QUERY_TEXT}' AS q)")}),
 asked AS (SELECT token, count(*) AS tf FROM asked_tokens GROUP BY token),
 asked_weights AS (
-  SELECT a.token, a.tf * ln((1 + n) / (1 + coalesce(df, 0))) AS w
+  SELECT a.token, a.tf * (1 + ln((1 + n) / (1 + coalesce(df, 0)))) AS w
   FROM asked a LEFT JOIN vocabulary v ON a.token = v.token CROSS JOIN total),
 weights AS (
-  SELECT resume_id, t.token, tf * ln((1 + n) / (1 + df)) AS w
+  SELECT resume_id, t.token, tf * (1 + ln((1 + n) / (1 + df))) AS w
   FROM terms t JOIN vocabulary v ON t.token = v.token CROSS JOIN total),
 scored AS (
   SELECT resume_id, sum(d.w * a.w) AS dot, sqrt(sum(d.w * d.w)) AS norm

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitaelake.config import Lexicon
-from vitaelake.functions.extract import extract_text, utf8_text
+from vitaelake.functions.extract import utf8_column
 from vitaelake.functions.text import clean_text, html_text
 from vitaelake.operators import gold, match, shortlist, vectors
 from vitaelake.operators.dedupe import dedupe
@@ -86,7 +86,7 @@ def extract_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def extract_bytes_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spread(_table(spark, sf_dir, "pages"), "page_id")
     content = F.encode("html", "UTF-8")
-    return pages.select("page_id", extract_text(content, utf8_text).alias("raw_text"))
+    return pages.select("page_id", utf8_column(content).alias("raw_text"))
 
 
 # Silver

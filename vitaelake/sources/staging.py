@@ -10,6 +10,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +23,7 @@ SPREAD_TASKS = 64
 SPREAD_BYTES_PER_TASK = 64 * 1024 * 1024
 
 _local_dirs: dict[str, str] = {}
-_staged: list[str] = []
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,7 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if context.applicationId not in _local_dirs:
         folder = tempfile.mkdtemp(prefix="vitaelake-")
@@ -42,17 +45,30 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write the rows to a fresh folder of the shared directory, read them back."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage/{name}-{uuid.uuid4().hex}"
-    _staged.append(path)
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the tables staged so far. No frame built on them may be in use."""
-    jvm, configuration = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _staged:
-        folder = jvm.org.apache.hadoop.fs.Path(_staged.pop())
-        folder.getFileSystem(configuration).delete(folder, True)
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end, also of a failed block, what this block has staged.
+
+    Frames built on these tables are of no use afterwards; tables staged outside
+    the block, or in another thread, stay.
+    """
+    paths: list[str] = []
+    token = _owned.set(paths)
+    try:
+        yield
+    finally:
+        _owned.reset(token)
+        jvm, configuration = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(configuration).delete(folder, True)
 
 
 def estimated_bytes(df: DataFrame) -> int:
