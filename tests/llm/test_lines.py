@@ -92,3 +92,62 @@ def test_empty_null_and_repeated_rows(spark):
     docs = [(None, "some line of text", 1, "x"), (3, "some line of text", 1, "x"), (3, "some line of text", 1, "x")]
     rows = line_dedup.dedup_lines(spark.createDataFrame(docs, schema)).collect()
     assert sorted((r.doc_id is None, r.kept) for r in rows) == [(False, False), (False, False), (True, True)]
+
+
+def allowed(edits, n: int) -> int:
+    return max((k for length, k in edits if n >= length), default=0)
+
+
+def template(rng: random.Random, n: int, spots: int) -> list[str]:
+    """Lines of one text that differ in a few places."""
+    text = [rng.choice("abcdefgh ") for _ in range(n)]
+    out = []
+    for _ in range(60):
+        line = list(text)
+        for at in (3, n // 2, n - 5)[:spots]:
+            line[at] = rng.choice("0123456789")
+        out.append(mutated(rng, "".join(line), rng.randint(0, 2)).strip())
+    return out
+
+
+@pytest.mark.parametrize(
+    "crowded, edits", [(64, line_dedup.EDITS), (64, ((0, 1), (24, 2), (28, 3))), (12, ((0, 1), (24, 2)))]
+)
+def test_links_of_more_edits(spark, monkeypatch, edits, crowded):
+    """All pairs within the edits, in calm entries and in crowded ones."""
+    monkeypatch.setattr(line_dedup, "CROWDED", crowded)
+    monkeypatch.setattr(line_dedup, "CROWDED_TIMES", 1)
+    rng = random.Random(7)
+    sizes = (14, 28) if crowded < 64 else (20, 28, 70)
+    texts = {t for n in sizes for t in template(rng, n, 2)[:40]}
+    texts |= {"copyright 2024-01-01 of the shop, all rights reserved, do not copy any of this text",
+              "copyright 2024-01-19 of the shop, all rights reserved, do not copy any of this text"}
+    texts = sorted(t for t in texts if len(t) >= line_dedup.MIN_CHARS)
+    lines = spark.createDataFrame(list(enumerate(texts)), "id long, content string")
+    expected = set()
+    for i, a in enumerate(texts):
+        for j in range(i + 1, len(texts)):
+            k = allowed(edits, min(len(a), len(texts[j])))
+            if abs(len(a) - len(texts[j])) <= k and distance(a, texts[j]) <= k:
+                expected.add((i, j))
+    found = {(r.a, r.b) for r in line_dedup.links(lines, edits).collect()}
+    assert found <= expected
+
+    def classes_of(pairs):
+        parent = list(range(len(texts)))
+
+        def root(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in pairs:
+            parent[root(a)] = root(b)
+        groups = {}
+        for x in range(len(texts)):
+            groups.setdefault(root(x), set()).add(x)
+        return sorted(map(sorted, groups.values()))
+
+    assert classes_of(found) == classes_of(expected)
+    if crowded == 64:
+        assert found == expected

@@ -1,17 +1,21 @@
 """Near-equal lines by a segment-partition edit join, in DataFrame functions only.
 
-Two lines are linked when one edit (a character changed, added or dropped) makes
-them equal. Each line is cut into edits-plus-one segments, so linked lines have one
-segment in common: the front one at the same place from the start, or the back one
-at the same place from the end. A line is entered under its segments for its own
-length and probes those of lines one character shorter. Lines that meet are
-verified with a banded bit-parallel edit distance.
-
-An index entry that many lines share is not joined: what is left open of these
-lines is cut again in the same way, and again, as long as an entry is crowded. When
-a single character is left open, all lines of an entry are within one edit of the
-first one, and are tied to that one. So a template with very many fillings costs
-its lines times the logarithm of their length, and not their square.
+Two lines are linked when no more edits (a character changed, added or dropped) make
+them equal than the shorter one may have; ``EDITS`` grows with length. Of a line cut
+into edits-plus-one segments one is free of edits and has as many edits before it as
+segments. So it lies at the same place from the start, or from the end, give or take
+a few characters. Segments are cut for the shortest length of a range of lengths, the
+view; a line enters the view of its own length, and those of the shorter lines that it
+may be linked with. Lines that meet are verified with a banded bit-parallel edit
+distance.
+
+Lines of an index entry that very many share are not joined there. They are entered
+once more under their exact lengths, and what is left open beside the segment, each
+part with its own edits, is cut again in the same way, and again, as long as an entry
+is crowded. When no more characters are open than edits, the shortest lines of an entry
+are all linked with the first one, and are tied to that one. So with one edit a template
+with very many fillings costs its lines times the logarithm of their length, with each
+further edit its length more, and not their square.
 
 Equal lines are one from the start. Lines without a word are left out; lines of
 fewer than ``MIN_CHARS`` characters are only compared for equality. NULL and empty
@@ -29,14 +33,19 @@ from pyspark.sql import functions as F
 from vitaelake.llm.components import components
 from vitaelake.sources.staging import sized, stage
 
-EDITS = 1
+#: Lengths from which lines may have so many edits.
+EDITS = ((0, 1), (64, 2), (256, 3))
 MIN_CHARS = 10
+#: Lines of an entry that are joined outright, and how many times more with each further edit.
 CROWDED = 64
-#: Halves compared before the edit distance, down to so many open characters.
-HALVINGS = 16
-VERIFIED_CHARS = 16
+CROWDED_TIMES = 16
+#: Pieces that are looked for near their place before the edit distance.
+PIECES = 16
 
 _BAND_BITS = 32
+Edits = tuple[tuple[int, int], ...]
+
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _BLANKS = " \t\n\x0b\f\r"
 
 
@@ -134,77 +143,190 @@ def _banded(signs: Column, most: int) -> Column:
     return F.when(near & tiny, F.levenshtein(signs["a"], signs["b"])).when(near, walked).otherwise(most + 1)
 
 
-def _entry(front: Column, back: Column, length: Column, content: Column) -> Column:
-    """Key of what is matched: ``front`` characters from the start, ``back`` from the end."""
-    n = F.length(content)
-    return F.xxhash64(
-        length, front, back,
-        F.substring(content, F.lit(1), front),
-        F.substring(content, n - back + 1, back),
-    )
+def _allowed(edits: Edits, n: Column) -> Column:
+    """Edits of a pair whose shorter line has ``n`` characters."""
+    out = F.lit(0)
+    for length, most in sorted(edits):
+        out = F.when(n >= length, most).otherwise(out)
+    return out
+
+
+def _view(edits: Edits, n: Column) -> Column:
+    """The lengths, an eighth or less apart, and the edits of the view of length ``n``."""
+    width = F.pow(F.lit(2), F.greatest(F.length(F.bin(n)) - 4, F.lit(0))).cast("int")
+    low = n - F.pmod(n, width)
+    high = low + width - 1
+    for length, _ in sorted(edits):
+        low = F.when(n >= length, F.greatest(low, F.lit(length))).otherwise(low)
+        high = F.when(n < length, F.least(high, F.lit(length - 1))).otherwise(high)
+    return F.struct(low.cast("int").alias("low"), high.cast("int").alias("high"), _allowed(edits, n).alias("edits"))
+
+
+def _part(start: Column, size: Column, view: Column, budget: Column) -> Column:
+    """An open part of a line, the size it is cut for, and the edits it may have."""
+    named = {"start": start, "size": size, "view": view, "budget": budget}
+    return F.struct(*(column.cast("int").alias(name) for name, column in named.items()))
+
+
+def _closed(part: Column) -> Column:
+    return (part["view"] <= 0) | ((part["budget"] > 1) & (part["view"] <= part["budget"]))
 
 
-def _cut(entries: DataFrame) -> DataFrame:
-    """Halve what is open of each entry; its edit is in one half, so the other matches.
+def _segments(budget: Column, most: int) -> Column:
+    """(i, further, spare): segment, how much further in it is taken, and the most of that."""
+    out = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("further"), F.lit(0).alias("spare")))
+    for edits in range(1, most + 1):
+        every = [(i, d, min(i, edits - i)) for i in range(edits + 1) for d in range(min(i, edits - i) + 1)]
+        rows = [F.struct(F.lit(i).alias("i"), F.lit(d).alias("further"), F.lit(r).alias("spare")) for i, d, r in every]
+        out = F.when(budget == edits, F.array(*rows)).otherwise(out)
+    return out
 
-    Of a single open character the longer line has two, and the edit adds the one
-    or the other: the character matches from the front or from the back.
+
+def _cut(entries: DataFrame, most: int, again: bool = True) -> DataFrame:
+    """Entries of each segment of the widest open part, and what is open beside it.
+
+    Segments up to the middle are counted from the start, the others from the end. Of
+    two linked lines one has the segment in its place, and the other one a few
+    characters further in, so the segment is shorter by as many. The part that the
+    segment is counted from is as wide as its place; of the other the narrower of the
+    two lines is not known, so every width is entered. ``guest`` has a bit for each
+    part that is longer than its view. Without ``again`` nothing is left open.
     """
-    end = F.col("length") - F.col("back")
-    middle = F.floor((F.col("front") + end) / 2).cast("int")
-    halves = F.array(
-        F.struct(F.greatest(middle, F.col("front") + 1).alias("front"), F.col("back").alias("back")),
-        F.struct(F.col("front").alias("front"), (F.col("length") - middle).alias("back")),
+    widths = F.transform("open", lambda o, j: F.struct(F.when(_closed(o), -1).otherwise(o["view"]).alias("w"), (-j).alias("j")))
+    chosen = entries.withColumn("at", -F.array_max(widths)["j"]).withColumn("o", F.get("open", F.col("at")))
+    dealt = chosen.withColumn("s", F.explode(_segments(F.col("o.budget"), most)))
+    m, v, budget = F.col("o.size"), F.col("o.view"), F.col("o.budget")
+    i, further, spare = F.col("s.i"), F.col("s.further"), F.col("s.spare")
+    whole = F.floor(v / (budget + 1)).cast("int")
+    whole = F.when(budget == 1, F.greatest(whole, F.least(v, F.lit(1)))).otherwise(whole)
+    front = i * 2 <= budget
+    sized_ = dealt.withColumns({
+        "front": front,
+        "size": F.greatest(whole - spare, F.lit(0)),
+        "place": F.when(front, i).otherwise(budget - i) * whole,
+    })
+    size, place = F.col("size"), F.col("place")
+    begin = F.when(F.col("front"), place + further).otherwise(m - place - further - size)
+    placed = sized_.withColumn("begin", begin.cast("int")).filter("begin >= 0 AND begin + size <= o.size")
+    begin = F.col("begin")
+    piece = F.substring(F.col("content"), F.col("o.start") + begin + 1, size)
+    if not again:
+        return placed.select("id", "edits", "guest", F.xxhash64("key", "s.i", piece).alias("key"))
+    beside = F.when(F.col("front"), m - begin - size).otherwise(begin)
+    free = F.when(F.col("front"), budget - i).otherwise(i)
+    wide = F.transform(F.sequence(F.lit(0), free), lambda t: beside - t)
+    most_wide = v - place - size
+    fitting = F.filter(wide, lambda w: (w >= 0) & (w <= most_wide) & (w >= most_wide - spare))
+    viewed = placed.withColumn("wide", F.explode(fitting))
+    left = _part(F.col("o.start"), begin, F.when(F.col("front"), place).otherwise(F.col("wide")), i)
+    right = _part(
+        F.col("o.start") + begin + size, m - begin - size,
+        F.when(F.col("front"), F.col("wide")).otherwise(place), budget - i,
+    )
+    parts = F.concat(
+        F.slice("open", F.lit(1), F.col("at")), F.array(left, right),
+        F.slice("open", F.col("at") + 2, F.size("open")),
+    )
+    return viewed.select(
+        "id", "edits", F.filter(parts, lambda o: o["budget"] > 0).alias("open"),
+        F.xxhash64("key", "at", "s.i", "wide", piece).alias("key"),
+    )
+
+
+def _guest(parts: Column) -> Column:
+    return F.aggregate(parts, F.lit(0), lambda bits, o: bits * 2 + (o["size"] > o["view"]).cast("int"))
+
+
+def _met(entries: DataFrame, keys: DataFrame) -> DataFrame:
+    """(a, b) of the lines of these entries; in each part one of the two is as short as its view."""
+    met = entries.join(keys, "key").select("key", "id", "guest")
+    x, y = met.alias("x"), met.alias("y")
+    short = F.col("x.guest").bitwiseAND(F.col("y.guest")) == 0
+    joined = x.join(y, (F.col("x.key") == F.col("y.key")) & short & (F.col("x.id") < F.col("y.id")))
+    return joined.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
+def _shared(entries: DataFrame, open_: Column, tied: Column) -> DataFrame:
+    """key, crowded, tied and first of the entries in which lines meet."""
+    counted = entries.groupBy("key").agg(
+        F.count("*").alias("rows"), F.max("edits").alias("edits"), F.max(open_).alias("open"),
+        F.max(tied).alias("tied"), F.min(F.when(F.col("guest") == 0, F.col("id"))).alias("first"),
     )
-    parts = entries.withColumn("part", F.explode(halves))
-    front, back = F.col("part.front"), F.col("part.back")
-    return parts.select(
-        "id", "longer", "length", front.alias("front"), back.alias("back"),
-        _entry(front, back, F.col("length"), F.col("content")).alias("key"),
+    many = F.lit(CROWDED) * F.pow(F.lit(CROWDED_TIMES), F.col("edits") - 1)
+    crowded = (F.col("rows") > many) & F.col("open")
+    return stage(
+        counted.filter("rows > 1").select("key", "first", "tied", crowded.alias("crowded")), "shared-entries"
     )
 
 
-def _pairs(lines: DataFrame) -> DataFrame:
+def _pairs(lines: DataFrame, edits: Edits) -> DataFrame:
     """(a, b): ids of lines that share an index entry; ``lines`` has id and content."""
-    n = F.length("content")
-    roles = F.array(
-        F.struct(F.lit(False).alias("longer"), n.alias("length")),
-        F.struct(F.lit(True).alias("longer"), (n - 1).alias("length")),
+    most = max(k for _, k in edits)
+    long = lines.withColumn("n", F.length("content")).filter(F.col("n") >= MIN_CHARS)
+    lengths = F.filter(
+        F.transform(F.sequence(F.lit(0), F.lit(most)), lambda t: F.col("n") - t), lambda n: n >= MIN_CHARS
+    )
+    views = F.array_distinct(F.transform(lengths, lambda n: _view(edits, n)))
+    viewed = long.withColumn("v", F.explode(views)).filter("n - v.high <= v.edits AND v.edits > 0")
+    start = F.lit(0)
+    whole = viewed.select(
+        "id", "content", "v.edits", (F.col("n") > F.col("v.high")).cast("int").alias("guest"),
+        F.xxhash64("v.low").alias("key"), F.array(_part(start, F.col("n"), F.col("v.low"), F.col("v.edits"))).alias("open"),
     )
-    whole = lines.filter(n >= MIN_CHARS).withColumn("role", F.explode(roles)).select(
-        "id", "content", "role.longer", "role.length",
-        F.lit(0).alias("front"), F.lit(0).alias("back"),
-    ).filter(F.col("length") >= MIN_CHARS)
-    entries, found = _cut(whole), None
+    entries = stage(_cut(whole, most, again=False), "line-entries")
+    shared = _shared(entries, F.lit(True), F.lit(False))
+    found = stage(_met(entries, shared.filter("NOT crowded").select("key")).distinct(), "line-pairs")
+    crowded = shared.filter("crowded").select("key")
+    if crowded.isEmpty():
+        return found
+    again = stage(entries.join(crowded, "key", "left_semi").select("id").distinct(), "crowded-lines")
+    exact = long.join(again, "id", "left_semi").withColumn("v", F.explode(lengths))
+    exact = exact.withColumn("edits", _allowed(edits, F.col("v"))).filter("edits > 0 AND n - v <= edits")
+    current = _cut(exact.select(
+        "id", "content", "edits", F.xxhash64("v").alias("key"),
+        F.array(_part(start, F.col("n"), F.col("v"), F.col("edits"))).alias("open"),
+    ), most)
     while True:
-        entries = stage(entries, "line-entries")
-        own = F.sum(F.when(F.col("longer"), 0).otherwise(1))
-        counted = entries.groupBy("key").agg(
-            own.alias("own"), F.count("*").alias("rows"), F.max(F.col("length") - F.col("front") - F.col("back")).alias("open"),
-            F.min(F.when(~F.col("longer"), F.col("id"))).alias("first"),
-        )
-        shared = stage(counted.filter("own > 0 AND rows > 1"), "shared-entries")
-        calm = shared.filter((F.col("rows") <= CROWDED) | (F.col("open") <= 0)).select("key")
-        met = entries.join(calm, "key").select("key", "id", "longer")
-        x, y = met.filter("NOT longer").alias("x"), met.alias("y")
-        once = F.col("y.longer") | (F.col("x.id") < F.col("y.id"))
-        joined = x.join(y, (F.col("x.key") == F.col("y.key")) & once & (F.col("x.id") != F.col("y.id")))
-        pairs = joined.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-        crowded = shared.filter((F.col("rows") > CROWDED) & (F.col("open") > 0))
-        tied = entries.filter("NOT longer").join(crowded.filter("open = 1").select("key", "first"), "key")
-        pairs = pairs.union(tied.filter("id <> first").select(F.col("first").alias("a"), "id"))
-        level = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
-        found = level if found is None else found.union(level)
+        entries = stage(current.withColumn("guest", _guest(F.col("open"))).distinct(), "line-entries")
+        narrow = F.aggregate("open", F.lit(True), lambda all_, o: all_ & (o["view"] <= o["budget"]))
+        shared = _shared(entries, F.exists("open", lambda o: ~_closed(o)), narrow)
+        # Where nothing can be cut, the shortest lines are tied, and not joined with each other.
+        tied = entries.filter("guest = 0").join(shared.filter("tied").select("key", "first"), "key")
+        pairs = tied.filter("id <> first").select(F.least("first", "id").alias("a"), F.greatest("first", "id").alias("b"))
+        longer = entries.filter("guest <> 0").select("key", F.col("id").alias("i"), F.col("guest").alias("g"))
+        others = entries.join(shared.filter("tied AND NOT crowded").select("key"), "key").select("key", "id", "guest")
+        beside = others.join(longer, "key").filter(F.col("g").bitwiseAND(F.col("guest")) == 0).filter("id <> i")
+        pairs = pairs.union(beside.select(F.least("id", "i").alias("a"), F.greatest("id", "i").alias("b")))
+        pairs = pairs.union(_met(entries, shared.filter("NOT crowded AND NOT tied").select("key")))
+        found = found.union(stage(pairs.distinct(), "line-pairs"))
+        crowded = shared.filter("crowded").select("key")
         if crowded.isEmpty():
             return found.distinct()
-        open_ = entries.join(crowded.select("key"), "key", "left_semi")
-        entries = _cut(open_.join(lines, "id"))
+        open_ = entries.join(crowded, "key", "left_semi").drop("guest")
+        current = _cut(open_.join(lines, "id"), most)
 
 
-def links(lines: DataFrame) -> DataFrame:
-    """(a, b) of distinct lines, given as id and content, that are one edit apart."""
-    pairs = stage(_pairs(lines), "met-lines")
+def links(lines: DataFrame, edits: Edits = EDITS) -> DataFrame:
+    """(a, b) of distinct lines, given as id and content, that are within their edits."""
+    most = max(k for _, k in edits)
+    if 2 * most + 1 > _BAND_BITS or [k for _, k in sorted(edits)] != sorted(k for _, k in edits):
+        raise ValueError(f"edits must not fall with length, nor be more than {(_BAND_BITS - 1) // 2}")
+    pairs = stage(_pairs(lines, edits), "met-lines")
     ids = sized(stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "met-ids"))
+    # Most pairs that are not linked are told by their letters, before they get their texts.
+    counts = [F.length("content") - F.length(F.translate("content", c, "")) for c in _LETTERS]
+    marks = lines.join(ids, "id", "left_semi").select(
+        "id", F.length("content").alias("n"), F.array(*counts, F.length("content") - sum(counts)).alias("letters")
+    )
+    marks = sized(stage(marks, "line-letters"))
+    for side in "ab":
+        pairs = pairs.join(marks.select(F.col("id").alias(side), F.struct("n", "letters").alias(f"mark_{side}")), side)
+    differ = F.aggregate(
+        F.zip_with("mark_a.letters", "mark_b.letters", lambda x, y: F.abs(x - y)), F.lit(0), lambda total, d: total + d
+    )
+    k = _allowed(edits, F.least("mark_a.n", "mark_b.n"))
+    pairs = stage(pairs.filter((F.abs(F.col("mark_a.n") - F.col("mark_b.n")) <= k) & (differ <= 2 * k)).select("a", "b"), "like-lines")
+    ids = sized(stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "like-ids"))
     texts = lines.join(ids, "id", "left_semi")
     sides = [texts.select(F.col("id").alias(s), F.col("content").alias(f"text_{s}")) for s in "ab"]
     both = pairs.join(sides[0], "a").join(sides[1], "b")
@@ -214,51 +336,64 @@ def links(lines: DataFrame) -> DataFrame:
         F.when(swapped, F.col("text_b")).otherwise(F.col("text_a")).alias("x"),
         F.when(swapped, F.col("text_a")).otherwise(F.col("text_b")).alias("y"),
     )
-    pair = F.struct("x", "y", F.length("x").alias("n"), F.length("y").alias("m"))
-    linked = _once(pair, lambda p: _once(_open(p), lambda o: _one_edit(p, o)))
+    n = F.length("x")
+    pair = F.struct("x", "y", n.alias("n"), F.length("y").alias("m"), _allowed(edits, n).alias("k"))
+    kinds = sorted({k for _, k in edits if k > 0})
+    linked = _once(pair, lambda p: _once(_stripped(p), lambda o: _near(o, kinds)))
     return ordered.select("a", "b", linked.alias("linked")).filter("linked").select("a", "b")
 
 
-def _open(pair: Column) -> Column:
-    """What is open of a pair when equal halves are taken off its front and back.
+def _same(n: Column, equal: Callable[[Column], Column]) -> Column:
+    """The largest length up to ``n`` that is ``equal``, by halving."""
+    def halved(s: Column, _: Column) -> Column:
+        middle = F.floor((s["low"] + s["high"] + 1) / 2).cast("int")
+        return F.when(s["low"] >= s["high"], s).when(
+            equal(middle), F.struct(middle.alias("low"), s["high"].alias("high"))
+        ).otherwise(F.struct(s["low"].alias("low"), (middle - 1).alias("high")))
+
+    start = F.struct(F.lit(0).alias("low"), n.cast("int").alias("high"))
+    return F.aggregate(F.sequence(F.lit(0), F.length(F.bin(n))), start, halved, lambda s: s["low"])
 
-    Of what is open one half must match; where none does, the pair is not possible.
-    """
-    x, y, n, m = (pair[name] for name in ("x", "y", "n", "m"))
 
-    def state(front: Column, back: Column, possible: Column) -> Column:
-        return F.struct(front.alias("front"), back.alias("back"), possible.alias("possible"))
+def _stripped(pair: Column) -> Column:
+    """A pair without what is equal at its front and at its back."""
+    x, y, n, m, k = (pair[name] for name in ("x", "y", "n", "m", "k"))
 
-    def halved(s: Column, _: Column) -> Column:
-        front, back = s["front"], s["back"]
-        middle = F.floor((front + n - back) / 2).cast("int")
-        size, rest = middle - front, n - back - middle
-        ahead = F.substring(x, front + 1, size) == F.substring(y, front + 1, size)
-        behind = F.substring(x, middle + 1, rest) == F.substring(y, m - n + middle + 1, rest)
-        done = ~s["possible"] | (n - back - front <= VERIFIED_CHARS)
-        return (
-            F.when(done, s)
-            .when(ahead, state(middle, back, F.lit(True)))
-            .when(behind, state(front, n - middle, F.lit(True)))
-            .otherwise(state(front, back, F.lit(False)))
-        )
+    def rest(front: Column) -> Column:
+        back = _same(n - front, lambda t: F.substring(x, n - t + 1, t) == F.substring(y, m - t + 1, t))
+        return _once(back, lambda b: F.struct(
+            F.substring(x, front + 1, n - front - b).alias("x"), F.substring(y, front + 1, m - front - b).alias("y"),
+            (n - front - b).alias("n"), (m - front - b).alias("m"), k.alias("k"),
+        ))
 
-    start = state(F.lit(0), F.lit(0), F.lit(True))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), start, halved)
+    return _once(_same(n, lambda t: F.substring(x, F.lit(1), t) == F.substring(y, F.lit(1), t)), rest)
+
+
+def _near(pair: Column, kinds: list[int]) -> Column:
+    """Whether a stripped pair is within its edits.
+
+    An edit spoils one piece at most, and the others are in the other line, near by.
+    """
+    x, y, n, m, k = (pair[name] for name in ("x", "y", "n", "m", "k"))
+    size = F.floor(n / PIECES).cast("int")
 
+    def found(j: Column) -> Column:
+        around = F.substring(y, F.greatest(j * size - k, F.lit(0)) + 1, size + 2 * k)
+        return F.contains(around, F.substring(x, j * size + 1, size))
 
-def _one_edit(pair: Column, left: Column) -> Column:
-    """Whether what is left of a pair is within the wanted edits."""
-    front, back = left["front"], left["back"]
-    x = F.substring(pair["x"], front + 1, pair["n"] - back - front)
-    y = F.substring(pair["y"], front + 1, pair["m"] - back - front)
-    return F.when(left["possible"], edit_distance(x, y, EDITS) <= EDITS).otherwise(False)
+    pieces = F.filter(F.sequence(F.lit(0), F.lit(PIECES - 1)), found)
+    possible = (m - n <= k) & ((size == 0) | (F.size(pieces) >= PIECES - k))
+    within = F.lit(False)
+    for most in kinds:
+        within = F.when(k == most, edit_distance(x, y, most) <= most).otherwise(within)
+    return F.when(possible, within).otherwise(False)
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: Edits = EDITS) -> DataFrame:
     """key, line, class_doc, class_line and kept of every line with a word.
 
-    A line is kept where it is the first of its class.
+    A line is kept where it is the first of its class. ``edits`` has pairs of a length
+    and the edits that lines of this length or more may have, of two the shorter one.
     """
     every = _lines(docs, key, text)
     where = stage(every.select("doc", "line", "id"), "line-places")
@@ -268,7 +403,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     single = every.join(repeated, "id", "left_anti").select("id", "content")
     several = every.join(repeated, "id", "left_semi").groupBy("id").agg(F.min("content").alias("content"))
     lines = stage(single.union(several), "distinct-lines")
-    labels = sized(stage(components(stage(links(lines), "line-links"), "a", "b"), "line-classes"))
+    labels = sized(stage(components(stage(links(lines, edits), "line-links"), "a", "b"), "line-classes"))
     named = where.join(labels, where["id"] == labels["node"], "left").select(
         "doc", "line", F.coalesce("component", "id").alias("class")
     )
