@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vitaelake.llm import (
     decontamination,
+    lexical_search,
     line_dedup,
     lm_scoring,
     mixing,
@@ -229,3 +230,35 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined("base_spans"), 256).alias("base_sha256"),
         joined("spans").alias("spans"),
     )
+
+
+@_query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return lexical_search.search(docs, items, k=10)
+
+
+ORACLE_SQL["op11_lexical_search"] = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+item_words AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+total AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS terms FROM doc_words WHERE len(w) > 0),
+sized AS (
+  SELECT doc_id, w, 10 + (90 * len(w)::BIGINT * docs) // terms AS m FROM doc_words, total WHERE len(w) > 0),
+held AS (
+  SELECT doc_id, m, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, m, unnest(w) AS term FROM sized)
+  WHERE term IN (SELECT term FROM item_words) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+  FROM held, total GROUP BY term),
+scores AS (
+  SELECT item_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM item_words JOIN held USING (term) JOIN weights USING (term) GROUP BY ALL),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank,
+    doc_id, score FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
