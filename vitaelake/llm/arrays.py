@@ -8,7 +8,7 @@ character above ASCII is above 127.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +64,14 @@ def _byte_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def substring_sums(data: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function of begins and ends that gives a number for the bytes between them."""
+    power, inverse = _byte_powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, dtype=_U64)
+    np.cumsum(_BYTE_VALUE[data] * power[: len(data)], out=total[1:])
+    return lambda begins, ends: (total[ends] - total[begins]) * inverse[begins]
+
+
 class Words:
     """The words of the texts lo..hi of a batch.
 

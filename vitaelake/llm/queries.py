@@ -17,6 +17,7 @@ from vitaelake.llm import (
     pii,
     quality_gam,
     quality_rules,
+    repeats,
     sharding,
     url_filters,
 )
@@ -262,3 +263,15 @@ ranked AS (
     doc_id, score FROM scores WHERE score > 0)
 SELECT * FROM ranked WHERE rank <= 10
 """
+
+
+@_query
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate(
+        "removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"]
+    )
+    return found.select(
+        "row.doc_id", "n_bytes", removed.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
