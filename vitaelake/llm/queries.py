@@ -14,6 +14,7 @@ from vitaelake.llm import (
     lm_scoring,
     mixing,
     near_dedup,
+    phrases,
     pii,
     quality_gam,
     quality_rules,
@@ -275,3 +276,41 @@ def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_bytes", removed.alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@_query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op12_phrases"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+word_lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM word_lists GROUP BY lang),
+runs AS (
+  SELECT lang, unnest([w[i:i + m - 1] for i in range(1, len(w) - m + 2)]) AS p
+  FROM word_lists, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m),
+counts AS (SELECT lang, p, count(*)::HUGEINT AS f FROM runs GROUP BY lang, p HAVING count(*) >= 30),
+candidates AS (SELECT lang, p, f AS a FROM counts WHERE len(p) > 1),
+inside AS (
+  SELECT lang, unnest(list_concat([p[i:i + 1] for i in range(1, len(p))],
+    CASE WHEN len(p) = 4 THEN [p[1:3], p[2:4]] ELSE [] END)) AS p, a FROM candidates WHERE len(p) > 2),
+longest AS (SELECT lang, p, max(a) AS longer FROM inside GROUP BY lang, p),
+kept AS (
+  SELECT lang, p, a FROM candidates LEFT JOIN longest USING (lang, p)
+  WHERE longer IS NULL OR 100 * longer < 80 * a),
+cuts AS (SELECT *, unnest(range(1, len(p))) AS k FROM kept),
+scored AS (
+  SELECT c.lang, c.p, c.a, k, x.f AS l, y.f AS r, (2000000 * c.a) // (x.f + y.f) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.p = c.p[1:k]
+  JOIN counts y ON y.lang = c.lang AND y.p = c.p[k + 1:]),
+lowest AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

@@ -3,6 +3,8 @@
 Suffixes are sorted only through their first ``WINDOW`` bytes, by passes over ever
 longer prefixes, and a pass goes on with what still has a double:
 
+Of equal texts only the one with the smallest id is sorted; the others are lost whole.
+
 1. Of the suffixes only anchors are dealt: in each window of 50 bytes the run of
    ``GRAM`` bytes with the smallest hash. What a window's anchor is depends on the
    window alone, so equal windows have equal anchors at the same place. Digits of the
@@ -34,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitaelake.llm.arrays import PIECE_BYTES, mixed, raw_text, substring_sums
+from vitaelake.llm.bitmaps import bit_map_of, joined_parts, may_hold
 from vitaelake.sources.staging import estimated_bytes, fits_broadcast, sized, stage
 
 _U64 = np.uint64
@@ -54,6 +57,7 @@ HOT_KINDS, HOT_ANCHORS = 1 << 16, 1 << 20
 HOT_COPIES = 1 << 16
 
 _SPAN = "struct<begin: bigint, end: bigint>"
+_SPANS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 _LENGTHS = _U64(0xD1342543DE82EF95)
 _OFFSETS = _U64(0xA0761D6478BD642F)
 
@@ -178,25 +182,11 @@ def _repeated_digits(bucket_bits: int, map_bits: int) -> Callable[[pa.Table], pa
     return run
 
 
-def _filled(parts: DataFrame, map_bits: int, part_bits: int) -> np.ndarray:
-    """A bit map of its parts; those that are missing have no bit."""
-    whole = np.zeros(1 << (map_bits - 3), dtype=np.uint8)
-    size = 1 << (part_bits - 3)
-    for row in parts.toLocalIterator():
-        whole[row["bucket"] * size : (row["bucket"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
-    return whole
-
-
-def _has(bit_map: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    slots = hashes >> _U64(64 - int(len(bit_map)).bit_length() - 2)
-    return (bit_map[slots >> _U64(3)] >> (7 - (slots & _U64(7))).astype(np.uint8)) & 1 > 0
-
-
 def _candidates(repeated, window: int, gram: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for units in _units(batch.column(0), window, gram):
-                hit = _has(repeated.value, units.gram)
+                hit = may_hold(repeated.value, units.gram)
                 row = pa.array(units.row[hit])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -214,35 +204,9 @@ def _kind_hash(unit: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return mixed(unit ^ mixed(owner.view(_U64)))
 
 
-def _slots(map_bits: int, part_bits: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            unit, owner = (batch.column(i).to_numpy() for i in (0, 1))
-            slots = np.unique(_kind_hash(unit.view(_U64), owner) >> _U64(64 - map_bits))
-            parts = (slots >> _U64(part_bits)).astype(np.int32)
-            cuts = np.flatnonzero(np.diff(parts, prepend=-1))
-            own = (slots & _U64((1 << part_bits) - 1)).astype("<u4")
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(parts[cuts]),
-                    pa.array([p.tobytes() for p in np.split(own, cuts[1:])] if len(own) else [], pa.binary()),
-                ],
-                names=["bucket", "slots"],
-            )
-
-    return run
-
-
-def _packed(part_bits: int) -> Callable[[pa.Table], pa.Table]:
-    def run(table: pa.Table) -> pa.Table:
-        bits = np.zeros(1 << part_bits, dtype=bool)
-        for slots in table.column("slots").to_pylist():
-            bits[np.frombuffer(slots, dtype="<u4")] = True
-        return pa.table(
-            {"bucket": table.column("bucket")[:1], "bits": pa.array([np.packbits(bits).tobytes()])}
-        )
-
-    return run
+def _kind_hashes(batch: pa.RecordBatch) -> np.ndarray:
+    unit, owner = (batch.column(i).to_numpy() for i in (0, 1))
+    return _kind_hash(unit.view(_U64), owner)
 
 
 def _kind_type(window: int, gram: int) -> np.dtype:
@@ -280,8 +244,11 @@ def _least(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _losses(rows: np.ndarray) -> dict[str, np.ndarray]:
     """By unit and id the lost windows, as bits; a pair may come more than once."""
-    return {"unit": rows["unit"].view(np.int64), "id": rows["id"],
-            "lost": np.int64(1) << rows["at"].astype(np.int64)}
+    return {
+        "unit": rows["unit"].view(np.int64),
+        "first": rows["id"],
+        "lost": np.int64(1) << rows["at"].astype(np.int64),
+    }
 
 
 def _kinds(wanted, hot, window: int, gram: int, bucket_bits: int) -> Callable:
@@ -314,7 +281,7 @@ def _kinds(wanted, hot, window: int, gram: int, bucket_bits: int) -> Callable:
             crowded = []
             for units in _units(batch.column(0), window, gram):
                 owner = ids[units.row]
-                hit = np.flatnonzero(_has(wanted.value, _kind_hash(units.unit, owner)))
+                hit = np.flatnonzero(may_hold(wanted.value, _kind_hash(units.unit, owner)))
                 hit = hit[np.unique(np.stack([units.unit[hit], owner[hit].view(_U64)]), axis=1, return_index=True)[1]]
                 kinds = np.zeros(len(hit), dtype=kind_type)
                 kinds["unit"], kinds["id"], kinds["n"] = units.unit[hit], owner[hit], units.n[hit]
@@ -356,15 +323,56 @@ def _buckets(n: float) -> int:
     return int(np.clip(np.ceil(np.log2(max(n, 1) / BUCKET_SIZE)), 8, 22))
 
 
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of a text in order, those that touch made one."""
+    for batch in batches:
+        merged = []
+        for spans in batch.column(2):
+            begin, end = (spans.values.field(j).to_numpy() for j in (0, 1))
+            order = np.argsort(begin, kind="stable")
+            begin, reach = begin[order], np.maximum.accumulate(end[order])
+            heads = np.flatnonzero(np.append(True, begin[1:] > reach[:-1]))
+            tails = np.append(heads[1:], len(begin)) - 1
+            merged.append([{"begin": a, "end": b} for a, b in zip(begin[heads].tolist(), reach[tails].tolist())])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(merged, _SPANS)], names=["id", "content", "spans"]
+        )
+
+
+def _copies(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``id``, ``content`` and ``n_bytes`` of texts that a smaller id has too."""
+    texts = docs.select(
+        F.col(key).cast("long").alias("id"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("content"),
+        F.octet_length(text).cast("long").alias("n_bytes"),
+    )
+    texts = stage(texts.filter("id IS NOT NULL"), "texts")
+    first = texts.groupBy("content").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    several = stage(first.filter("last > first").select("content", "first"), "copied-texts")
+    return stage(
+        texts.join(sized(several), "content").filter("id > first").select("id", "content", "n_bytes").distinct(),
+        "copies",
+    )
+
+
 def repeated_spans(docs: DataFrame, key: str, text: str, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``id``, ``content`` (the text's hash) and ``spans``: bytes covered by lost windows.
+    """``id``, ``content`` (the text's hash) and ``spans``: runs of bytes covered by lost windows.
 
-    Spans may overlap. Texts that lose nothing are left out.
+    Texts that lose nothing are left out. A whole text that a smaller id has too is lost
+    at once, and only the first of such texts is sorted.
     """
     context = docs.sparkSession.sparkContext
+    copies = _copies(docs, key, text)
     rows = docs.filter(F.col(key).isNotNull()).select(
-        F.col(text), F.col(key).cast("long"), F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+        F.col(text).alias("text"),
+        F.col(key).cast("long").alias("id"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("content"),
     )
+    narrow = fits_broadcast(copies)
+    rows = rows.join(F.broadcast(copies) if narrow else copies, ["id", "content"], "left_anti")
+    rows = rows.select("text", "id", "content")
+    if not narrow:  # the text is shuffled once, not for every pass
+        rows = stage(rows, "first-texts")
     bucket_bits = _buckets(estimated_bytes(docs) / ((window - gram) / 2))
     map_bits = min(MAP_BITS, bucket_bits + 21)
     dealt = rows.mapInArrow(
@@ -373,7 +381,7 @@ def repeated_spans(docs: DataFrame, key: str, text: str, window: int = WINDOW, g
     bits = dealt.groupBy("bucket").applyInArrow(
         _repeated_digits(bucket_bits, map_bits), "bucket int, bits binary"
     )
-    repeated = _filled(stage(bits, "repeated-anchors"), map_bits, map_bits - bucket_bits)
+    repeated = joined_parts(stage(bits, "repeated-anchors"), map_bits, map_bits - bucket_bits)
     units = stage(
         rows.mapInArrow(
             _candidates(context.broadcast(repeated), window, gram),
@@ -388,33 +396,44 @@ def repeated_spans(docs: DataFrame, key: str, text: str, window: int = WINDOW, g
         ),
         "kinds",
     )
-    lost = _lost_windows(rows, kinds, window, gram)
-    results = kinds.join(lost, "unit", "left").filter("last > first OR lost IS NOT NULL")
-    results = stage(results.select("unit", "first", "lost", "copies"), "kinds-with-losses")
+    lost = stage(_lost_windows(rows, kinds, window, gram), "lost-windows")
+    results = kinds.drop("gram").join(sized(lost), ["unit", "first"], "left")
+    results = results.filter("last > first OR lost IS NOT NULL").drop("last")
+    results = stage(results, "kinds-with-losses")
     is_hot = F.col("copies") > HOT_COPIES
     many, few = stage(results.filter(is_hot), "hot-kinds"), results.filter(~is_hot)
-    wide = [*units.columns, "first", "lost"]
-    many_hit = units.join(sized(many), "unit").select(*wide)
-    cold = units.join(sized(many), "unit", "left_anti") if many.take(1) else units
-    found = cold.join(few, "unit").select(*wide)
+    wide = ["id", "content", "begin", "n", "first", "lost"]
+    own = units.drop("gram")
     if many.take(1):
-        found = found.unionByName(many_hit)
+        hot = own.join(sized(many), "unit").select(*wide)
+        cold = own.join(sized(many), "unit", "left_anti").join(few, "unit").select(*wide)
+        found = hot.unionByName(cold)
+    else:
+        found = own.join(few, "unit").select(*wide)
     whole = F.array(F.struct(F.col("begin"), (F.col("begin") + F.col("n") + window - 1).alias("end")))
     single = F.expr(
         f"transform(filter(sequence(0, n - 1), i -> (shiftrightunsigned(lost, i) & 1) = 1), "
         f"i -> struct(begin + i AS begin, begin + i + {window} AS end))"
     )
     spans = F.when(F.col("id") > F.col("first"), whole).when(F.col("lost").isNotNull(), single)
-    return (
+    lists = (
         found.filter("id > first OR lost IS NOT NULL")
         .select("id", "content", F.inline(spans.cast(f"array<{_SPAN}>")))
         .groupBy("id", "content")
         .agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     )
+    united = lists.mapInArrow(_united, f"id long, content long, spans array<{_SPAN}>")
+    all_of_it = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("n_bytes").alias("end")))
+    return united.unionByName(
+        copies.filter(F.col("n_bytes") >= window).select("id", "content", all_of_it.alias("spans"))
+    )
 
 
 def _lost_windows(rows: DataFrame, kinds: DataFrame, window: int, gram: int) -> DataFrame:
-    """By unit the windows that its first holder repeats from smaller ids, as bits."""
+    """By unit and its first holder the windows that this one repeats, as bits.
+
+    Rows of other holders, which a bit map's false hits let in, are true but of no use.
+    """
     spark = rows.sparkSession
     context = spark.sparkContext
     mixed_grams = stage(
@@ -422,32 +441,24 @@ def _lost_windows(rows: DataFrame, kinds: DataFrame, window: int, gram: int) ->
     )
     total = mixed_grams.agg(F.sum("kinds")).first()[0] or 0
     if not total:
-        return spark.createDataFrame([], "unit long, lost long")
+        return spark.createDataFrame([], "unit long, first long, lost long")
     limit = max(HOT_KINDS, total // HOT_ANCHORS)
     hot = [r["gram"] for r in mixed_grams.filter(F.col("kinds") > limit).select("gram").collect()]
-    known = mixed_grams.select("gram")
-    firsts = kinds.join(sized(known), "gram", "left_semi").select("unit", "first")
+    known = sized(mixed_grams.select("gram"))
+    firsts = kinds.join(known, "gram", "left_semi").select("unit", "first")
     bucket_bits = _buckets(total)
-    map_bits, part_bits = min(MAP_BITS, bucket_bits + 21), 16
-    parts = (
-        firsts.mapInArrow(_slots(map_bits, part_bits), "bucket int, slots binary")
-        .groupBy("bucket")
-        .applyInArrow(_packed(part_bits), "bucket int, bits binary")
-    )
-    wanted = context.broadcast(_filled(stage(parts, "mixed-kinds"), map_bits, part_bits))
+    wanted = context.broadcast(bit_map_of(firsts, _kind_hashes, min(MAP_BITS, bucket_bits + 21)))
     grams = context.broadcast(np.array(sorted(hot), dtype=np.int64).view(_U64))
     dealt = rows.mapInArrow(
         _kinds(wanted, grams, window, gram, bucket_bits), "bucket int, kinds binary, windows binary"
     )
-    schema = "unit long, id long, lost long"
+    schema = "unit long, first long, lost long"
     if hot:
         dealt = stage(dealt, "dealt-kinds")
     lost = dealt.filter("bucket >= 0").groupBy("bucket").applyInArrow(_sorted_windows(window, gram), schema)
     if hot:
         lost = lost.unionByName(dealt.filter("bucket < 0").mapInArrow(_settled, schema))
-    lost = lost.groupBy("unit", "id").agg(F.bit_or("lost").alias("lost"))
-    first = kinds.select("unit", F.col("first").alias("id"))
-    return lost.join(first, ["unit", "id"]).select("unit", "lost")
+    return lost.groupBy("unit", "first").agg(F.bit_or("lost").alias("lost"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -468,9 +479,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             turns = np.flatnonzero(np.diff(covered.astype(np.int8), prepend=0, append=0))
             removed.append([{"begin": int(a), "end": int(b)} for a, b in zip(turns[::2], turns[1::2])])
             kept.append(own[~covered].tobytes())
-        spans = pa.array(removed, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.diff(bounds)), spans, pa.array(kept, pa.binary())],
+            [batch.column(0), pa.array(np.diff(bounds)), pa.array(removed, _SPANS), pa.array(kept, pa.binary())],
             names=["row", "n_bytes", "removed", "kept"],
         )
 
