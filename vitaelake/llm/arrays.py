@@ -8,7 +8,7 @@ character above ASCII is above 127.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -64,12 +64,22 @@ def _byte_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def substring_sums(data: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
-    """A function of begins and ends that gives a number for the bytes between them."""
-    power, inverse = _byte_powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=_U64)
-    np.cumsum(_BYTE_VALUE[data] * power[: len(data)], out=total[1:])
-    return lambda begins, ends: (total[ends] - total[begins]) * inverse[begins]
+class Sums:
+    """Numbers for runs of bytes; equal bytes have equal numbers wherever they lie."""
+
+    def __init__(self, data: np.ndarray):
+        power, self._inverse = _byte_powers(len(data) + 1)
+        self._total = np.zeros(len(data) + 1, dtype=_U64)
+        np.cumsum(_BYTE_VALUE[data] * power[: len(data)], out=self._total[1:])
+
+    def between(self, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return (self._total[ends] - self._total[begins]) * self._inverse[begins]
+
+    def all_of(self, size: int) -> np.ndarray:
+        """Of every run of ``size`` bytes, by its begin."""
+        sums = self._total[size:] - self._total[:-size]
+        sums *= self._inverse[: len(sums)]
+        return sums
 
 
 class Words:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitaelake.llm.arrays import PIECE_BYTES, mixed, raw_text, substring_sums
+from vitaelake.llm.arrays import Sums, mixed, raw_text
 from vitaelake.llm.bitmaps import bit_map_of, joined_parts, may_hold
 from vitaelake.sources.staging import estimated_bytes, fits_broadcast, sized, stage
 
@@ -44,12 +44,14 @@ _U64 = np.uint64
 WINDOW = 50
 #: Bytes of an anchor. Shorter ones are fewer but repeat by chance.
 GRAM = 24
-#: log2 of the bits in a bit map: 64 MB at most.
-MAP_BITS = 29
+#: log2 of the bits in a bit map: 32 MB at most.
+MAP_BITS = 28
 #: Anchors or kinds of units that a bucket is meant to hold.
 BUCKET_SIZE = 1 << 17
+#: Bytes that are hashed at a time, few enough to stay in a core's cache.
+PIECE_BYTES = 1 << 18
 #: Anchors that a task holds before it hands them on.
-HELD = 1 << 21
+HELD = 1 << 19
 #: An anchor with more kinds of units than this is dealt by windows; no more than
 #: HOT_ANCHORS of them, as the limit grows with the kinds.
 HOT_KINDS, HOT_ANCHORS = 1 << 16, 1 << 20
@@ -97,10 +99,10 @@ def _units(column: pa.Array, window: int, gram: int) -> Iterator[_Units]:
     for data, bounds, row, offset in _chunks(column, window):
         if len(data) < window:
             continue
-        sums = substring_sums(data)
-        starts = np.arange(len(data) - gram + 1)
-        grams = mixed(sums(starts, starts + gram))
-        least, width, span = (grams & ~low) | starts.astype(_U64), 1, window - gram + 1
+        sums = Sums(data)
+        grams = mixed(sums.all_of(gram))
+        least, width, span = grams & ~low, 1, window - gram + 1
+        least |= np.arange(len(grams), dtype=_U64)
         while width < span:
             step = min(width, span - width)
             least = np.minimum(least[:-step], least[step:])
@@ -120,7 +122,7 @@ def _units(column: pa.Array, window: int, gram: int) -> Iterator[_Units]:
         text = np.searchsorted(bounds, at, side="right") - 1
         shape = (n.astype(_U64) * _LENGTHS) ^ ((anchors[heads] - at).astype(_U64) * _OFFSETS)
         yield _Units(
-            row + text, grams[anchors[heads]], mixed(sums(at, at + n - 1 + window) ^ mixed(shape)),
+            row + text, grams[anchors[heads]], mixed(sums.between(at, at + n - 1 + window) ^ mixed(shape)),
             at - bounds[text] + offset, at, n, data,
         )
 
@@ -223,13 +225,13 @@ def _window_rows(kinds: np.ndarray, window: int) -> np.ndarray:
     for i in range(0, len(kinds), 4096):
         part = kinds[i : i + 4096]
         width = part["bytes"].shape[1]
-        sums = substring_sums(np.ascontiguousarray(part["bytes"]).reshape(-1))
+        sums = Sums(np.ascontiguousarray(part["bytes"]).reshape(-1))
         kind = np.repeat(np.arange(len(part)), part["n"])
         first = np.cumsum(part["n"], dtype=np.int64) - part["n"]
         at = np.arange(len(kind)) - np.repeat(first, part["n"])
         rows = np.empty(len(kind), dtype=_WINDOW_TYPE)
         rows["unit"], rows["id"], rows["at"] = part["unit"][kind], part["id"][kind], at
-        rows["hash"] = mixed(sums(kind * width + at, kind * width + at + window))
+        rows["hash"] = mixed(sums.between(kind * width + at, kind * width + at + window))
         out.append(rows)
     return np.concatenate(out) if out else np.empty(0, dtype=_WINDOW_TYPE)
 
@@ -374,7 +376,7 @@ def repeated_spans(docs: DataFrame, key: str, text: str, window: int = WINDOW, g
     if not narrow:  # the text is shuffled once, not for every pass
         rows = stage(rows, "first-texts")
     bucket_bits = _buckets(estimated_bytes(docs) / ((window - gram) / 2))
-    map_bits = min(MAP_BITS, bucket_bits + 21)
+    map_bits = min(MAP_BITS, bucket_bits + 19)
     dealt = rows.mapInArrow(
         _digits(window, gram, bucket_bits), "bucket int, once binary, often binary"
     )
@@ -447,7 +449,7 @@ def _lost_windows(rows: DataFrame, kinds: DataFrame, window: int, gram: int) ->
     known = sized(mixed_grams.select("gram"))
     firsts = kinds.join(known, "gram", "left_semi").select("unit", "first")
     bucket_bits = _buckets(total)
-    wanted = context.broadcast(bit_map_of(firsts, _kind_hashes, min(MAP_BITS, bucket_bits + 21)))
+    wanted = context.broadcast(bit_map_of(firsts, _kind_hashes, min(MAP_BITS, bucket_bits + 19)))
     grams = context.broadcast(np.array(sorted(hot), dtype=np.int64).view(_U64))
     dealt = rows.mapInArrow(
         _kinds(wanted, grams, window, gram, bucket_bits), "bucket int, kinds binary, windows binary"
