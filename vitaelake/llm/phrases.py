@@ -46,10 +46,10 @@ INSIDE = 80
 UNKNOWN = "und"
 #: Word hashes that one broadcast holds, 8 bytes each.
 WORD_BLOCK = 1 << 23
-#: log2 of the bits in a map of frequent runs: 32 MB.
-MAP_BITS = 28
+#: log2 of the bits in a map of frequent runs: 16 MB.
+MAP_BITS = 27
 #: Distinct words, runs, or entries of a filter that a task holds before it hands them on.
-HELD_WORDS, HELD_RUNS, HELD_ENTRIES = 1 << 20, 1 << 22, 1 << 22
+HELD_WORDS, HELD_RUNS, HELD_ENTRIES = 1 << 18, 1 << 21, 1 << 21
 #: Entries that a bucket is meant to hold.
 BUCKET_SIZE = 1 << 18
 SALTS = 8
