@@ -26,6 +26,7 @@ SMOOTHING = 1.0
 THRESHOLD = -0.1
 
 SPACE = r"[ \t-\x0D]+"
+_SPACES = " \t\n\x0B\f\r"
 SYMBOLS = r"[#*$%&|<>]"
 REPEAT_WINDOW = 8
 
@@ -46,13 +47,18 @@ def _hashed(array: Column) -> Column:
 
 
 def _joined(hashes: Column, shift: int) -> Column:
-    """Hash of each element with the one ``shift`` later."""
-    left = F.greatest(F.size(hashes) - shift, F.lit(0))
-    return F.zip_with(
-        F.slice(hashes, F.lit(1), left),
-        F.slice(hashes, F.lit(shift + 1), left),
-        lambda a, b: F.xxhash64(a, b),
-    )
+    """Hash of each element with the one ``shift`` later.
+
+    The array is bound by a transform, so that it is computed once and not in each of
+    the places that name it.
+    """
+
+    def pairs(h: Column) -> Column:
+        left = F.greatest(F.size(h) - shift, F.lit(0))
+        before, after = F.slice(h, F.lit(1), left), F.slice(h, F.lit(shift + 1), left)
+        return F.zip_with(before, after, lambda a, b: F.xxhash64(a, b))
+
+    return F.transform(F.array(hashes), pairs)[0]
 
 
 def _buckets(hashes: Column) -> Column:
@@ -145,7 +151,7 @@ def with_base(docs: DataFrame, text: str = "text") -> DataFrame:
     return doc.withColumns(
         {
             "n_words": n_words,
-            "word_chars": F.length(F.array_join(words(content), "")).cast("long"),
+            "word_chars": F.length(F.translate(content, _SPACES, "")).cast("long"),
             "n_symbols": F.regexp_count(content, F.lit(SYMBOLS)).cast("long"),
             "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
             "n_repeat_words": n_repeat,
