@@ -45,7 +45,8 @@ _EMAIL = (re.compile(r"(?<![A-Za-z0-9._%+-])" + _EMAIL_REST), re.compile(_EMAIL_
 _IP = (re.compile(r"(?<![0-9])" + _IP_REST), re.compile(_IP_REST))
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_TOKEN = re.compile(r"[^ \t-\r]*[0-9@][^ \t-\r]*")
+_TOKEN = re.compile(r"[^ \t-\r]+")
+_MARK = re.compile("[0-9@]")
 _EDGE = re.compile(r"^[^0-9A-Za-z+]+|[^0-9A-Za-z]+$")
 
 Span = tuple[int, int, int]  # begin, kind, end
@@ -78,7 +79,7 @@ def base_spans(text: str) -> list[Span]:
     spans += [
         (m.start(), 1, m.end())
         for m in _runs(text, _IP)
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))
+        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m.group().split("."))
     ]
     for m in _CARD.finditer(text):
         digits = _digits(m.group())
@@ -134,6 +135,8 @@ def _chain(text: str, spans: list[Span]) -> _Chain:
     chain = _Chain([], [], np.empty((0, 0)), [], [], [])
     rows, seen, at = [], {}, 0
     for m in _TOKEN.finditer(text):
+        if not _MARK.search(m.group()):
+            continue
         token, number = m.group(), len(rows)
         before = re.search(r"([^ \t-\r]{1,40})[ \t-\r]$", text[max(0, m.start() - 41) : m.start()])
         rows.append(_shape(token, before.group(1) if before else ""))
