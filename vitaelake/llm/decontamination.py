@@ -142,6 +142,16 @@ class _Block:
     ids: dict[int, int]
     screen: np.ndarray
 
+    def parts(self) -> tuple:
+        """Plain containers: workers need no copy of the package to read the broadcast."""
+        return vars(self.automaton), self.ids, self.screen
+
+    @classmethod
+    def of_parts(cls, parts: tuple) -> _Block:
+        automaton = SuffixAutomaton.__new__(SuffixAutomaton)
+        vars(automaton).update(parts[0])
+        return cls(automaton, *parts[1:])
+
 
 def _block(items: list[tuple[str, np.ndarray]], window: int) -> _Block:
     automaton, ids = SuffixAutomaton(window), {}
@@ -230,7 +240,7 @@ _ADDED = "n_words long, hit_spans array<struct<begin: bigint, end: bigint>>, ite
 
 def _searched(block, at: int, width: int, carried: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = block.value
+        own = _Block.of_parts(block.value)
         for batch in batches:
             counts, spans, items = [], [], []
             for lo, hi, words in words_of(batch.column(at), ALPHANUMERIC):
@@ -271,7 +281,7 @@ def search(
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     width, at, current = len(docs.columns), docs.columns.index(text), docs
     for number, block in enumerate(_blocks(items, item_id, item_text, window, block_words)):
-        run = _searched(context.broadcast(block), at, width, number > 0)
+        run = _searched(context.broadcast(block.parts()), at, width, number > 0)
         current = current.mapInArrow(run, f"{fields}, {_ADDED}")
     return current
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -192,6 +192,10 @@ class _Block:
     offsets: dict[int, np.ndarray]
     bits: dict[int, np.ndarray]
 
+    def parts(self) -> tuple:
+        """What ``_Block`` is made of again."""
+        return tuple(getattr(self, f.name) for f in fields(self))
+
     def _segment(self, hashes: np.ndarray) -> np.ndarray:
         return (hashes >> _U64(self.shift)).astype(np.int64)
 
@@ -288,7 +292,7 @@ def _pass(block, model_size: tuple[int, int], share: float, keys: int, first: bo
         return np.add.reduceat(np.log10(share * paired + (1 - share) * single), begins[:-1])
 
     def piece(words: Words, own: list[pa.Array] | None) -> list:
-        known_block = block.value
+        known_block = _Block(*block.value)
         tokens, begins = _tokens(words)
         unique, where = np.unique(tokens, return_inverse=True)
         exact = known_block.exact(unique)
@@ -332,7 +336,8 @@ def score(docs: DataFrame, model: Model, keys: list[str], text: str = "text") ->
     known = {segment for group in groups for kind, segment in group if kind == 1}
     for number, group in enumerate(groups):
         first, last = number == 0, number == len(groups) - 1
-        block = context.broadcast(_loaded(model, group, first, known))
+        # Plain arrays: workers need no copy of the package to read the broadcast.
+        block = context.broadcast(_loaded(model, group, first, known).parts())
         size = (model.train_tokens, model.vocabulary)
         run = _pass(block, size, model.pair_share, len(keys), first, last)
         if last:
