@@ -62,6 +62,7 @@ _SPAN = "struct<begin: bigint, end: bigint>"
 _SPANS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 _LENGTHS = _U64(0xD1342543DE82EF95)
 _OFFSETS = _U64(0xA0761D6478BD642F)
+_ANCHORS = _U64(0xE7037ED1A0B428DB)
 
 
 @dataclass
@@ -121,8 +122,9 @@ def _units(column: pa.Array, window: int, gram: int) -> Iterator[_Units]:
         n = np.concatenate([begins[heads[1:] - 1], begins[-1:]]) + 1 - at
         text = np.searchsorted(bounds, at, side="right") - 1
         shape = (n.astype(_U64) * _LENGTHS) ^ ((anchors[heads] - at).astype(_U64) * _OFFSETS)
+        # Anchors are smallest hashes, so these crowd at the low end; mixed anew they are even.
         yield _Units(
-            row + text, grams[anchors[heads]], mixed(sums.between(at, at + n - 1 + window) ^ mixed(shape)),
+            row + text, mixed(grams[anchors[heads]] ^ _ANCHORS), mixed(sums.between(at, at + n - 1 + window) ^ mixed(shape)),
             at - bounds[text] + offset, at, n, data,
         )
 
@@ -399,7 +401,7 @@ def repeated_spans(docs: DataFrame, key: str, text: str, window: int = WINDOW, g
         "kinds",
     )
     lost = stage(_lost_windows(rows, kinds, window, gram), "lost-windows")
-    results = kinds.drop("gram").join(sized(lost), ["unit", "first"], "left")
+    results = kinds.drop("gram").join(lost, ["unit", "first"], "left")
     results = results.filter("last > first OR lost IS NOT NULL").drop("last")
     results = stage(results, "kinds-with-losses")
     is_hot = F.col("copies") > HOT_COPIES
@@ -446,8 +448,7 @@ def _lost_windows(rows: DataFrame, kinds: DataFrame, window: int, gram: int) ->
         return spark.createDataFrame([], "unit long, first long, lost long")
     limit = max(HOT_KINDS, total // HOT_ANCHORS)
     hot = [r["gram"] for r in mixed_grams.filter(F.col("kinds") > limit).select("gram").collect()]
-    known = sized(mixed_grams.select("gram"))
-    firsts = kinds.join(known, "gram", "left_semi").select("unit", "first")
+    firsts = kinds.join(mixed_grams.select("gram"), "gram", "left_semi").select("unit", "first")
     bucket_bits = _buckets(total)
     wanted = context.broadcast(bit_map_of(firsts, _kind_hashes, min(MAP_BITS, bucket_bits + 19)))
     grams = context.broadcast(np.array(sorted(hot), dtype=np.int64).view(_U64))
