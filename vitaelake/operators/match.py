@@ -89,7 +89,7 @@ def idf(n_docs: int, df: Column) -> Column:
     return F.log(F.lit(float(1 + n_docs)) / (df + 1)) + 1
 
 
-def _with_df(terms: DataFrame, vocab: DataFrame, n_docs: int) -> DataFrame:
+def with_df(terms: DataFrame, vocab: DataFrame, n_docs: int) -> DataFrame:
     """Add each token's ``df``. Common tokens, the hot keys, are not shuffled."""
     if fits_broadcast(vocab):
         return terms.join(F.broadcast(vocab), "token")
@@ -145,7 +145,7 @@ def match_text(
 
     weight = F.col("tf") * idf(n_docs, F.col("df"))
     best = (
-        _with_df(terms, vocab, n_docs)
+        with_df(terms, vocab, n_docs)
         .withColumn("weight", weight)
         .join(F.broadcast(weights), "token", "left")
         .groupBy("resume_id")
@@ -210,25 +210,41 @@ def refresh_vectors(
     vectors: DataFrame,
     embed: Callable[[pd.Series], pd.Series],
 ) -> DataFrame:
-    """The vector table brought up to the documents.
-
-    Embeds only new and changed texts, keeps the vectors of unchanged ones and
-    drops those whose document is gone. ``embed`` maps texts to vectors.
-    """
+    """``refresh_vectors_by`` with a function from texts to vectors."""
 
     @F.pandas_udf("array<float>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield embed(texts)
 
-    changes = sized(stage(vector_changes(docs, vectors), "vector-changes"))
-    kept = vectors.select("resume_id", "text_hash", "embedding").join(
-        changes, "resume_id", "left_anti"
-    )
-    due = docs.join(changes.filter("action <> 'removed'"), "resume_id", "left_semi")
-    fresh = due.select(
+    return refresh_vectors_by(docs, vectors, run)
+
+
+def refresh_vectors_by(
+    docs: DataFrame, vectors: DataFrame, embedding: Callable[[Column], Column]
+) -> DataFrame:
+    """The vector table brought up to the documents.
+
+    Embeds only new and changed texts, keeps the vectors of unchanged ones and
+    drops those whose document is gone. Which texts are due is told by the smaller
+    side, the ids that are due or those that are not, so a first load and a load with
+    few changes join no text by shuffle.
+    """
+    changes = stage(vector_changes(docs, vectors), "vector-changes")
+    due = changes.filter("action <> 'removed'").select("resume_id")
+    current = vectors.select("resume_id", "text_hash", "embedding")
+    kept = current.join(sized(changes.select("resume_id")), "resume_id", "left_anti")
+    unchanged = stage(kept.select("resume_id"), "unchanged-vectors")
+    n_due, n_unchanged = due.count(), unchanged.count()
+    if not n_unchanged:
+        texts = docs
+    elif n_due <= n_unchanged:
+        texts = docs.join(sized(due, n_due), "resume_id", "left_semi")
+    else:
+        texts = docs.join(sized(unchanged, n_unchanged), "resume_id", "left_anti")
+    fresh = texts.select(
         "resume_id",
         text_hash(F.col("clean_text")).alias("text_hash"),
-        run(F.col("clean_text")).alias("embedding"),
+        embedding(F.col("clean_text")).alias("embedding"),
     )
-    return kept.unionByName(fresh)
+    return kept.unionByName(fresh) if n_unchanged else fresh

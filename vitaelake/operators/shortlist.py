@@ -7,6 +7,7 @@ that approves or rejects anyone.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -14,12 +15,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitaelake.config import SHORTLIST_KEY, SHORTLIST_WIDTHS
+from vitaelake.sources import manifest
 from vitaelake.sources.landing import moment
+from vitaelake.sources.staging import estimated_bytes
 
 ACTION_SCHEMA = (
     "recruiter_email string, resume_id string, category string, job_title string, "
     "job_description string, note string, added_at timestamp, seq bigint"
 )
+#: Compacted actions lie in a folder that a plain scan of the log leaves out.
+_COMPACTED = "_compacted"
+COMPACTED_FILE_BYTES = 128 * 1024 * 1024
 SHORTLIST_COLUMNS = (
     *SHORTLIST_KEY,
     "category",
@@ -147,5 +153,64 @@ def record_action(
     broken = rejects(row).select("reason").first()
     if broken:
         raise ValueError(broken["reason"])
-    row.write.mode("append").parquet(log_path)
+    record_actions(row, log_path)
     return row
+
+
+def record_actions(actions: DataFrame, log_path: str) -> None:
+    """Append actions to the log as they are; safe beside other writers and a compaction."""
+    actions.write.mode("append").parquet(log_path)
+
+
+def _log_files(spark: SparkSession, log_path: str) -> tuple[list[str], list[str], dict]:
+    """Loose files and compacted folders that make up the log, and its version."""
+    loose = manifest.names(spark, log_path)  # before the version, which may replace some
+    _, content = manifest.latest(spark, log_path)
+    gone = {*content.get("replaced", []), *content.get("deleted", [])}
+    return [name for name in loose if name not in gone], content.get("compacted", []), content
+
+
+def _read_parts(
+    spark: SparkSession, log_path: str, loose: Sequence[str], compacted: Sequence[str]
+) -> DataFrame:
+    paths = [f"{log_path}/{name}" for name in loose]
+    paths += [f"{log_path}/{_COMPACTED}/{name}" for name in compacted]
+    if not paths:
+        return spark.createDataFrame([], ACTION_SCHEMA)
+    return spark.read.schema(ACTION_SCHEMA).parquet(*paths)
+
+
+def read_actions(spark: SparkSession, log_path: str) -> DataFrame:
+    """All actions of the log, each once, whatever has been compacted of it."""
+    loose, compacted, _ = _log_files(spark, log_path)
+    return _read_parts(spark, log_path, loose, compacted)
+
+
+def compact_actions(spark: SparkSession, log_path: str) -> int:
+    """Swap the many small files of the log for few; the number of files replaced.
+
+    The new version names both the compacted folder and the files it replaces, so no
+    reader counts an action twice or misses one. Files appended meanwhile are in no
+    version and stay. Replaced files are deleted by the next compaction: readers that
+    started before this one find them until then. Of two compactions at once the
+    second leaves the log as the first has made it.
+    """
+    loose, compacted, content = _log_files(spark, log_path)
+    if not loose:
+        return 0
+    number, _ = manifest.latest(spark, log_path)
+    name = uuid.uuid4().hex
+    rows = _read_parts(spark, log_path, loose, compacted)
+    files = max(1, estimated_bytes(rows) // COMPACTED_FILE_BYTES)
+    rows.repartition(int(files)).write.parquet(f"{log_path}/{_COMPACTED}/{name}")
+    new = {"compacted": [name], "replaced": loose, "deleted": content.get("replaced", [])}
+    try:
+        manifest.publish(spark, log_path, number + 1, {**new, "former": compacted})
+    except manifest.VersionTaken:
+        manifest.delete(spark, f"{log_path}/{_COMPACTED}/{name}")
+        return 0
+    for old in content.get("replaced", []):
+        manifest.delete(spark, f"{log_path}/{old}")
+    for old in content.get("former", []):
+        manifest.delete(spark, f"{log_path}/{_COMPACTED}/{old}")
+    return len(loose)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 from itertools import islice
 
 import numpy as np
@@ -15,7 +14,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitaelake.sources.staging import stage
+from vitaelake.sources.staging import stage, stage_all
 
 QUERY_BLOCK = 1024
 ROWS_PER_CELL_FILE = 100_000
@@ -65,43 +64,65 @@ def _scan(
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Running top k per query over id, vector and, if ``probed``, cell.
 
-    ``probed[cell, query]`` tells which cells count for which query.
+    ``probed[cell, query]`` tells which cells count for which query; a cell's vectors
+    are multiplied with these queries only. The pairs that were compared come as a
+    row per query without ``vec_id``.
     """
     units = _unit(queries)
 
+    def parts(batch: pa.RecordBatch, ids: np.ndarray) -> Iterator[tuple]:
+        vectors = _unit(_matrix(batch.column(1)))
+        if probed is None:
+            yield np.arange(len(query_ids)), ids, vectors @ units.T
+            return
+        cells = batch.column(2).to_numpy()
+        for cell in np.unique(cells):
+            own, asking = cells == cell, np.flatnonzero(probed[cell])
+            yield asking, ids[own], vectors[own] @ units[asking].T
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list = [None] * len(query_ids)
+        pairs = np.zeros(len(query_ids), dtype=np.int64)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            cosines = np.round(_unit(_matrix(batch.column(1))) @ units.T, _DIGITS)
-            usable = ~np.isnan(cosines)
-            if probed is not None:
-                usable &= probed[batch.column(2).to_numpy()]
-            for at, query in enumerate(query_ids):
-                keep = usable[:, at]
-                if skip_self:
-                    keep = keep & (ids != query)
-                found = ids[keep], cosines[keep, at]
-                if best[at] is not None:
-                    found = tuple(map(np.concatenate, zip(best[at], found)))
-                best[at] = _best(*found, k)
-        # One partition hands on at most k rows per query.
-        for query, found in zip(query_ids, best):
-            if found is not None and len(found[0]):
-                columns = [pa.array([query] * len(found[0])), *map(pa.array, found)]
-                yield pa.RecordBatch.from_arrays(
-                    columns, names=["query_id", "vec_id", "cosine"]
-                )
+            every = batch.column(0).to_numpy(zero_copy_only=False)
+            for asking, ids, products in parts(batch, every):
+                cosines = np.round(products, _DIGITS)
+                usable = ~np.isnan(cosines)
+                pairs[asking] += len(ids)
+                for at, query in enumerate(asking):
+                    keep = usable[:, at]
+                    if skip_self:
+                        keep = keep & (ids != query_ids[query])
+                    found = ids[keep], cosines[keep, at]
+                    if best[query] is not None:
+                        found = tuple(map(np.concatenate, zip(best[query], found)))
+                    best[query] = _best(*found, k)
+        # One partition hands on at most k rows per query, and its number of pairs.
+        for query, found, compared in zip(query_ids, best, pairs.tolist()):
+            if not compared:
+                continue
+            ids, cosines = (found[0].tolist(), found[1].tolist()) if found else ([], [])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([query] * (len(ids) + 1), kind),
+                    pa.array([*ids, None], kind),
+                    pa.array([*cosines, None], pa.float64()),
+                    pa.array([None] * len(ids) + [compared], pa.int64()),
+                ],
+                names=["query_id", "vec_id", "cosine", "pairs"],
+            )
 
+    kind = pa.array(query_ids).type
     return run
 
 
 def _top_k(pairs: DataFrame, k: int) -> DataFrame:
     window = Window.partitionBy("query_id").orderBy(F.desc("cosine"), "vec_id")
     return (
-        pairs.withColumn("rank", F.row_number().over(window))
+        pairs.filter("vec_id IS NOT NULL")
+        .withColumn("rank", F.row_number().over(window))
         .filter(F.col("rank") <= k)
         .select("query_id", "vec_id", score_of(F.col("cosine")).alias("match_score"), "rank")
     )
@@ -110,21 +131,37 @@ def _top_k(pairs: DataFrame, k: int) -> DataFrame:
 def _blocks(queries: DataFrame, size: int) -> Iterator[tuple[list, np.ndarray]]:
     """Ids and vectors of the queries, at most ``size`` at a time."""
     rows = queries.select("vec_id", "embedding").filter("embedding IS NOT NULL")
-    stream = stage(rows, "query-vectors").toLocalIterator(prefetchPartitions=True)
+    stream = stage(rows, "query-vectors").toLocalIterator()
     while taken := list(islice(stream, size)):
         matrix = np.array([r["embedding"] for r in taken], dtype=np.float64)
         yield [r["vec_id"] for r in taken], matrix
 
 
 def _search(
-    usable: DataFrame, scans: Iterator[tuple[DataFrame, Callable]], k: int
+    usable: DataFrame, scans: Iterator[tuple[DataFrame, Callable]], k: int, with_pairs: bool = False
 ) -> DataFrame:
+    """Search block after block; the answers of all blocks are one staged table.
+
+    Only one block of queries is alive at a time, and the plan of the result is a scan
+    however many there were.
+    """
+    spark = usable.sparkSession
     kind = usable.schema["vec_id"].dataType.simpleString()
-    schema = f"query_id {kind}, vec_id {kind}, cosine double"
-    found = [rows.mapInArrow(scan, schema) for rows, scan in scans]
-    if not found:
-        return _top_k(usable.sparkSession.createDataFrame([], schema), k)
-    return _top_k(reduce(DataFrame.unionByName, found), k)
+    schema = f"query_id {kind}, vec_id {kind}, cosine double, pairs long"
+
+    def answer(rows: DataFrame, scan: Callable) -> DataFrame:
+        found = rows.mapInArrow(scan, schema)
+        if not with_pairs:
+            return _top_k(found, k)
+        found = stage(found, "best-of-tasks")
+        compared = found.groupBy("query_id").agg(F.sum("pairs").alias("pairs"))
+        return compared.join(_top_k(found, k), "query_id", "left").select(
+            "query_id", "vec_id", "match_score", "rank", "pairs"
+        )
+
+    columns = f"query_id {kind}, vec_id {kind}, match_score double, rank int"
+    columns += ", pairs long" if with_pairs else ""
+    return stage_all(spark, (answer(*scan) for scan in scans), columns, "vector-matches")
 
 
 def match_vectors(
@@ -140,7 +177,8 @@ def match_vectors(
     place: a task multiplies its Arrow batches with a block of query vectors,
     keeps a running top k per query and ships only that, so neither pairs nor
     vectors are shuffled. A block holds at most ``block`` query vectors; a
-    larger query set costs one scan per block, not more memory.
+    larger query set costs one scan per block, not more memory on the driver or
+    in a task, and no larger plan.
     """
     usable = vectors.select("vec_id", "embedding").filter("embedding IS NOT NULL")
     scans = (
@@ -156,6 +194,78 @@ class VectorIndex:
     rows: DataFrame
     centres: np.ndarray
 
+    def probed(self, queries: np.ndarray, probes: int) -> np.ndarray:
+        """``probed[cell, query]``: the cells with the nearest centres."""
+        return _cheapest(-(_unit(self.centres) @ _unit(queries).T), probes)
+
+
+@dataclass(frozen=True)
+class HashIndex:
+    """Vectors stored by the sides of fixed planes that they lie on.
+
+    A cell is the number whose bit i tells whether a vector lies on the upper side of
+    plane i, so nothing is trained and a new vector finds its cell by itself.
+    """
+
+    rows: DataFrame
+    planes: np.ndarray
+
+    def probed(self, queries: np.ndarray, probes: int) -> np.ndarray:
+        """The cells that a query reaches over the smallest sum of plane distances."""
+        distance = queries @ self.planes.T
+        bits = np.arange(len(self.planes))
+        upper = (np.arange(1 << len(bits))[:, None] >> bits) & 1
+        # A bit that differs from the query's own costs the distance to its plane.
+        cost = np.where(distance >= 0, -1, 1) * np.abs(distance)
+        own = np.where(distance >= 0, np.abs(distance), 0).sum(axis=1)
+        return _cheapest(upper @ cost.T + own, probes)
+
+
+def _cheapest(cost: np.ndarray, probes: int) -> np.ndarray:
+    """Per column the ``probes`` rows of the lowest cost, equal ones by row."""
+    near = np.argsort(cost, axis=0, kind="stable")[:probes]
+    probed = np.zeros(cost.shape, dtype=bool)
+    np.put_along_axis(probed, near, True, axis=0)
+    return probed
+
+
+def hash_planes(dimensions: int, bits: int) -> np.ndarray:
+    """The normals of ``bits`` planes: whole numbers of a multiplicative generator.
+
+    Entry d of plane p (both from 0) is n % 2001 - 1000, n being p * dimensions + d + 1
+    after three steps of n * 48271 % 2147483647.
+    """
+    n = np.arange(1, dimensions * bits + 1, dtype=np.int64).reshape(bits, dimensions)
+    for _ in range(3):
+        n = n * 48271 % 2147483647
+    return (n % 2001 - 1000).astype(np.float64)
+
+
+def _placed_by(planes: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                upper = _matrix(batch.column(1)) @ planes.T >= 0
+                cells = upper @ (1 << np.arange(len(planes)))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(cells, pa.int32())], names=["vec_id", "embedding", "cell"]
+                )
+
+    return run
+
+
+def build_hash_index(vectors: DataFrame, path: str, dimensions: int, bits: int = 8) -> HashIndex:
+    """Store the vectors by their sides of ``bits`` planes, in one pass and without training.
+
+    Vectors without an embedding are left out; others must have ``dimensions`` entries.
+    A crowded cell is written and read by many tasks.
+    """
+    planes = hash_planes(dimensions, bits)
+    rows = vectors.select("vec_id", "embedding").filter("embedding IS NOT NULL")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    placed = stage(rows.mapInArrow(_placed_by(planes), f"{fields}, cell int"), "hashed-vectors")
+    return HashIndex(_stored_by_cell(placed, path), planes)
+
 
 def build_vector_index(
     vectors: DataFrame, path: str, cells: int = 64, seed: int = 42
@@ -180,57 +290,57 @@ def build_vector_index(
     placed = stage(
         model.transform(units).select("vec_id", "embedding", "cell"), "placed-vectors"
     )
+    return VectorIndex(_stored_by_cell(placed, path), np.array(model.clusterCenters()))
+
+
+def _stored_by_cell(placed: DataFrame, path: str) -> DataFrame:
+    """A folder per cell, a file for about every ``ROWS_PER_CELL_FILE`` rows of it."""
     files = F.ceil(F.count("*") / ROWS_PER_CELL_FILE).alias("files")
     salted = placed.join(F.broadcast(placed.groupBy("cell").agg(files)), "cell")
     salted = salted.withColumn("salt", F.pmod(F.xxhash64("vec_id"), "files"))
     salted.repartition("cell", "salt").drop("salt", "files").write.partitionBy(
         "cell"
     ).parquet(path)
-    schema = raw.select("vec_id", "embedding").schema.add("cell", "integer")
-    return VectorIndex(
-        spark.read.schema(schema).parquet(path), np.array(model.clusterCenters())
-    )
+    schema = placed.select("vec_id", "embedding").schema.add("cell", "integer")
+    return placed.sparkSession.read.schema(schema).parquet(path)
 
 
 def match_vectors_approx(
-    index: VectorIndex,
+    index: VectorIndex | HashIndex,
     queries: DataFrame,
     k: int = 10,
     skip_self: bool = False,
     probes: int = 8,
     block: int = QUERY_BLOCK,
+    with_pairs: bool = False,
 ) -> DataFrame:
-    """Top k among the vectors in the ``probes`` cells nearest to a query.
+    """Top k among the vectors in the ``probes`` cells that come first for a query.
 
-    Only folders of probed cells are read. With all cells probed the answer is
-    exact; ``pairs_examined`` tells the work that fewer cells save.
+    Only folders of probed cells are read, and a cell's vectors are compared with the
+    queries that probe it. With all cells probed the answer is exact. ``with_pairs``
+    adds ``pairs``, the vectors that the scans compared with the query; a query that
+    finds nothing then has one row without ``vec_id``, unless its cells are empty.
     """
 
     def scans() -> Iterator[tuple[DataFrame, Callable]]:
         for ids, matrix in _blocks(queries, block):
-            probed = _probed(index, matrix, probes)
+            probed = index.probed(matrix, probes)
             cells = np.flatnonzero(probed.any(axis=1)).tolist()
             yield (
                 index.rows.filter(F.col("cell").isin(cells)),
                 _scan(ids, matrix, k, skip_self, probed),
             )
 
-    return _search(index.rows, scans(), k)
-
-
-def _probed(index: VectorIndex, queries: np.ndarray, probes: int) -> np.ndarray:
-    near = np.argsort(-(_unit(index.centres) @ _unit(queries).T), axis=0)[:probes]
-    probed = np.zeros((len(index.centres), len(queries)), dtype=bool)
-    np.put_along_axis(probed, near, True, axis=0)
-    return probed
+    return _search(index.rows, scans(), k, with_pairs)
 
 
 def pairs_examined(
-    index: VectorIndex, queries: DataFrame, probes: int = 8, block: int = QUERY_BLOCK
+    index: VectorIndex | HashIndex, queries: DataFrame, probes: int = 8, block: int = QUERY_BLOCK
 ) -> int:
-    """Query-vector pairs that ``match_vectors_approx`` compares."""
-    sizes = np.zeros(len(index.centres), dtype=np.int64)
-    for row in index.rows.groupBy("cell").count().collect():
-        sizes[row["cell"]] = row["count"]
-    blocks = _blocks(queries, block)
-    return int(sum(sizes @ _probed(index, m, probes).sum(axis=1) for _, m in blocks))
+    """Query-vector pairs that ``match_vectors_approx`` is going to compare."""
+    held = {row["cell"]: row["count"] for row in index.rows.groupBy("cell").count().collect()}
+    total = 0
+    for _, matrix in _blocks(queries, block):
+        asking = index.probed(matrix, probes).sum(axis=1)
+        total += sum(count * int(asking[cell]) for cell, count in held.items())
+    return total

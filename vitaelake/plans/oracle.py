@@ -11,11 +11,15 @@ from vitaelake.config import (
 from vitaelake.plans.queries import (
     AS_OF,
     DEFAULT_ACTOR,
+    HASH_BITS,
+    HASH_DIMENSIONS,
+    HASH_PROBES,
     LEADERSHIP,
     MIN_WORDS,
     QUERY_TEXT,
     SENIORITY,
     SOURCE,
+    SQL_CATEGORY,
 )
 
 _SPACE = r"[\t\n\x0B\f\r ]+"
@@ -92,6 +96,10 @@ top AS (
     FROM silver) WHERE rank <= 10)"""
 
 
+def _with(ctes: str, select: str) -> str:
+    return f"WITH {ctes}\n{select}"
+
+
 def _share(flag: str) -> str:
     return _rounded(f"avg(CAST({flag} AS INTEGER)) * 100", 1)
 
@@ -155,13 +163,100 @@ _TOKENS = r"""
 
 _SCORE = _rounded("(cosine + 1) / 2", 3)
 
+_CENTROIDS = """
+entries AS (
+  SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos
+  FROM embeddings),
+means AS (SELECT label, pos, avg(x) AS x FROM entries GROUP BY label, pos),
+centroids AS (
+  SELECT label::BIGINT AS query_id, list(x ORDER BY pos) AS centroid FROM means GROUP BY label)"""
 
-def _with(ctes: str, select: str) -> str:
-    return f"WITH {ctes}\n{select}"
+# The planes by the rule of vectors.hash_planes, the cell of every vector, and the
+# cells that each query probes.
+_HASHED = f"""{_CENTROIDS},
+steps AS (
+  SELECT p, d, p * {HASH_DIMENSIONS} + d + 1 AS n
+  FROM (SELECT unnest(range({HASH_BITS})) AS p), (SELECT unnest(range({HASH_DIMENSIONS})) AS d)),
+planes AS (
+  SELECT p, d, (n * 48271 % 2147483647 * 48271 % 2147483647 * 48271 % 2147483647 % 2001 - 1000)::DOUBLE AS w
+  FROM steps),
+sides AS (
+  SELECT vec_id, p, sum(x * w) >= 0 AS upper
+  FROM (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS d
+        FROM embeddings) JOIN planes USING (d) GROUP BY vec_id, p),
+placed AS (
+  SELECT vec_id, sum(CASE WHEN upper THEN 1 << p ELSE 0 END)::BIGINT AS cell FROM sides GROUP BY vec_id),
+distances AS (
+  SELECT label::BIGINT AS query_id, p, sum(x * w) AS distance
+  FROM means JOIN planes ON d = pos - 1 GROUP BY label, p),
+costs AS (
+  SELECT query_id, cell, sum(CASE WHEN ((cell >> p) & 1 = 1) = (distance >= 0) THEN 0
+                             ELSE abs(distance) END) AS cost
+  FROM distances, (SELECT unnest(range(1 << {HASH_BITS})) AS cell) GROUP BY query_id, cell),
+probed AS (
+  SELECT query_id, cell FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cost, cell) AS nth FROM costs)
+  WHERE nth <= {HASH_PROBES}),
+pairs AS (
+  SELECT query_id, vec_id,
+         round(list_cosine_similarity(centroid, CAST(embedding AS DOUBLE[])), 9) AS cosine
+  FROM probed JOIN placed USING (cell) JOIN embeddings USING (vec_id) JOIN centroids USING (query_id)),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY query_id ORDER BY cosine DESC, vec_id)::INTEGER AS rank FROM pairs)"""
+
+_DOCS = f"""
+docs AS (
+  SELECT CAST(doc_id AS VARCHAR) AS resume_id, source AS category, {_clean("text")} AS clean_text
+  FROM documents WHERE regexp_matches(text, '[^\\t\\n\\x0B\\f\\r ]')),
+tokens AS ({_TOKENS.format(key="resume_id", text="clean_text", table="docs")}),
+terms AS (SELECT resume_id, token, count(*) AS tf FROM tokens GROUP BY resume_id, token),
+vocabulary AS (SELECT token, count(*) AS df FROM terms GROUP BY token),
+total AS (SELECT count(*) AS n FROM docs)"""
+
+
+def _refreshed_vectors() -> str:
+    bins = "(31 * unicode(w) + length(w)) % 8"
+    counts = " || ',' || ".join(f"len(list_filter(ws, lambda w: {bins} = {i}))" for i in range(8))
+    return f"""
+SELECT CAST(doc_id AS VARCHAR) AS resume_id, {counts} AS embedding
+FROM (SELECT *, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}\\p{{N}}]+') AS ws FROM documents)
+WHERE source <> 'src0' OR lang = 'es'"""
+
+
+def _run_checks(silver: str) -> str:
+    numbers = ("resume_count", "avg_word_count", "avg_leadership_score", "avg_seniority_score")
+    rows = "".join(
+        f"""
+UNION ALL SELECT '{c}', category, {c}::DOUBLE FROM ({_STATS})""" for c in numbers
+    )
+    return _with(
+        silver,
+        f"""SELECT 'layer' AS name, 'bronze' AS of, count(*)::DOUBLE AS value FROM bronze
+UNION ALL SELECT 'layer', 'quarantine', count(*) FROM quarantine
+UNION ALL SELECT 'layer', 'silver', count(*) FROM kept
+UNION ALL SELECT 'layer', 'duplicates', (SELECT count(*) FROM triaged WHERE NOT is_unreadable)
+                                      - (SELECT count(*) FROM kept)
+UNION ALL SELECT 'correlation', 'all', CASE WHEN isnan(r) THEN NULL ELSE round(r, 6) END
+  FROM (SELECT corr(word_count, leadership_score) AS r FROM silver)
+UNION ALL SELECT 'pct_contact_complete', category, {_share("contact_complete")}
+  FROM silver GROUP BY category{rows}""",
+    )
 
 
 def oracle_sql() -> dict[str, str]:
     bronze, silver, top = _bronze(), _silver(), _top()
+    by_length = _with(
+        silver,
+        f"""SELECT category,
+   CASE tercile WHEN 1 THEN 'short' WHEN 2 THEN 'medium' ELSE 'long' END AS length_bucket,
+   count(*) AS resume_count,
+   {_rounded("avg(word_count)", 1)} AS avg_word_count,
+   {_rounded("avg(leadership_score)", 2)} AS avg_leadership_score
+FROM (SELECT *, ntile(3) OVER (
+    PARTITION BY category ORDER BY word_count, resume_id) AS tercile FROM silver)
+GROUP BY category, tercile""",
+    )
     return {
         "bronze_path_fields": _with(bronze, "SELECT file_path, resume_id, category FROM bronze"),
         "bronze_rows": _with(bronze, "SELECT * FROM bronze"),
@@ -206,17 +301,8 @@ UNION ALL SELECT 'duplicates', (SELECT count(*) FROM triaged WHERE NOT is_unread
        {_share("contact_complete")} AS pct_contact_complete
 FROM silver GROUP BY category""",
         ),
-        "gold_length_vs_leadership": _with(
-            silver,
-            f"""SELECT category,
-       CASE tercile WHEN 1 THEN 'short' WHEN 2 THEN 'medium' ELSE 'long' END AS length_bucket,
-       count(*) AS resume_count,
-       {_rounded("avg(word_count)", 1)} AS avg_word_count,
-       {_rounded("avg(leadership_score)", 2)} AS avg_leadership_score
-FROM (SELECT *, ntile(3) OVER (
-        PARTITION BY category ORDER BY word_count, resume_id) AS tercile FROM silver)
-GROUP BY category, tercile""",
-        ),
+        "gold_length_vs_leadership": by_length,
+        "gold_length_sorted": by_length,
         "length_leadership_corr": _with(
             silver,
             """SELECT CASE WHEN isnan(r) THEN NULL ELSE round(r, 6) END AS correlation
@@ -248,6 +334,73 @@ ranked AS (
   SELECT *, row_number() OVER (
     PARTITION BY query_id ORDER BY cosine DESC, vec_id)::INTEGER AS rank FROM pairs)
 SELECT query_id, vec_id, {_SCORE} AS match_score, rank FROM ranked WHERE rank <= 10""",
+        "match_vectors_all": f"""
+WITH pairs AS (
+  SELECT q.vec_id AS query_id, v.vec_id, round(list_cosine_similarity(
+    CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])), 9) AS cosine
+  FROM embeddings q JOIN embeddings v ON q.vec_id <> v.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY query_id ORDER BY cosine DESC, vec_id)::INTEGER AS rank FROM pairs)
+SELECT query_id, vec_id, {_SCORE} AS match_score, rank FROM ranked WHERE rank <= 10""",
+        "match_vectors_hashed": _with(
+            _HASHED,
+            f"SELECT query_id, vec_id, {_SCORE} AS match_score, rank FROM ranked WHERE rank <= 10",
+        ),
+        "match_vectors_recall": _with(
+            f"""{_HASHED},
+every AS (
+  SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY round(
+    list_cosine_similarity(centroid, CAST(embedding AS DOUBLE[])), 9) DESC, vec_id) AS nth
+  FROM centroids CROSS JOIN embeddings),
+right_ones AS (
+  SELECT query_id, count(*) AS found FROM every JOIN ranked USING (query_id, vec_id)
+  WHERE nth <= 10 AND rank <= 10 GROUP BY query_id),
+compared AS (SELECT query_id, count(*) AS pairs FROM pairs GROUP BY query_id)""",
+            """SELECT query_id, pairs, coalesce(found, 0) AS found,
+       (SELECT count(*) FROM embeddings) AS vectors
+FROM compared LEFT JOIN right_ones USING (query_id)""",
+        ),
+        "vectors_refreshed": _refreshed_vectors(),
+        "text_index_terms": _with(
+            _DOCS,
+            """SELECT token, df, tf FROM vocabulary
+JOIN (SELECT token, sum(tf)::BIGINT AS tf FROM terms GROUP BY token) USING (token)""",
+        ),
+        "text_index_refreshed": _with(
+            _DOCS,
+            """SELECT resume_id, terms, words, norm FROM docs LEFT JOIN (
+  SELECT resume_id, count(*) AS terms, sum(tf)::BIGINT AS words,
+         round(sqrt(sum((tf * (1 + ln((1 + n) / (1 + df)))) ** 2)), 6) AS norm
+  FROM terms JOIN vocabulary USING (token) CROSS JOIN total GROUP BY resume_id) USING (resume_id)""",
+        ),
+        "tool_search_sql": _with(
+            top,
+            f"SELECT * FROM top WHERE category = '{SQL_CATEGORY}' ORDER BY rank, resume_id LIMIT 20",
+        ),
+        "shortlist_compacted": _UPSERT,
+        "shortlist_recorded": _UPSERT,
+        "ingest_files": f"""
+SELECT 'topic=topic' || (page_id % 3) AS category, html AS raw_text,
+       TIMESTAMP '{AS_OF}' AS _ingested_at, 'pages' AS _source FROM pages
+UNION ALL SELECT 'topic=topic9', NULL, TIMESTAMP '{AS_OF}', 'pages'""",
+        "ingest_rerun": """
+SELECT 'topic=topic' || (page_id % 3) AS category, count(*) AS files,
+       sum(length(html))::BIGINT AS characters FROM pages GROUP BY ALL
+UNION ALL SELECT 'topic=topic9', 1, NULL""",
+        "lake_rebuild": _with(
+            top,
+            """SELECT 'silver.silver_resumes' AS name, count(*) AS row_count FROM silver
+UNION ALL SELECT 'silver.silver_resumes_quarantine', count(*) FROM quarantine
+UNION ALL SELECT 'gold.gold_category_stats', count(DISTINCT category) FROM silver
+UNION ALL SELECT 'gold.gold_contact_quality', count(DISTINCT category) FROM silver
+UNION ALL SELECT 'gold.gold_top_candidates', count(*) FROM top
+UNION ALL SELECT 'gold.gold_category_health', count(DISTINCT category) FROM bronze
+UNION ALL SELECT 'gold.gold_length_vs_leadership', count(*) FROM (
+  SELECT DISTINCT category, ntile(3) OVER (PARTITION BY category ORDER BY word_count, resume_id)
+  FROM silver)""",
+        ),
+        "lake_run_checks": _run_checks(silver),
         "vector_changes": """
 WITH now AS (
   SELECT CAST(doc_id AS VARCHAR) AS id, text FROM documents WHERE source <> 'src0'),

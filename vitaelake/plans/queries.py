@@ -8,6 +8,7 @@ words that do occur; the defaults are tested on hand-made rows.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 
@@ -15,15 +16,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitaelake.config import Lexicon
-from vitaelake.functions.extract import utf8_column
-from vitaelake.functions.text import clean_text, html_text
-from vitaelake.operators import gold, match, shortlist, vectors
+from vitaelake.functions.extract import utf8_column, utf8_text
+from vitaelake.functions.text import clean_text, html_text, words
+from vitaelake.operators import gold, match, shortlist, text_index, vectors
 from vitaelake.operators.dedupe import dedupe
 from vitaelake.operators.quarantine import normalized, quarantine, readable, triage
 from vitaelake.operators.silver import KEYS, ORDER, silver
-from vitaelake.plans import tools
-from vitaelake.sources import landing
+from vitaelake.plans import lake, tools
+from vitaelake.sources import landing, manifest
 from vitaelake.sources.staging import shared_dir, spread, stage
+from vitaelake.sources.tables import create_layers, replace_table
+from vitaelake.streaming.ingest import ingest, read_bronze
 from vitaelake.streaming.shortlist import read_shortlist, start_shortlist
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,6 +221,47 @@ def match_vectors_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.match_vectors_approx(index, label_centroids(embeddings), k=10, probes=12)
 
 
+@_query
+def match_vectors_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector is a query, in blocks of which one at a time passes the driver."""
+    embeddings = _table(spark, sf_dir, "embeddings")
+    return vectors.match_vectors(embeddings, embeddings, k=10, skip_self=True, block=512)
+
+
+#: The test vectors have no clusters, so it takes most cells to find nine of ten neighbours.
+HASH_DIMENSIONS, HASH_BITS, HASH_PROBES = 64, 6, 52
+
+
+def _hashed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = _table(spark, sf_dir, "embeddings")
+    path = f"{shared_dir(spark)}/hash-index-{uuid.uuid4().hex}"
+    index = vectors.build_hash_index(embeddings, path, HASH_DIMENSIONS, HASH_BITS)
+    return vectors.match_vectors_approx(
+        index, label_centroids(embeddings), k=10, probes=HASH_PROBES, with_pairs=True
+    )
+
+
+@_query
+def match_vectors_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _hashed_matches(spark, sf_dir).filter("rank IS NOT NULL").drop("pairs")
+
+
+@_query
+def match_vectors_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per query the pairs that the scans compared, of how many, and the neighbours found."""
+    embeddings = _table(spark, sf_dir, "embeddings")
+    exact = vectors.match_vectors(embeddings, label_centroids(embeddings), k=10)
+    near = _hashed_matches(spark, sf_dir).select("query_id", "vec_id", "pairs")
+    right = exact.select("query_id", "vec_id", F.lit(1).alias("right"))
+    usable = embeddings.filter("embedding IS NOT NULL").agg(F.count("*")).scalar()
+    return (
+        near.join(right, ["query_id", "vec_id"], "left")
+        .groupBy("query_id")
+        .agg(F.max("pairs").alias("pairs"), F.count("right").alias("found"))
+        .withColumn("vectors", usable)
+    )
+
+
 @_query
 def vector_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents against a vector table that knew other ones."""
@@ -231,10 +275,77 @@ def vector_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match.vector_changes(now, then)
 
 
+def hashed_embedding(text: Column) -> Column:
+    """Eight counts of words by first letter and length: a vector without a model."""
+    bins = F.transform(words(text), lambda w: (F.ascii(w) * 31 + F.length(w)) % 8)
+
+    def count(i: int) -> Column:
+        return F.size(F.filter(bins, lambda x: x == i)).cast("float")
+
+    return F.array(*map(count, range(8)))
+
+
+@_query
+def vectors_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of the vectors of other texts and documents, brought up to the documents."""
+    docs = spread(_table(spark, sf_dir, "documents"), "doc_id")
+    resume_id = F.col("doc_id").cast("string").alias("resume_id")
+    old_text = F.when(F.col("lang") == "de", F.upper("text")).otherwise(F.col("text"))
+    then = docs.filter("lang <> 'es'").select(resume_id, old_text.alias("clean_text"))
+    none = spark.createDataFrame([], "resume_id string, text_hash long, embedding array<float>")
+    first = stage(match.refresh_vectors_by(then, none, hashed_embedding), "first-vectors")
+    now = docs.filter("source <> 'src0' OR lang = 'es'")
+    now = now.select(resume_id, F.col("text").alias("clean_text"))
+    current = match.refresh_vectors_by(now, first, hashed_embedding)
+    numbers = F.transform("embedding", lambda x: x.cast("int").cast("string"))
+    return current.select("resume_id", F.array_join(numbers, ",").alias("embedding"))
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalized(readable(bronze(spark, sf_dir)))
+
+
+def _text_index(spark: SparkSession, sf_dir: str) -> text_index.TextIndex:
+    """The stored index of these files; built by whoever asks first."""
+    files = sorted(_table(spark, sf_dir, "documents").inputFiles())
+    state = [manifest.fingerprint(spark, name) for name in files]
+    key = hashlib.sha256(repr((files, state)).encode()).hexdigest()[:16]
+    root = f"{shared_dir(spark)}/text-index-{key}"
+    index = text_index.open_index(spark, root)
+    return index or text_index.refresh_text_index(_texts(spark, sf_dir), root)
+
+
+@_query
+def text_index_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and occurrences of every token, as the index has them."""
+    index = _text_index(spark, sf_dir)
+    occurrences = index.live_postings().groupBy("token").agg(F.sum("tf").alias("tf"))
+    return index.vocabulary.join(occurrences, "token", "left").select("token", "df", "tf")
+
+
+@_query
+def text_index_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and vector length of every document, of an index that knew other texts."""
+    docs = _texts(spark, sf_dir)
+    text = F.col("clean_text")
+    other = F.when(F.col("resume_id") % 3 == 0, F.concat(text, F.lit(" once more"))).otherwise(text)
+    then = docs.withColumn("clean_text", other).filter("resume_id % 7 <> 0")
+    lost = docs.withColumn("resume_id", F.concat("resume_id", F.lit("-gone")))
+    root = f"{shared_dir(spark)}/text-index-{uuid.uuid4().hex}"
+    text_index.refresh_text_index(then.unionByName(lost), root)
+    index = text_index.refresh_text_index(docs, root)
+    held = index.live_postings().groupBy("resume_id").agg(
+        F.count("*").alias("terms"), F.sum("tf").alias("words")
+    )
+    return index.documents.join(held, "resume_id", "left").select(
+        "resume_id", "terms", "words", F.round("norm", 6).alias("norm")
+    )
+
+
 @_query
 def tool_match_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = normalized(readable(bronze(spark, sf_dir)))
-    return tools.find_matching_resumes(docs, QUERY_TEXT, 10)
+    index = _text_index(spark, sf_dir)
+    return tools.find_indexed_resumes(index, _texts(spark, sf_dir), QUERY_TEXT, 10)
 
 
 # Tools
@@ -257,6 +368,22 @@ def tool_search_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tools.search_resumes(top, category=" en ", limit=20)
 
 
+SQL_CATEGORY = "src1"
+
+
+@_query
+def tool_search_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    create_layers(spark, "sql_")
+    top = gold.top_candidates(_silver_numbers(spark, sf_dir))
+    replace_table(top, f"{shared_dir(spark)}/sql-tables", "gold.gold_top_candidates", "sql_")
+    return tools.search_table(spark, "sql_gold.gold_top_candidates", SQL_CATEGORY, 20)
+
+
+@_query
+def gold_length_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tools.by_length(gold.length_vs_leadership(_silver_numbers(spark, sf_dir)))
+
+
 # Shortlist
 
 
@@ -305,6 +432,37 @@ def shortlist_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upsert_columns(read_shortlist(spark, f"{folder}/rows"))
 
 
+@_query
+def shortlist_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream in several batches, whose snapshot is renewed after every second one."""
+    folder = f"{shared_dir(spark)}/shortlist-{uuid.uuid4().hex}"
+    actions = _actions(_table(spark, sf_dir, "events"))
+    actions.repartition(5, "seq").write.parquet(f"{folder}/actions")
+    stream = spark.readStream.schema(actions.schema).option("maxFilesPerTrigger", 1)
+    start_shortlist(
+        stream.parquet(f"{folder}/actions"), f"{folder}/rows", f"{folder}/log", compact_every=2
+    ).awaitTermination()
+    return _upsert_columns(read_shortlist(spark, f"{folder}/rows"))
+
+
+@_query
+def shortlist_recorded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actions through the recorder, compacted while more of them come."""
+    log = f"{shared_dir(spark)}/actions-{uuid.uuid4().hex}"
+    actions = _actions(_table(spark, sf_dir, "events"))
+    last = actions.orderBy(F.desc("seq")).first()
+    shortlist.record_actions(actions.filter("seq % 2 = 0 AND seq < {}".format(last["seq"])), log)
+    shortlist.compact_actions(spark, log)
+    shortlist.record_actions(actions.filter("seq % 2 = 1 AND seq < {}".format(last["seq"])), log)
+    shortlist.record_action(
+        spark, log, email=last["recruiter_email"], default_actor=DEFAULT_ACTOR,
+        **{c: last[c] for c in ("resume_id", "category", "job_title", "job_description", "note", "seq")},
+        as_of=last["added_at"],
+    )
+    shortlist.compact_actions(spark, log)
+    return _upsert_columns(shortlist.shortlist(shortlist.read_actions(spark, log)))
+
+
 @_query
 def shortlist_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _actions(_table(spark, sf_dir, "events"))
@@ -350,3 +508,105 @@ def shortlist_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tool_get_shortlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     folded = shortlist.shortlist(_actions(_table(spark, sf_dir, "events")))
     return tools.get_shortlist(folded, job_title="purchase")
+
+
+# The lake as a whole
+
+
+def _landed(pages: DataFrame, folder: str, days_ago: int = 0) -> None:
+    """Each page as a file of its own, in a folder per topic."""
+    topic = F.concat(F.lit("topic"), F.col("page_id") % 3)
+    pages.select(F.coalesce("html", F.lit("")).alias("html"), topic.alias("topic")).write.mode(
+        "append"
+    ).partitionBy("topic").option("maxRecordsPerFile", 1).text(folder)
+    if days_ago:
+        manifest.age_files(pages.sparkSession, folder, days_ago)
+
+
+def _ingested(spark: SparkSession, sf_dir: str, archive: bool) -> DataFrame:
+    """Pages as Bronze: landed and ingested twice, late and empty files among them."""
+    folder = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}"
+    files, bronze_path = f"{folder}/files", f"{folder}/bronze"
+    moved = f"{folder}/archive" if archive else None
+    pages = spread(_table(spark, sf_dir, "pages"), "page_id")
+
+    def run() -> None:
+        ingest(
+            spark, files, bronze_path, f"{folder}/checkpoint", utf8_text, "pages", "txt", AS_OF,
+            archive=moved,
+        )
+
+    _landed(pages.filter("page_id % 5 = 0"), files, days_ago=40)
+    run()
+    _landed(pages.filter("page_id % 5 <> 0"), files)
+    manifest.touch(spark, f"{files}/topic=topic9/empty.txt")
+    run()
+    run()
+    rows = read_bronze(spark, bronze_path)
+    settings = lake.Settings(source="pages", extension="txt", as_of=AS_OF)
+    return lake.with_empty_files(rows, files, settings)
+
+
+def _page_text() -> Column:
+    """The text without the line end that the text sink adds to a page."""
+    return F.regexp_replace("raw_text", r"\n\z", "")
+
+
+@_query
+def ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _ingested(spark, sf_dir, archive=False)
+    return rows.select("category", _page_text().alias("raw_text"), "_ingested_at", "_source")
+
+
+@_query
+def ingest_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files and characters per folder, after runs that move what they have ingested."""
+    rows = _ingested(spark, sf_dir, archive=True)
+    characters = F.sum(F.length(_page_text())).alias("characters")
+    return rows.groupBy("category").agg(F.count("*").alias("files"), characters)
+
+
+def _rebuilt(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The layers of the documents, made twice over, as the catalog has them."""
+    settings = lake.Settings(
+        leadership=LEADERSHIP, seniority=SENIORITY, min_words=MIN_WORDS, as_of=AS_OF,
+        database_prefix="rebuilt_", correlation_digits=6,
+    )
+    create_layers(spark, settings.database_prefix)
+    rows = stage(bronze(spark, sf_dir), "bronze")
+    for _ in range(2):
+        tables = lake.rebuild(rows, f"{shared_dir(spark)}/rebuilt", settings)
+    return {name: spark.table(f"rebuilt_{name}") for name in tables}
+
+
+@_query
+def lake_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every layer table."""
+    counts = [
+        rows.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("name"), "row_count")
+        for name, rows in _rebuilt(spark, sf_dir).items()
+        if not name.startswith("gold.run_")
+    ]
+    out = counts[0]
+    for count in counts[1:]:
+        out = out.unionByName(count)
+    return out
+
+
+@_query
+def lake_run_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of a run, one row per number."""
+    tables = _rebuilt(spark, sf_dir)
+    counts = tables["gold.run_layer_counts"].select(
+        F.lit("layer").alias("name"), F.col("layer").alias("of"), F.col("row_count").cast("double").alias("value")
+    )
+    found = tables["gold.run_length_leadership_corr"].select(
+        F.lit("correlation").alias("name"), F.lit("all").alias("of"), F.col("correlation").alias("value")
+    )
+    check = tables["gold.run_category_check"]
+    numbers = [c for c in check.columns if c != "category"]
+    pairs = F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in numbers))
+    per_category = check.select("category", F.inline(pairs)).select(
+        "name", F.col("category").alias("of"), "value"
+    )
+    return counts.unionByName(found).unionByName(per_category)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitaelake.config import (
@@ -20,6 +20,7 @@ from vitaelake.config import (
 from vitaelake.operators.gold import bucket_order
 from vitaelake.operators.match import TermStatistics, clamp, match_text
 from vitaelake.operators.shortlist import record_action
+from vitaelake.operators.text_index import TextIndex, match_index
 
 shortlist_candidate = record_action
 
@@ -65,6 +66,33 @@ def search_resumes(
     )
 
 
+_SEARCH_SQL = """
+SELECT category, resume_id, leadership_score, rank FROM IDENTIFIER(:source)
+WHERE :category IS NULL OR category = :category
+ORDER BY category, rank, resume_id LIMIT :most
+"""
+
+
+def search_table(
+    spark: SparkSession, source: str, category: str | None = None, limit: int = SEARCH_LIMIT_DEFAULT
+) -> DataFrame:
+    """``search_resumes`` as SQL over a catalog table.
+
+    All that a caller gives is bound as an argument and never becomes part of the
+    statement, so a category may hold any character and is compared as it is.
+    """
+    arguments = {"source": source, "category": category, "most": clamp(limit, SEARCH_LIMIT_MAX)}
+    return spark.sql(_SEARCH_SQL, args=arguments)
+
+
+def find_indexed_resumes(
+    index: TextIndex, silver: DataFrame, job_description: str, limit: int = MATCH_LIMIT_DEFAULT
+) -> DataFrame:
+    """The answer of ``find_matching_resumes`` by a stored index."""
+    docs = silver.select("resume_id", "category", "clean_text")
+    return match_index(index, docs, job_description, limit)
+
+
 def find_matching_resumes(
     silver: DataFrame,
     job_description: str,

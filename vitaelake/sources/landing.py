@@ -39,12 +39,15 @@ def stream_landing(
     extension: str = "pdf",
     max_files_per_batch: int | None = None,
     max_file_age: str = "36500d",
+    archive: str | None = None,
 ) -> DataFrame:
     """The same files as a stream, each of them once per checkpoint.
 
     Spark leaves out files that are older than the newest one seen by more than
     ``max_file_age``. By default no file is too old, so the stream's list of seen
-    files grows with the folder.
+    files grows with the folder. With ``archive``, a folder outside the landing one,
+    files are moved there once their batch is done: the folder that is listed holds
+    only what is new, whatever has passed through it.
     """
     reader = (
         spark.readStream.format("binaryFile")
@@ -55,6 +58,8 @@ def stream_landing(
     )
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.load(root)
 
 

@@ -10,7 +10,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -52,6 +52,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_all(
+    spark: SparkSession, frames: Iterable[DataFrame], schema: str, name: str
+) -> DataFrame:
+    """The rows of all frames as one staged table, each written before the next is made.
+
+    The plan of the result is one scan, however many frames there were.
+    """
+    path = f"{shared_dir(spark)}/stage/{name}-{uuid.uuid4().hex}"
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(path)
+    written = 0
+    for frame in frames:
+        frame.write.parquet(f"{path}/part-{written:08d}")
+        written += 1
+    if not written:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
+
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
     """Delete at the end, also of a failed block, what this block has staged.
