@@ -13,6 +13,8 @@ from vitaelake.functions.paths import category_of, resume_id_of
 BINARY_FILE_SCHEMA = (
     "path string, modificationTime timestamp, length bigint, content binary"
 )
+#: Bytes of files that go to a Python worker at a time.
+BATCH_BYTES = 64 * 1024 * 1024
 BRONZE_COLUMNS = (
     "resume_id",
     "category",
@@ -23,10 +25,31 @@ BRONZE_COLUMNS = (
 )
 
 
-def read_landing(spark: SparkSession, root: str, extension: str = "pdf") -> DataFrame:
-    """All files of the folder and its sub-folders, as path and bytes."""
+def file_session(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> SparkSession:
+    """A session of the same application for frames whose rows are whole files.
+
+    Tasks hand rows to Python in batches, by default of ten thousand rows. Here a batch
+    ends after the file that reaches ``batch_bytes``, so a Python worker holds no more
+    than that and one file. Settings of the caller's session are taken over, and none
+    of its own is touched, so other threads see no change.
+    """
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    session.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", batch_bytes)
+    return session
+
+
+def read_landing(
+    spark: SparkSession, root: str, extension: str = "pdf", batch_bytes: int = BATCH_BYTES
+) -> DataFrame:
+    """All files of the folder and its sub-folders, as path and bytes.
+
+    The frame belongs to a session that bounds what a Python worker holds of it.
+    """
     return (
-        spark.read.format("binaryFile")
+        file_session(spark, batch_bytes).read.format("binaryFile")
         .option("pathGlobFilter", f"*.{extension}")
         .option("recursiveFileLookup", "true")
         .load(root)
@@ -47,10 +70,11 @@ def stream_landing(
     ``max_file_age``. By default no file is too old, so the stream's list of seen
     files grows with the folder. With ``archive``, a folder outside the landing one,
     files are moved there once their batch is done: the folder that is listed holds
-    only what is new, whatever has passed through it.
+    only what is new, whatever has passed through it. As with ``read_landing`` the
+    session of the stream bounds what a Python worker holds.
     """
     reader = (
-        spark.readStream.format("binaryFile")
+        file_session(spark).readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)
         .option("pathGlobFilter", f"*.{extension}")
         .option("recursiveFileLookup", "true")
