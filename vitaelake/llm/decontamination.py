@@ -266,6 +266,23 @@ def _searched(block, at: int, width: int, carried: bool):
     return run
 
 
+def _searched_rows(
+    docs: DataFrame, items: DataFrame, text: str, item_id: str, item_text: str, window: int, block_words: int
+) -> DataFrame:
+    """The columns of docs as c0, c1, ..., whatever their names, and what was found."""
+    context = docs.sparkSession.sparkContext
+    current = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in current.schema)
+    width, at = len(docs.columns), docs.columns.index(text)
+    for number, block in enumerate(_blocks(items, item_id, item_text, window, block_words)):
+        run = _searched(context.broadcast(block.parts()), at, width, number > 0)
+        current = current.mapInArrow(run, f"{fields}, {_ADDED}")
+    return current
+
+
+_FOUND = ("n_words", "hit_spans", "items")
+
+
 def search(
     docs: DataFrame,
     items: DataFrame,
@@ -276,14 +293,13 @@ def search(
     window: int = WINDOW,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """All columns of docs, and n_words, hit_spans (word positions), items (sorted ids)."""
-    context = docs.sparkSession.sparkContext
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    width, at, current = len(docs.columns), docs.columns.index(text), docs
-    for number, block in enumerate(_blocks(items, item_id, item_text, window, block_words)):
-        run = _searched(context.broadcast(block.parts()), at, width, number > 0)
-        current = current.mapInArrow(run, f"{fields}, {_ADDED}")
-    return current
+    """All columns of docs, and n_words, hit_spans (word positions), items (sorted ids).
+
+    Columns of docs that have one of these three names are left out.
+    """
+    found = _searched_rows(docs, items, text, item_id, item_text, window, block_words)
+    own = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c not in _FOUND]
+    return found.select(*own, *_FOUND)
 
 
 def n_hit(spans: Column) -> Column:
@@ -330,10 +346,12 @@ def remove(
     A document goes when more than ``max_coverage`` of its words are hit, or a
     hit passage has more than ``max_words`` words. Others keep all but the passages.
     """
-    found = search(docs, items, text=text, **parameters)
+    given = {"item_id": "item_id", "item_text": "text", "window": WINDOW, "block_words": BLOCK_WORDS}
+    found = _searched_rows(docs, items, text, **(given | parameters))
     too_much = n_hit(F.col("hit_spans")) > F.col("n_words") * max_coverage
     if max_words is not None:
         too_much |= F.exists("hit_spans", lambda s: s["end"] - s["begin"] > max_words)
-    kept = found.filter(~too_much).select(*docs.columns, "hit_spans")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return kept.mapInArrow(_cut(docs.columns.index(text), len(docs.columns)), fields)
+    width = len(docs.columns)
+    kept = found.filter(~too_much).select(*(f"c{i}" for i in range(width)), "hit_spans")
+    fields = ", ".join(f"`c{i}` {f.dataType.simpleString()}" for i, f in enumerate(docs.schema))
+    return kept.mapInArrow(_cut(docs.columns.index(text), width), fields).toDF(*docs.columns)
