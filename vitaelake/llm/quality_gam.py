@@ -229,7 +229,11 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
 def train(featured: DataFrame, labels: DataFrame, key: str, label: str, max_rows: int = MAX_ROWS) -> Model:
     """Fit on the ``max_rows`` labelled rows of smallest id hash."""
     marked = labels.select(F.col(key).alias("id"), F.col(label).cast("double").alias("y")).dropna()
-    rows = featured.join(marked, "id").orderBy(F.xxhash64("id"), "y", *FEATURES).limit(max_rows)
+    marked = featured.join(marked, "id").withColumn("__h", F.xxhash64("id"))
+    # The hash to stop at is found first, so that the driver gets these rows and no others.
+    last = marked.select("__h").orderBy("__h").limit(max_rows).agg(F.max("__h")).first()[0]
+    chosen = marked.filter(F.col("__h") <= (last if last is not None else 0))
+    rows = chosen.orderBy("__h", "y", *FEATURES).limit(max_rows)
     table = rows.select("y", *FEATURES).toPandas().to_numpy(dtype=np.float64).reshape(-1, 1 + len(FEATURES))
     return fit(table[:, 1:], table[:, 0])
 
