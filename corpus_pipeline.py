@@ -2,6 +2,10 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all rows it is given; between
 stages the rows are a table of the shared folder.
+
+Odd rows: a NULL text is an empty one, which the quality rules reject; an empty table
+passes through all stages; columns besides those of documents, whatever their names,
+are carried along up to the last stage, which returns its own columns only.
 """
 
 from __future__ import annotations
@@ -31,9 +35,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of each group of near duplicates, and one row of each id.
+    """Keep the smallest id of each group of near duplicates, and equal rows once.
 
-    Rows without an id are in no group and stay.
+    Rows of one id with different content all stay, since none of them is a copy of
+    the others by its id alone. Rows without an id are in no group and stay.
     """
     found = stage(near_dedup.near_duplicates(docs).select("doc_id", "kept"), "near-duplicates")
     dropped = sized(stage(found.filter("NOT kept").select("doc_id").distinct(), "dropped"))
@@ -42,7 +47,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     repeated = sized(stage(ids.select("doc_id"), "repeated"))
     single = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns)
     several = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns)
-    return single.union(several.dropDuplicates(["doc_id"]))
+    return single.union(several.distinct())
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
