@@ -229,7 +229,7 @@ def match_vectors_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: The test vectors have no clusters, so it takes most cells to find nine of ten neighbours.
-HASH_DIMENSIONS, HASH_BITS, HASH_PROBES = 64, 6, 52
+HASH_DIMENSIONS, HASH_BITS, HASH_PROBES = 64, 6, 57
 
 
 def _hashed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
