@@ -151,3 +151,35 @@ def test_links_of_more_edits(spark, monkeypatch, edits, crowded):
     assert classes_of(found) == classes_of(expected)
     if crowded == 64:
         assert found == expected
+
+
+@pytest.mark.parametrize("crowded, edits", [(64, line_dedup.EDITS), (64, ((0, 1), (24, 2), (28, 3))), (12, ((0, 1), (24, 2)))])
+def test_class_links_make_the_same_classes(spark, monkeypatch, crowded, edits):
+    """Fewer links than there are, but the same classes, for lines of up to 300 characters too."""
+    monkeypatch.setattr(line_dedup, "CROWDED", crowded)
+    monkeypatch.setattr(line_dedup, "CROWDED_TIMES", 1)
+    rng = random.Random(11)
+    texts = {t for n in (20, 30, 70, 300) for t in template(rng, n, 1)[:25]}
+    original = "a line that was copied again and again, and each time a little changed"
+    texts |= {mutated(rng, original, rng.randint(0, 2)).strip() for _ in range(60)} | {original}
+    texts = sorted(t for t in texts if len(t) >= line_dedup.MIN_CHARS)
+    lines = spark.createDataFrame(list(enumerate(texts)), "id long, content string")
+    expected = set()
+    for i, a in enumerate(texts):
+        for j in range(i + 1, len(texts)):
+            k = allowed(edits, min(len(a), len(texts[j])))
+            if abs(len(a) - len(texts[j])) <= k and distance(a, texts[j]) <= k:
+                expected.add((i, j))
+    found = {(r.a, r.b) for r in line_dedup.class_links(lines, edits).collect()}
+    assert found <= expected
+
+    def classes_of(pairs):
+        name = list(range(len(texts)))
+        for a, b in pairs:
+            old, new = max(name[a], name[b]), min(name[a], name[b])
+            name = [new if x == old else x for x in name]
+        return name
+
+    assert classes_of(found) == classes_of(expected)
+    if crowded == 64:
+        assert len(found) < len(expected)

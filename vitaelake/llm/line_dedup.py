@@ -45,7 +45,8 @@ PIECES = 16
 _BAND_BITS = 32
 Edits = tuple[tuple[int, int], ...]
 
-_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+#: Characters that are counted together, in bytes of two long numbers.
+_COUNTED = ("e", "a", "i", "o", "n", "r", "t", "s", "l", "u", "d", "c", "m", "h", " ", "0123456789")
 _BLANKS = " \t\n\x0b\f\r"
 
 
@@ -56,6 +57,39 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     return cut.withColumn("id", F.xxhash64("content"))
 
 
+def _marks(content: Column) -> list[Column]:
+    """mark_0 and mark_1: eight counts of characters each, of 255 at most."""
+
+    def count(characters: str) -> Column:
+        gone = F.length(F.translate(content, characters, ""))
+        return F.least(F.length(content) - gone, F.lit(255)).cast("long")
+
+    def packed(groups: tuple[str, ...]) -> Column:
+        out = count(groups[0])
+        for place, characters in enumerate(groups[1:], 1):
+            out = out.bitwiseOR(F.shiftleft(count(characters), 8 * place))
+        return out
+
+    return [packed(_COUNTED[8 * i : 8 * i + 8]).alias(f"mark_{i}") for i in (0, 1)]
+
+
+def _alike(x: str, y: str, edits: Edits) -> Column:
+    """Whether lengths and counts of characters allow two lines to be linked.
+
+    An edit changes two counts by one at most.
+    """
+    differ = F.lit(0)
+    for i in (0, 1):
+        for place in range(8):
+            a, b = (
+                F.shiftrightunsigned(F.col(f"{side}.mark_{i}"), 8 * place).bitwiseAND(F.lit(255)) for side in (x, y)
+            )
+            differ = differ + F.abs(a - b)
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    k = _allowed(edits, F.least(n, m))
+    return (F.abs(n - m) <= k) & (differ <= k * 2)
+
+
 def _once(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use`` of a value that is computed once a row.
 
@@ -182,7 +216,40 @@ def _segments(budget: Column, most: int) -> Column:
     return out
 
 
-def _cut(entries: DataFrame, most: int, again: bool = True) -> DataFrame:
+def _placed(dealt: DataFrame, m: Column, v: Column, budget: Column) -> DataFrame:
+    """Add front, size, place and begin of segment ``s`` of a part of ``m`` characters cut for ``v``."""
+    i, further, spare = F.col("s.i"), F.col("s.further"), F.col("s.spare")
+    whole = F.floor(v / (budget + 1)).cast("int")
+    whole = F.when(budget == 1, F.greatest(whole, F.least(v, F.lit(1)))).otherwise(whole)
+    front = i * 2 <= budget
+    sized_ = dealt.withColumns({
+        "front": front,
+        "size": F.greatest(whole - spare, F.lit(0)),
+        "place": F.when(front, i).otherwise(budget - i) * whole,
+    })
+    size, place = F.col("size"), F.col("place")
+    begin = F.when(F.col("front"), place + further).otherwise(m - place - further - size)
+    return sized_.withColumn("begin", begin.cast("int")).filter((F.col("begin") >= 0) & (F.col("begin") + size <= m))
+
+
+def _entries(long: DataFrame, edits: Edits) -> DataFrame:
+    """The entries of all lines in their views, with lengths and marks."""
+    most = max(k for _, k in edits)
+    lengths = F.filter(
+        F.transform(F.sequence(F.lit(0), F.lit(most)), lambda t: F.col("n") - t), lambda n: n >= MIN_CHARS
+    )
+    views = F.array_distinct(F.transform(lengths, lambda n: _view(edits, n)))
+    viewed = long.withColumn("v", F.explode(views)).filter("n - v.high <= v.edits AND v.edits > 0")
+    dealt = viewed.withColumn("s", F.explode(_segments(F.col("v.edits"), most)))
+    placed = _placed(dealt, F.col("n"), F.col("v.low"), F.col("v.edits"))
+    piece = F.substring(F.col("content"), F.col("begin") + 1, F.col("size"))
+    return placed.select(
+        "id", "n", "mark_0", "mark_1", "v.edits", (F.col("n") > F.col("v.high")).cast("int").alias("guest"),
+        F.xxhash64("v.low", "s.i", piece).alias("key"),
+    )
+
+
+def _cut(entries: DataFrame, most: int) -> DataFrame:
     """Entries of each segment of the widest open part, and what is open beside it.
 
     Segments up to the middle are counted from the start, the others from the end. Of
@@ -190,28 +257,16 @@ def _cut(entries: DataFrame, most: int, again: bool = True) -> DataFrame:
     characters further in, so the segment is shorter by as many. The part that the
     segment is counted from is as wide as its place; of the other the narrower of the
     two lines is not known, so every width is entered. ``guest`` has a bit for each
-    part that is longer than its view. Without ``again`` nothing is left open.
+    part that is longer than its view.
     """
     widths = F.transform("open", lambda o, j: F.struct(F.when(_closed(o), -1).otherwise(o["view"]).alias("w"), (-j).alias("j")))
     chosen = entries.withColumn("at", -F.array_max(widths)["j"]).withColumn("o", F.get("open", F.col("at")))
     dealt = chosen.withColumn("s", F.explode(_segments(F.col("o.budget"), most)))
     m, v, budget = F.col("o.size"), F.col("o.view"), F.col("o.budget")
-    i, further, spare = F.col("s.i"), F.col("s.further"), F.col("s.spare")
-    whole = F.floor(v / (budget + 1)).cast("int")
-    whole = F.when(budget == 1, F.greatest(whole, F.least(v, F.lit(1)))).otherwise(whole)
-    front = i * 2 <= budget
-    sized_ = dealt.withColumns({
-        "front": front,
-        "size": F.greatest(whole - spare, F.lit(0)),
-        "place": F.when(front, i).otherwise(budget - i) * whole,
-    })
-    size, place = F.col("size"), F.col("place")
-    begin = F.when(F.col("front"), place + further).otherwise(m - place - further - size)
-    placed = sized_.withColumn("begin", begin.cast("int")).filter("begin >= 0 AND begin + size <= o.size")
-    begin = F.col("begin")
+    i, spare = F.col("s.i"), F.col("s.spare")
+    placed = _placed(dealt, m, v, budget)
+    begin, size, place = F.col("begin"), F.col("size"), F.col("place")
     piece = F.substring(F.col("content"), F.col("o.start") + begin + 1, size)
-    if not again:
-        return placed.select("id", "edits", "guest", F.xxhash64("key", "s.i", piece).alias("key"))
     beside = F.when(F.col("front"), m - begin - size).otherwise(begin)
     free = F.when(F.col("front"), budget - i).otherwise(i)
     wide = F.transform(F.sequence(F.lit(0), free), lambda t: beside - t)
@@ -228,7 +283,7 @@ def _cut(entries: DataFrame, most: int, again: bool = True) -> DataFrame:
         F.slice("open", F.col("at") + 2, F.size("open")),
     )
     return viewed.select(
-        "id", "edits", F.filter(parts, lambda o: o["budget"] > 0).alias("open"),
+        "id", "n", "mark_0", "mark_1", "edits", F.filter(parts, lambda o: o["budget"] > 0).alias("open"),
         F.xxhash64("key", "at", "s.i", "wide", piece).alias("key"),
     )
 
@@ -237,20 +292,41 @@ def _guest(parts: Column) -> Column:
     return F.aggregate(parts, F.lit(0), lambda bits, o: bits * 2 + (o["size"] > o["view"]).cast("int"))
 
 
-def _met(entries: DataFrame, keys: DataFrame) -> DataFrame:
-    """(a, b) of the lines of these entries; in each part one of the two is as short as its view."""
-    met = entries.join(keys, "key").select("key", "id", "guest")
+_LINE = ("id", "n", "mark_0", "mark_1")
+
+
+def _met(entries: DataFrame, keys: DataFrame, edits: Edits, labels: DataFrame | None = None) -> DataFrame:
+    """(a, b) of the lines of these entries that may be linked and are not in one class yet.
+
+    In each part one of the two is as short as its view.
+    """
+    met = entries.join(keys, "key").select("key", *_LINE, "guest")
+    differ = F.lit(True)
+    if labels is not None:
+        met = met.join(labels, met["id"] == labels["node"], "left").withColumn("label", F.coalesce("component", "id"))
+        differ = F.col("x.label") != F.col("y.label")
     x, y = met.alias("x"), met.alias("y")
     short = F.col("x.guest").bitwiseAND(F.col("y.guest")) == 0
-    joined = x.join(y, (F.col("x.key") == F.col("y.key")) & short & (F.col("x.id") < F.col("y.id")))
+    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))
+    joined = x.join(y, same & short & differ & _alike("x", "y", edits))
     return joined.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
+def _stars(entries: DataFrame, shared: DataFrame, edits: Edits) -> DataFrame:
+    """(a, b): each line of an entry with the first of the shortest ones."""
+    first = shared.filter("first IS NOT NULL").select("key", "first")
+    joined = entries.select("key", F.struct(*_LINE).alias("own")).join(first, "key")
+    joined = joined.filter((F.col("own.id") != F.col("first.id")) & _alike("own", "first", edits))
+    return joined.select(
+        F.least("own.id", "first.id").alias("a"), F.greatest("own.id", "first.id").alias("b")
+    ).distinct()
+
+
 def _shared(entries: DataFrame, open_: Column, tied: Column) -> DataFrame:
     """key, crowded, tied and first of the entries in which lines meet."""
     counted = entries.groupBy("key").agg(
         F.count("*").alias("rows"), F.max("edits").alias("edits"), F.max(open_).alias("open"),
-        F.max(tied).alias("tied"), F.min(F.when(F.col("guest") == 0, F.col("id"))).alias("first"),
+        F.max(tied).alias("tied"), F.min(F.when(F.col("guest") == 0, F.struct(*_LINE))).alias("first"),
     )
     many = F.lit(CROWDED) * F.pow(F.lit(CROWDED_TIMES), F.col("edits") - 1)
     crowded = (F.col("rows") > many) & F.col("open")
@@ -259,73 +335,100 @@ def _shared(entries: DataFrame, open_: Column, tied: Column) -> DataFrame:
     )
 
 
-def _pairs(lines: DataFrame, edits: Edits) -> DataFrame:
-    """(a, b): ids of lines that share an index entry; ``lines`` has id and content."""
+def _starred(lines: DataFrame, entries: DataFrame, shared: DataFrame, edits: Edits) -> DataFrame:
+    """Links of the lines with one line of each of their entries."""
+    return stage(_verified(lines, _stars(entries, shared, edits), edits), "star-links")
+
+
+def _pairs(
+    lines: DataFrame, entries: DataFrame, shared: DataFrame, edits: Edits, labels: DataFrame | None
+) -> DataFrame:
+    """(a, b): ids of lines that may be linked; ``lines`` has id, content, n and marks."""
+    plain = shared.filter("NOT crowded").select("key")
+    pairs = stage(_met(entries, plain, edits, labels).distinct(), "line-pairs")
+    crowded = shared.filter("crowded").select("key")
+    if crowded.isEmpty():
+        return pairs
+    return pairs.union(_crowded_pairs(lines, entries, crowded, edits))
+
+
+def _crowded_pairs(lines: DataFrame, entries: DataFrame, crowded: DataFrame, edits: Edits) -> DataFrame:
+    """Pairs of the lines of crowded entries, which are cut again until they are not."""
     most = max(k for _, k in edits)
-    long = lines.withColumn("n", F.length("content")).filter(F.col("n") >= MIN_CHARS)
+    again = stage(entries.join(crowded, "key", "left_semi").select("id").distinct(), "crowded-lines")
     lengths = F.filter(
         F.transform(F.sequence(F.lit(0), F.lit(most)), lambda t: F.col("n") - t), lambda n: n >= MIN_CHARS
     )
-    views = F.array_distinct(F.transform(lengths, lambda n: _view(edits, n)))
-    viewed = long.withColumn("v", F.explode(views)).filter("n - v.high <= v.edits AND v.edits > 0")
-    start = F.lit(0)
-    whole = viewed.select(
-        "id", "content", "v.edits", (F.col("n") > F.col("v.high")).cast("int").alias("guest"),
-        F.xxhash64("v.low").alias("key"), F.array(_part(start, F.col("n"), F.col("v.low"), F.col("v.edits"))).alias("open"),
-    )
-    entries = stage(_cut(whole, most, again=False), "line-entries")
-    shared = _shared(entries, F.lit(True), F.lit(False))
-    found = stage(_met(entries, shared.filter("NOT crowded").select("key")).distinct(), "line-pairs")
-    crowded = shared.filter("crowded").select("key")
-    if crowded.isEmpty():
-        return found
-    again = stage(entries.join(crowded, "key", "left_semi").select("id").distinct(), "crowded-lines")
-    exact = long.join(again, "id", "left_semi").withColumn("v", F.explode(lengths))
+    exact = lines.join(again, "id", "left_semi").withColumn("v", F.explode(lengths))
     exact = exact.withColumn("edits", _allowed(edits, F.col("v"))).filter("edits > 0 AND n - v <= edits")
     current = _cut(exact.select(
-        "id", "content", "edits", F.xxhash64("v").alias("key"),
-        F.array(_part(start, F.col("n"), F.col("v"), F.col("edits"))).alias("open"),
+        *_LINE, "content", "edits", F.xxhash64("v").alias("key"),
+        F.array(_part(F.lit(0), F.col("n"), F.col("v"), F.col("edits"))).alias("open"),
     ), most)
+    found = None
     while True:
         entries = stage(current.withColumn("guest", _guest(F.col("open"))).distinct(), "line-entries")
         narrow = F.aggregate("open", F.lit(True), lambda all_, o: all_ & (o["view"] <= o["budget"]))
         shared = _shared(entries, F.exists("open", lambda o: ~_closed(o)), narrow)
         # Where nothing can be cut, the shortest lines are tied, and not joined with each other.
-        tied = entries.filter("guest = 0").join(shared.filter("tied").select("key", "first"), "key")
+        firsts = shared.filter("tied").select("key", F.col("first.id").alias("first"))
+        tied = entries.filter("guest = 0").join(firsts, "key")
         pairs = tied.filter("id <> first").select(F.least("first", "id").alias("a"), F.greatest("first", "id").alias("b"))
         longer = entries.filter("guest <> 0").select("key", F.col("id").alias("i"), F.col("guest").alias("g"))
         others = entries.join(shared.filter("tied AND NOT crowded").select("key"), "key").select("key", "id", "guest")
         beside = others.join(longer, "key").filter(F.col("g").bitwiseAND(F.col("guest")) == 0).filter("id <> i")
         pairs = pairs.union(beside.select(F.least("id", "i").alias("a"), F.greatest("id", "i").alias("b")))
-        pairs = pairs.union(_met(entries, shared.filter("NOT crowded AND NOT tied").select("key")))
-        found = found.union(stage(pairs.distinct(), "line-pairs"))
+        pairs = pairs.union(_met(entries, shared.filter("NOT crowded AND NOT tied").select("key"), edits))
+        pairs = stage(pairs.distinct(), "line-pairs")
+        found = pairs if found is None else found.union(pairs)
         crowded = shared.filter("crowded").select("key")
         if crowded.isEmpty():
-            return found.distinct()
+            return found
         open_ = entries.join(crowded, "key", "left_semi").drop("guest")
-        current = _cut(open_.join(lines, "id"), most)
+        current = _cut(open_.join(lines.select("id", "content"), "id"), most)
 
 
-def links(lines: DataFrame, edits: Edits = EDITS) -> DataFrame:
-    """(a, b) of distinct lines, given as id and content, that are within their edits."""
+def _ready(lines: DataFrame, edits: Edits) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Lines with marks, their entries, and the entries that lines share."""
     most = max(k for _, k in edits)
     if 2 * most + 1 > _BAND_BITS or [k for _, k in sorted(edits)] != sorted(k for _, k in edits):
         raise ValueError(f"edits must not fall with length, nor be more than {(_BAND_BITS - 1) // 2}")
-    pairs = stage(_pairs(lines, edits), "met-lines")
-    ids = sized(stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "met-ids"))
-    # Most pairs that are not linked are told by their letters, before they get their texts.
-    counts = [F.length("content") - F.length(F.translate("content", c, "")) for c in _LETTERS]
-    marks = lines.join(ids, "id", "left_semi").select(
-        "id", F.length("content").alias("n"), F.array(*counts, F.length("content") - sum(counts)).alias("letters")
+    marked = stage(
+        lines.select("id", "content", F.length("content").alias("n"), *_marks(F.col("content"))), "marked-lines"
     )
-    marks = sized(stage(marks, "line-letters"))
+    entries = stage(_entries(marked.filter(F.col("n") >= MIN_CHARS), edits), "line-entries")
+    return marked, entries, _shared(entries, F.lit(True), F.lit(False))
+
+
+def links(lines: DataFrame, edits: Edits = EDITS) -> DataFrame:
+    """(a, b) of distinct lines, given as id and content, that are within their edits."""
+    marked, entries, shared = _ready(lines, edits)
+    return _verified(marked, _pairs(marked, entries, shared, edits, None).distinct(), edits)
+
+
+def class_links(lines: DataFrame, edits: Edits = EDITS) -> DataFrame:
+    """Links that make the same classes as all of them.
+
+    Lines are first compared with one line of each of their entries. What that links is
+    one class already, and no further pairs are made of it, so a large group of near
+    copies costs its lines and not their square.
+    """
+    marked, entries, shared = _ready(lines, edits)
+    stars = _starred(marked, entries, shared, edits)
+    labels = sized(stage(components(stars, "a", "b"), "star-classes"))
+    pairs = _pairs(marked, entries, shared, edits, labels).distinct()
+    return stars.union(_verified(marked, pairs, edits)).distinct()
+
+
+def _verified(lines: DataFrame, pairs: DataFrame, edits: Edits) -> DataFrame:
+    """The pairs that are within their edits."""
+    pairs = stage(pairs, "met-lines")
+    ids = sized(stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "met-ids"))
+    marks = sized(stage(lines.join(ids, "id", "left_semi").select(*_LINE), "line-marks"))
     for side in "ab":
-        pairs = pairs.join(marks.select(F.col("id").alias(side), F.struct("n", "letters").alias(f"mark_{side}")), side)
-    differ = F.aggregate(
-        F.zip_with("mark_a.letters", "mark_b.letters", lambda x, y: F.abs(x - y)), F.lit(0), lambda total, d: total + d
-    )
-    k = _allowed(edits, F.least("mark_a.n", "mark_b.n"))
-    pairs = stage(pairs.filter((F.abs(F.col("mark_a.n") - F.col("mark_b.n")) <= k) & (differ <= 2 * k)).select("a", "b"), "like-lines")
+        own = marks.select(F.col("id").alias(side), F.struct("n", "mark_0", "mark_1").alias(f"own_{side}"))
+        pairs = pairs.join(own, side)
+    pairs = stage(pairs.filter(_alike("own_a", "own_b", edits)).select("a", "b"), "like-lines")
     ids = sized(stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "like-ids"))
     texts = lines.join(ids, "id", "left_semi")
     sides = [texts.select(F.col("id").alias(s), F.col("content").alias(f"text_{s}")) for s in "ab"]
@@ -403,7 +506,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits:
     single = every.join(repeated, "id", "left_anti").select("id", "content")
     several = every.join(repeated, "id", "left_semi").groupBy("id").agg(F.min("content").alias("content"))
     lines = stage(single.union(several), "distinct-lines")
-    labels = sized(stage(components(stage(links(lines, edits), "line-links"), "a", "b"), "line-classes"))
+    labels = sized(stage(components(stage(class_links(lines, edits), "line-links"), "a", "b"), "line-classes"))
     named = where.join(labels, where["id"] == labels["node"], "left").select(
         "doc", "line", F.coalesce("component", "id").alias("class")
     )
