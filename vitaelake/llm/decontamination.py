@@ -19,7 +19,7 @@ repeated documents get equal rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -267,19 +267,39 @@ def _searched(block, at: int, width: int, carried: bool):
 
 
 def _searched_rows(
-    docs: DataFrame, items: DataFrame, text: str, item_id: str, item_text: str, window: int, block_words: int
+    docs: DataFrame,
+    items: DataFrame,
+    text: str,
+    item_id: str,
+    item_text: str,
+    window: int,
+    block_words: int,
+    then: Callable | None = None,
 ) -> DataFrame:
-    """The columns of docs as c0, c1, ..., whatever their names, and what was found."""
+    """The columns of docs as c0, c1, ..., whatever their names, and what was found.
+
+    ``then`` takes the batches of the last block within the same task, and returns
+    batches of the columns of docs alone.
+    """
     context = docs.sparkSession.sparkContext
     current = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in current.schema)
     width, at = len(docs.columns), docs.columns.index(text)
-    for number, block in enumerate(_blocks(items, item_id, item_text, window, block_words)):
+    blocks = _blocks(items, item_id, item_text, window, block_words)
+    block, number = next(blocks), 0
+    while block is not None:
         run = _searched(context.broadcast(block.parts()), at, width, number > 0)
+        block, number = next(blocks, None), number + 1
+        if block is None and then is not None:
+            return current.mapInArrow(_chained(run, then), fields)
         current = current.mapInArrow(run, f"{fields}, {_ADDED}")
     return current
 
 
+def _chained(first: Callable, second: Callable) -> Callable:
+    return lambda batches: second(first(batches))
+
+
 _FOUND = ("n_words", "hit_spans", "items")
 
 
@@ -307,15 +327,23 @@ def n_hit(spans: Column) -> Column:
     return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
 
 
-def _cut(at: int, width: int):
+def _cut(at: int, width: int, max_coverage: float, max_words: int | None):
+    """Batches of a search without the documents that are hit too much, and without the hits."""
+
+    def too_much(n_words: int, spans: list[dict]) -> bool:
+        sizes = [s["end"] - s["begin"] for s in spans]
+        return sum(sizes) > n_words * max_coverage or (max_words is not None and max(sizes, default=0) > max_words)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts: list[str | None] = []
-            column, spans = batch.column(at), batch.column(width)
+            keep: list[bool] = []
+            column, counts, spans = batch.column(at), batch.column(width), batch.column(width + 1)
             for lo, hi, words in words_of(column, ALPHANUMERIC):
                 for i in range(hi - lo):
                     hit = spans[lo + i].as_py()
                     content = column[lo + i].as_py()
+                    keep.append(not too_much(counts[lo + i].as_py(), hit))
                     if not hit:
                         texts.append(content)
                         continue
@@ -327,7 +355,8 @@ def _cut(at: int, width: int):
                     texts.append((b"".join(kept) + raw[last:]).decode())
             columns = [batch.column(i) for i in range(width)]
             columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:width])
+            whole = pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:width])
+            yield whole.filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -347,11 +376,6 @@ def remove(
     hit passage has more than ``max_words`` words. Others keep all but the passages.
     """
     given = {"item_id": "item_id", "item_text": "text", "window": WINDOW, "block_words": BLOCK_WORDS}
-    found = _searched_rows(docs, items, text, **(given | parameters))
-    too_much = n_hit(F.col("hit_spans")) > F.col("n_words") * max_coverage
-    if max_words is not None:
-        too_much |= F.exists("hit_spans", lambda s: s["end"] - s["begin"] > max_words)
-    width = len(docs.columns)
-    kept = found.filter(~too_much).select(*(f"c{i}" for i in range(width)), "hit_spans")
-    fields = ", ".join(f"`c{i}` {f.dataType.simpleString()}" for i, f in enumerate(docs.schema))
-    return kept.mapInArrow(_cut(docs.columns.index(text), width), fields).toDF(*docs.columns)
+    cut = _cut(docs.columns.index(text), len(docs.columns), max_coverage, max_words)
+    kept = _searched_rows(docs, items, text, **(given | parameters), then=cut)
+    return kept.toDF(*docs.columns)
