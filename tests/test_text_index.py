@@ -59,6 +59,8 @@ def test_refresh_equals_rebuild(spark, tmp_path, monkeypatch, most):
         assert parts(refreshed) == parts(rebuilt)
     assert manifest.latest(spark, root)[0] == 4
     assert len(manifest.latest(spark, root)[1]["segments"]) == (4 if most == 8 else 1)
+    assert len(list((tmp_path / "index" / "state").iterdir())) == 2  # this version's and the last one's
+    assert len(list((tmp_path / "index" / "postings").iterdir())) == (4 if most == 8 else 2)
     text_index.refresh_text_index(changed, root)
     assert manifest.latest(spark, root)[0] == 4  # nothing to do, no version
 

@@ -9,6 +9,7 @@ holds its words now, so older rows count no more, its text's hash, and the lengt
 written anew by a refresh, from the last ones and the postings, not from texts.
 
 A version names the folders of all three, so readers see a refresh whole or not at all.
+The version before stays readable; what only older ones have read is deleted.
 """
 
 from __future__ import annotations
@@ -151,6 +152,7 @@ def _refreshed(spark: SparkSession, docs: DataFrame, root: str) -> TextIndex:
         live = every.join(current, ["resume_id", "segment"], "left_semi")
     if len(segments) > MAX_SEGMENTS:
         live = stage(live, "live-postings")
+        manifest.delete(spark, f"{root}/postings/{name}")  # no version has named it
         name = f"{number + 1:012d}-{uuid.uuid4().hex}"
         _write_segment(live, root, name)
         documents, segments = documents.withColumn("segment", F.lit(name)), [name]
@@ -158,11 +160,23 @@ def _refreshed(spark: SparkSession, docs: DataFrame, root: str) -> TextIndex:
     normed.select("resume_id", "text_hash", "segment", "norm").write.parquet(
         f"{root}/state/{state}/documents"
     )
-    new = {"segments": segments, "state": state, "n_docs": n_docs}
+    former = {name: content.get(name) for name in ("segments", "state")}
+    new = {"segments": segments, "state": state, "n_docs": n_docs, "former": former}
     manifest.publish(spark, root, number + 1, new)
+    _clean(spark, root, content, segments)
     return _opened(spark, root, new)
 
 
+def _clean(spark: SparkSession, root: str, content: dict, segments: list[str]) -> None:
+    """Delete what only the version before ``content`` has read; readers of ``content`` may be at work."""
+    older = content.get("former") or {}
+    if older.get("state"):
+        manifest.delete(spark, f"{root}/state/{older['state']}")
+    for name in older.get("segments") or []:
+        if name not in content["segments"] and name not in segments:
+            manifest.delete(spark, f"{root}/postings/{name}")
+
+
 def match_index(
     index: TextIndex, docs: DataFrame, query_text: str, limit: int = MATCH_LIMIT_DEFAULT
 ) -> DataFrame:
