@@ -24,3 +24,8 @@ def test_files_are_listed_without_a_task_or_a_process_per_file(spark, tmp_path):
     manifest.age_files(spark, str(tmp_path), 40)
     old = time.time() - 39 * 86_400
     assert all(p.stat().st_mtime < old for p in tmp_path.rglob("*.*") if p.is_file() and p.suffix != ".crc")
+
+
+def test_ingested_files_are_archived_by_several_threads(spark):
+    threads = "spark.sql.streaming.fileSource.cleaner.numThreads"
+    assert int(file_session(spark).conf.get(threads)) > 1
