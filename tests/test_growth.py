@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import time
 
+import numpy as np
+
+from vitaelake.operators import vectors
 from vitaelake.sources import manifest
 from vitaelake.sources.landing import empty_files, file_session
 
@@ -29,3 +32,25 @@ def test_files_are_listed_without_a_task_or_a_process_per_file(spark, tmp_path):
 def test_ingested_files_are_archived_by_several_threads(spark):
     threads = "spark.sql.streaming.fileSource.cleaner.numThreads"
     assert int(file_session(spark).conf.get(threads)) > 1
+
+
+def test_one_scan_answers_many_blocks_of_queries(spark, tmp_path, monkeypatch):
+    draw = np.random.default_rng(7)
+    matrix = np.round(draw.normal(size=(700, 6)), 1)  # copies and ties among them
+    matrix[600:] = matrix[:100]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(matrix)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(3)
+    scans, made = [], vectors._scan
+    monkeypatch.setattr(vectors, "_scan", lambda ids, *rest: scans.append(len(ids)) or made(ids, *rest))
+    got = vectors.match_vectors(df, df, 5, True, block=100).collect()
+    assert scans == [700]
+    units = matrix.astype(np.float32).astype(float)
+    with np.errstate(invalid="ignore"):
+        units = units / np.linalg.norm(units, axis=1, keepdims=True)
+    cosines = np.round(units @ units.T, 9)
+    expected = set()
+    for query in range(700):
+        order = [i for i in np.lexsort((np.arange(700), -cosines[query])) if i != query]
+        order = [i for i in order if not np.isnan(cosines[query, i])]
+        expected |= {(query, int(i), rank) for rank, i in enumerate(order[:5], 1)}
+    assert {(r["query_id"], r["vec_id"], r["rank"]) for r in got} == expected

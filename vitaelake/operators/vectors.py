@@ -17,7 +17,15 @@ from pyspark.sql import functions as F
 from vitaelake.sources.staging import stage, stage_all
 
 QUERY_BLOCK = 1024
+#: Queries that one scan of the vectors answers, and a driver or task holds.
+SCAN_QUERIES = 16_384
 ROWS_PER_CELL_FILE = 100_000
+#: Vectors and queries that are multiplied at a time, vectors of the first tile, pairs
+#: that are made again at a time, and rows of a batch that a task hands on.
+TILE_ROWS, TILE_QUERIES = 4096, 1024
+TILE_FIRST = 64
+TILE_ENTRIES = 65_536
+OUT_ROWS = 65_536
 
 # Cosines are compared at this precision, so that copies of a vector tie and
 # fall back on the id whatever order their products were added in.
@@ -45,14 +53,13 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _best(
-    ids: np.ndarray, scores: np.ndarray, k: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Top k by score, then id. Only scores that reach the k-th are sorted."""
-    if len(scores) > k:
-        reach = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
-        ids, scores = ids[reach], scores[reach]
-    order = np.lexsort((ids, -scores))[:k]
-    return ids[order], scores[order]
+    at: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Top k of every query by score, then id; ``at`` is the query of an entry."""
+    order = np.lexsort((ids, -scores, at))
+    at, ids, scores = at[order], ids[order], scores[order]
+    keep = np.arange(len(at)) - np.searchsorted(at, at) < k
+    return at[keep], ids[keep], scores[keep]
 
 
 def _scan(
@@ -60,76 +67,135 @@ def _scan(
     queries: np.ndarray,
     k: int,
     skip_self: bool,
+    block: int,
     probed: np.ndarray | None = None,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Running top k per query over id, vector and, if ``probed``, cell.
 
     ``probed[cell, query]`` tells which cells count for which query; a cell's vectors
     are multiplied with these queries only. The pairs that were compared come as a
-    row per query without ``vec_id``.
+    row per query without ``vec_id``. ``part`` is a query's block of ``block`` queries.
+
+    Products are made in single precision, in tiles that stay in the processor's cache.
+    Pairs that, by the bound of its error, may reach the k-th score of their query are
+    made again in double precision, and only these are ranked.
     """
     units = _unit(queries)
+    single = units.astype(np.float32)
+    # Sums of n products of two unit vectors are off by less than n roundings.
+    margin = (queries.shape[1] + 8) * 2.0**-23 + 10.0**-_DIGITS if queries.size else 0.0
 
-    def parts(batch: pa.RecordBatch, ids: np.ndarray) -> Iterator[tuple]:
+    def parts(batch: pa.RecordBatch, every: np.ndarray) -> Iterator[tuple]:
         vectors = _unit(_matrix(batch.column(1)))
         if probed is None:
-            yield np.arange(len(query_ids)), ids, vectors @ units.T
+            yield np.arange(len(query_ids)), every, vectors
             return
         cells = batch.column(2).to_numpy()
         for cell in np.unique(cells):
-            own, asking = cells == cell, np.flatnonzero(probed[cell])
-            yield asking, ids[own], vectors[own] @ units[asking].T
+            own = cells == cell
+            yield np.flatnonzero(probed[cell]), every[own], vectors[own]
+
+    class Held:
+        """The best entries so far, in order of query, and the score that others must reach."""
+
+        def __init__(self) -> None:
+            self.at = np.empty(0, dtype=np.int64)
+            self.ids = self.scores = None
+            self.reach = np.full(len(query_ids), -np.inf)
+
+        def add(self, at: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+            if self.ids is not None:
+                at, ids = np.concatenate((self.at, at)), np.concatenate((self.ids, ids))
+                scores = np.concatenate((self.scores, scores))
+            self.at, self.ids, self.scores = _best(at, ids, scores, k)
+            last = np.flatnonzero(np.diff(self.at, append=-1))
+            full = last[np.bincount(self.at, minlength=len(query_ids))[self.at[last]] == k]
+            self.reach[self.at[full]] = self.scores[full]
+
+    def candidates(
+        asking: np.ndarray, ids: np.ndarray, vectors: np.ndarray, reach: np.ndarray
+    ) -> Iterator[tuple]:
+        rough = vectors.astype(np.float32)
+        for start in range(0, len(asking), TILE_QUERIES):
+            some = asking[start : start + TILE_QUERIES]
+            least = (reach[some] - margin).astype(np.float32)
+            found = np.flatnonzero(rough @ single[some].T >= least)
+            row, at = np.divmod(found, len(some))
+            at = some[at]
+            for first in range(0, len(row), TILE_ENTRIES):
+                rows, queries_at = row[first : first + TILE_ENTRIES], at[first : first + TILE_ENTRIES]
+                cosines = np.einsum("ij,ij->i", vectors[rows], units[queries_at])
+                cosines = np.round(cosines, _DIGITS)
+                keep = cosines >= reach[queries_at]
+                if skip_self:
+                    keep &= ids[rows] != own_ids[queries_at]
+                yield queries_at[keep], ids[rows[keep]], cosines[keep]
+
+    own_ids = np.array(query_ids, dtype=object) if None in query_ids else np.array(query_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: list = [None] * len(query_ids)
-        pairs = np.zeros(len(query_ids), dtype=np.int64)
+        held, pairs = Held(), np.zeros(len(query_ids), dtype=np.int64)
+        waiting: list = []
+        # Tiles grow with what has been seen, so few entries pass before the scores are high.
+        seen = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             every = batch.column(0).to_numpy(zero_copy_only=False)
-            for asking, ids, products in parts(batch, every):
-                cosines = np.round(products, _DIGITS)
-                usable = ~np.isnan(cosines)
+            for asking, ids, vectors in parts(batch, every):
                 pairs[asking] += len(ids)
-                for at, query in enumerate(asking):
-                    keep = usable[:, at]
-                    if skip_self:
-                        keep = keep & (ids != query_ids[query])
-                    found = ids[keep], cosines[keep, at]
-                    if best[query] is not None:
-                        found = tuple(map(np.concatenate, zip(best[query], found)))
-                    best[query] = _best(*found, k)
+                start = 0
+                while start < len(ids) and len(asking):
+                    rows = min(max(seen, TILE_FIRST), TILE_ROWS)
+                    tile = slice(start, start + rows)
+                    waiting += candidates(asking, ids[tile], vectors[tile], held.reach)
+                    # Few entries pass later on, and those wait till there are many.
+                    if 2 * sum(len(found[0]) for found in waiting) >= len(held.at):
+                        held.add(*map(np.concatenate, zip(*waiting)))
+                        waiting = []
+                    start += rows
+                    seen += rows
+        if waiting:
+            held.add(*map(np.concatenate, zip(*waiting)))
         # One partition hands on at most k rows per query, and its number of pairs.
-        for query, found, compared in zip(query_ids, best, pairs.tolist()):
-            if not compared:
-                continue
-            ids, cosines = (found[0].tolist(), found[1].tolist()) if found else ([], [])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([query] * (len(ids) + 1), kind),
-                    pa.array([*ids, None], kind),
-                    pa.array([*cosines, None], pa.float64()),
-                    pa.array([None] * len(ids) + [compared], pa.int64()),
-                ],
-                names=["query_id", "vec_id", "cosine", "pairs"],
-            )
+        ids, scores = (held.ids, held.scores) if held.ids is not None else (np.empty(0), np.empty(0))
+        names, none = ["query_id", "vec_id", "cosine", "pairs", "part"], pa.nulls
+        part_of = lambda at: pa.array((at // block).astype(np.int32))
+        asked = pa.array(query_ids, kind)
+        for start in range(0, len(ids), OUT_ROWS):
+            part = slice(start, start + OUT_ROWS)
+            columns = [
+                asked.take(pa.array(held.at[part])), pa.array(ids[part].tolist(), kind),
+                pa.array(scores[part]), none(len(ids[part]), pa.int64()),
+                part_of(held.at[part]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+        for start in range(0, len(pairs), OUT_ROWS):
+            compared = start + np.flatnonzero(pairs[start : start + OUT_ROWS])
+            columns = [
+                asked.take(pa.array(compared)), none(len(compared), kind),
+                none(len(compared), pa.float64()), pa.array(pairs[compared]),
+                part_of(compared),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = pa.array(query_ids).type
     return run
 
 
 def _top_k(pairs: DataFrame, k: int) -> DataFrame:
-    window = Window.partitionBy("query_id").orderBy(F.desc("cosine"), "vec_id")
+    window = Window.partitionBy("part", "query_id").orderBy(F.desc("cosine"), "vec_id")
     return (
         pairs.filter("vec_id IS NOT NULL")
         .withColumn("rank", F.row_number().over(window))
         .filter(F.col("rank") <= k)
-        .select("query_id", "vec_id", score_of(F.col("cosine")).alias("match_score"), "rank")
+        .select("query_id", "vec_id", score_of(F.col("cosine")).alias("match_score"), "rank", "part")
     )
 
 
-def _blocks(queries: DataFrame, size: int) -> Iterator[tuple[list, np.ndarray]]:
-    """Ids and vectors of the queries, at most ``size`` at a time."""
+def _blocks(queries: DataFrame, block: int) -> Iterator[tuple[list, np.ndarray]]:
+    """Ids and vectors of the queries, as many whole blocks at a time as a scan takes."""
+    size = block * max(1, SCAN_QUERIES // block)
     rows = queries.select("vec_id", "embedding").filter("embedding IS NOT NULL")
     stream = stage(rows, "query-vectors").toLocalIterator()
     while taken := list(islice(stream, size)):
@@ -147,15 +213,15 @@ def _search(
     """
     spark = usable.sparkSession
     kind = usable.schema["vec_id"].dataType.simpleString()
-    schema = f"query_id {kind}, vec_id {kind}, cosine double, pairs long"
+    schema = f"query_id {kind}, vec_id {kind}, cosine double, pairs long, part int"
 
     def answer(rows: DataFrame, scan: Callable) -> DataFrame:
         found = rows.mapInArrow(scan, schema)
         if not with_pairs:
-            return _top_k(found, k)
+            return _top_k(found, k).drop("part")
         found = stage(found, "best-of-tasks")
-        compared = found.groupBy("query_id").agg(F.sum("pairs").alias("pairs"))
-        return compared.join(_top_k(found, k), "query_id", "left").select(
+        compared = found.groupBy("part", "query_id").agg(F.sum("pairs").alias("pairs"))
+        return compared.join(_top_k(found, k), ["part", "query_id"], "left").select(
             "query_id", "vec_id", "match_score", "rank", "pairs"
         )
 
@@ -176,13 +242,14 @@ def match_vectors(
     Both inputs have ``vec_id`` and ``embedding``. The vectors are scanned in
     place: a task multiplies its Arrow batches with a block of query vectors,
     keeps a running top k per query and ships only that, so neither pairs nor
-    vectors are shuffled. A block holds at most ``block`` query vectors; a
-    larger query set costs one scan per block, not more memory on the driver or
-    in a task, and no larger plan.
+    vectors are shuffled. A scan takes as many blocks of ``block`` query vectors as fit
+    ``SCAN_QUERIES``, one at least; a larger query set costs more scans, not more memory
+    on the driver or in a task, and no larger plan. Rows of one block with the same id
+    count as one query.
     """
     usable = vectors.select("vec_id", "embedding").filter("embedding IS NOT NULL")
     scans = (
-        (usable, _scan(ids, matrix, k, skip_self)) for ids, matrix in _blocks(queries, block)
+        (usable, _scan(ids, matrix, k, skip_self, block)) for ids, matrix in _blocks(queries, block)
     )
     return _search(usable, scans, k)
 
@@ -328,7 +395,7 @@ def match_vectors_approx(
             cells = np.flatnonzero(probed.any(axis=1)).tolist()
             yield (
                 index.rows.filter(F.col("cell").isin(cells)),
-                _scan(ids, matrix, k, skip_self, probed),
+                _scan(ids, matrix, k, skip_self, block, probed),
             )
 
     return _search(index.rows, scans(), k, with_pairs)
