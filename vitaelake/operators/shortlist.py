@@ -7,6 +7,7 @@ that approves or rejects anyone.
 from __future__ import annotations
 
 import datetime as dt
+import math
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -25,7 +26,8 @@ ACTION_SCHEMA = (
 )
 #: Compacted actions lie in a folder that a plain scan of the log leaves out.
 _COMPACTED = "_compacted"
-COMPACTED_FILE_BYTES = 128 * 1024 * 1024
+#: One task shuffles what makes a file, several times its bytes before compression.
+COMPACTED_FILE_BYTES = 32 * 1024 * 1024
 SHORTLIST_COLUMNS = (
     *SHORTLIST_KEY,
     "category",
@@ -201,8 +203,8 @@ def compact_actions(spark: SparkSession, log_path: str) -> int:
     number, _ = manifest.latest(spark, log_path)
     name = uuid.uuid4().hex
     rows = _read_parts(spark, log_path, loose, compacted)
-    files = max(1, estimated_bytes(rows) // COMPACTED_FILE_BYTES)
-    rows.repartition(int(files)).write.parquet(f"{log_path}/{_COMPACTED}/{name}")
+    files = max(1, math.ceil(estimated_bytes(rows) / COMPACTED_FILE_BYTES))
+    rows.repartition(files).write.parquet(f"{log_path}/{_COMPACTED}/{name}")
     new = {"compacted": [name], "replaced": loose, "deleted": content.get("replaced", [])}
     try:
         manifest.publish(spark, log_path, number + 1, {**new, "former": compacted})
