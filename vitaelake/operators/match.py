@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from vitaelake.config import MATCH_LIMIT_DEFAULT, MATCH_LIMIT_MAX
 from vitaelake.functions.text import snippet, words
 from vitaelake.operators.vectors import score_of
-from vitaelake.sources.staging import fits_broadcast, sized, stage
+from vitaelake.sources.staging import by_hash, fits_broadcast, sized, stage
 
 # With more terms than a broadcast can hold, those found in more than one
 # document out of this many still go by broadcast. A document has finitely many
@@ -99,7 +99,7 @@ def with_df(terms: DataFrame, vocab: DataFrame, n_docs: int) -> DataFrame:
     rare = vocab.filter(F.col("df") * COMMON_TERM_SHARE <= n_docs)
     columns = [*terms.columns, "df"]
     hot = terms.join(common, "token").select(*columns)
-    cold = terms.join(common, "token", "left_anti").join(rare, "token").select(*columns)
+    cold = terms.join(common, "token", "left_anti").join(by_hash(rare), "token").select(*columns)
     return hot.unionByName(cold)
 
 
@@ -233,15 +233,15 @@ def refresh_vectors_by(
     changes = stage(vector_changes(docs, vectors), "vector-changes")
     due = changes.filter("action <> 'removed'").select("resume_id")
     current = vectors.select("resume_id", "text_hash", "embedding")
-    kept = current.join(sized(changes.select("resume_id")), "resume_id", "left_anti")
+    kept = current.join(by_hash(changes.select("resume_id")), "resume_id", "left_anti")
     unchanged = stage(kept.select("resume_id"), "unchanged-vectors")
     n_due, n_unchanged = due.count(), unchanged.count()
     if not n_unchanged:
         texts = docs
     elif n_due <= n_unchanged:
-        texts = docs.join(sized(due, n_due), "resume_id", "left_semi")
+        texts = docs.join(by_hash(due, n_due), "resume_id", "left_semi")
     else:
-        texts = docs.join(sized(unchanged, n_unchanged), "resume_id", "left_anti")
+        texts = docs.join(by_hash(unchanged, n_unchanged), "resume_id", "left_anti")
     fresh = texts.select(
         "resume_id",
         text_hash(F.col("clean_text")).alias("text_hash"),

@@ -279,10 +279,12 @@ def hashed_embedding(text: Column) -> Column:
     """Eight counts of words by first letter and length: a vector without a model."""
     bins = F.transform(words(text), lambda w: (F.ascii(w) * 31 + F.length(w)) % 8)
 
-    def count(i: int) -> Column:
-        return F.size(F.filter(bins, lambda x: x == i)).cast("float")
+    def count(of: Column, i: int) -> Column:
+        return F.size(F.filter(of, lambda x: x == i)).cast("float")
 
-    return F.array(*map(count, range(8)))
+    # As the element of an array the bins are made once, not once per count.
+    counts = F.transform(F.array(bins), lambda of: F.array(*(count(of, i) for i in range(8))))
+    return F.get(counts, 0)
 
 
 @_query

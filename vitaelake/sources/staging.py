@@ -115,6 +115,14 @@ def sized(staged: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(staged) if fits_broadcast(staged, rows) else staged
 
 
+def by_hash(staged: DataFrame, rows: int | None = None) -> DataFrame:
+    """Mark the smaller side of a join: for broadcast if it fits, else for a hash table.
+
+    Then the other side, many narrow rows or few wide ones, is shuffled but not sorted.
+    """
+    return F.broadcast(staged) if fits_broadcast(staged, rows) else staged.hint("shuffle_hash")
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Give every core a share of an input that has too few file splits.
 
