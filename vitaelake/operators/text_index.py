@@ -1,7 +1,7 @@
 """A stored inverted index for the text match, kept up by the changes of the documents.
 
-``postings`` hold token, document and frequency, range-partitioned and sorted by
-token, so a match reads only the pages of the question's words; a word of very many
+``postings`` hold token, document and frequency, range-partitioned by token and sorted
+by its first bytes, so a match reads only the pages of the question's words; a word of very many
 documents is spread over several files. A refresh writes the words of new and changed
 documents as one more segment. ``documents`` tells for each document which segment
 holds its words now, so older rows count no more, its text's hash, and the length
@@ -18,7 +18,7 @@ import math
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitaelake.config import MATCH_LIMIT_DEFAULT, MATCH_LIMIT_MAX
@@ -34,7 +34,7 @@ from vitaelake.operators.match import (
 )
 from vitaelake.operators.vectors import score_of
 from vitaelake.sources import manifest
-from vitaelake.sources.staging import scope, sized, stage
+from vitaelake.sources.staging import by_hash, scope, stage
 
 POSTINGS = "token string, resume_id string, tf int, segment string"
 DOCUMENTS = "resume_id string, text_hash bigint, segment string, norm double"
@@ -51,11 +51,25 @@ class TextIndex:
     documents: DataFrame
     vocabulary: DataFrame
     n_docs: int
+    #: Whether all postings are of current words, as those of a single segment are.
+    all_live: bool = False
 
     def live_postings(self) -> DataFrame:
         """Postings of the documents' current words."""
+        if self.all_live:
+            return self.postings.filter("resume_id IS NOT NULL")
         current = self.documents.select("resume_id", "segment")
-        return self.postings.join(current, ["resume_id", "segment"], "left_semi")
+        return self.postings.join(by_hash(current), ["resume_id", "segment"], "left_semi")
+
+    def per_document(self, *numbers: Column) -> DataFrame:
+        """Aggregates over each document's current words.
+
+        Older words are counted too and left out after: of the postings only a row per
+        document and segment is joined.
+        """
+        counted = self.postings.groupBy("resume_id", "segment").agg(*numbers)
+        current = self.documents.select("resume_id", "segment")
+        return counted.join(current, ["resume_id", "segment"], "left_semi").drop("segment")
 
 
 def open_index(spark: SparkSession, root: str) -> TextIndex | None:
@@ -77,20 +91,32 @@ def _opened(spark: SparkSession, root: str, content: dict) -> TextIndex:
         spark.read.schema(DOCUMENTS).parquet(f"{state}/documents"),
         spark.read.schema(VOCABULARY).parquet(f"{state}/vocabulary"),
         content["n_docs"],
+        len(content["segments"]) == 1,
     )
 
 
 def _write_segment(terms: DataFrame, root: str, name: str) -> None:
     """Ranges of token and document, so a frequent token is cut into several files."""
     rows = terms.select("token", "resume_id", F.col("tf").cast("int").alias("tf"))
-    ranged = rows.withColumn("segment", F.lit(name)).repartitionByRange("token", "resume_id")
-    ranged.sortWithinPartitions("token", "resume_id").write.parquet(f"{root}/postings/{name}")
+    ranged = rows.repartitionByRange("token", "resume_id")
+    # The name is added after the sort, which else carries it with every row.
+    ordered = ranged.sortWithinPartitions("token", "resume_id")
+    ordered.withColumn("segment", F.lit(name)).write.parquet(f"{root}/postings/{name}")
+
 
+def _norms(postings: DataFrame, vocabulary: DataFrame, n_docs: int, names: list[str]) -> DataFrame:
+    """Length of the vector per document and segment, be its words current or older ones.
 
-def _norms(postings: DataFrame, vocabulary: DataFrame, n_docs: int) -> DataFrame:
+    While rows are joined and shuffled a segment goes by its place in ``names``.
+    """
     weight = F.col("tf") * idf(n_docs, F.col("df"))
-    weighted = with_df(postings.select("resume_id", "token", "tf"), vocabulary, n_docs)
-    return weighted.groupBy("resume_id").agg(F.sqrt(F.sum(weight * weight)).alias("norm"))
+    places = F.create_map(*(F.lit(x) for pair in zip(names, range(len(names))) for x in pair))
+    terms = postings.select("resume_id", "token", "tf", places[F.col("segment")].alias("place"))
+    weighted = with_df(terms, vocabulary, n_docs).groupBy("resume_id", "place")
+    segment = F.element_at(F.array(*map(F.lit, names)), F.col("place") + 1).alias("segment")
+    return weighted.agg(F.sqrt(F.sum(weight * weight)).alias("norm")).select(
+        "resume_id", segment, "norm"
+    )
 
 
 def refresh_text_index(docs: DataFrame, root: str) -> TextIndex:
@@ -121,13 +147,13 @@ def _refreshed(spark: SparkSession, docs: DataFrame, root: str) -> TextIndex:
         changes = stage(vector_changes(docs, old.documents), "index-changes")
         if not changes.take(1):
             return old
-        due = sized(changes.filter("action <> 'removed'").select("resume_id"))
-        gone = sized(changes.filter("action <> 'new'").select("resume_id"))
+        due = by_hash(changes.filter("action <> 'removed'").select("resume_id"))
+        gone = by_hash(changes.filter("action <> 'new'").select("resume_id"))
         changed = texts.join(due, "resume_id", "left_semi")
         terms = stage(term_frequencies(changed, "resume_id", F.col("clean_text")), "terms")
         fresh = hashed.join(due, "resume_id", "left_semi").withColumn("segment", F.lit(name))
         kept = old.documents.drop("norm").join(
-            sized(changes.select("resume_id")), "resume_id", "left_anti"
+            by_hash(changes.select("resume_id")), "resume_id", "left_anti"
         )
         documents = stage(kept.unionByName(fresh), "indexed-documents")
         lost = old.live_postings().join(gone, "resume_id", "left_semi")
@@ -145,18 +171,19 @@ def _refreshed(spark: SparkSession, docs: DataFrame, root: str) -> TextIndex:
     vocabulary = spark.read.schema(VOCABULARY).parquet(f"{root}/state/{state}/vocabulary")
     n_docs = documents.count()
     if old is None:
-        live = terms
+        every = terms.withColumn("segment", F.lit(name))
     else:
-        current = documents.select("resume_id", "segment")
         every = _opened(spark, root, {**content, "segments": segments}).postings
-        live = every.join(current, ["resume_id", "segment"], "left_semi")
     if len(segments) > MAX_SEGMENTS:
-        live = stage(live, "live-postings")
+        current = documents.select("resume_id", "segment")
+        live = stage(every.join(by_hash(current), ["resume_id", "segment"], "left_semi"), "live-postings")
         manifest.delete(spark, f"{root}/postings/{name}")  # no version has named it
         name = f"{number + 1:012d}-{uuid.uuid4().hex}"
         _write_segment(live, root, name)
         documents, segments = documents.withColumn("segment", F.lit(name)), [name]
-    normed = documents.join(_norms(live, vocabulary, n_docs), "resume_id", "left")
+        every = live.withColumn("segment", F.lit(name))
+    norms = _norms(every, vocabulary, n_docs, segments)
+    normed = documents.join(norms, ["resume_id", "segment"], "left")
     normed.select("resume_id", "text_hash", "segment", "norm").write.parquet(
         f"{root}/state/{state}/documents"
     )

@@ -336,9 +336,7 @@ def text_index_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = f"{shared_dir(spark)}/text-index-{uuid.uuid4().hex}"
     text_index.refresh_text_index(then.unionByName(lost), root)
     index = text_index.refresh_text_index(docs, root)
-    held = index.live_postings().groupBy("resume_id").agg(
-        F.count("*").alias("terms"), F.sum("tf").alias("words")
-    )
+    held = index.per_document(F.count("*").alias("terms"), F.sum("tf").alias("words"))
     return index.documents.join(held, "resume_id", "left").select(
         "resume_id", "terms", "words", F.round("norm", 6).alias("norm")
     )
