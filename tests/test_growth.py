@@ -5,9 +5,11 @@ from __future__ import annotations
 import time
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from vitaelake.operators import vectors
-from vitaelake.sources import manifest
+from vitaelake.operators import shortlist, text_index, vectors
+from vitaelake.plans import queries
+from vitaelake.sources import manifest, staging
 from vitaelake.sources.landing import empty_files, file_session
 
 
@@ -54,3 +56,56 @@ def test_one_scan_answers_many_blocks_of_queries(spark, tmp_path, monkeypatch):
         order = [i for i in order if not np.isnan(cosines[query, i])]
         expected |= {(query, int(i), rank) for rank, i in enumerate(order[:5], 1)}
     assert {(r["query_id"], r["vec_id"], r["rank"]) for r in got} == expected
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def texts(spark, n):
+    rows = [(str(i), "c", f"w{i % 7} Wort{i % 3} w1") for i in range(n)]
+    return spark.createDataFrame(rows, "resume_id string, category string, clean_text string")
+
+
+def test_postings_of_several_segments_are_not_sorted_by_document(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "index")
+    text_index.refresh_text_index(texts(spark, 30), root)
+    index = text_index.refresh_text_index(texts(spark, 40).filter("resume_id <> '3'"), root)
+    found = {r["resume_id"]: r["n"] for r in index.per_document(F.sum("tf").alias("n")).collect()}
+    assert found == {str(i): 3 for i in range(40) if i != 3}
+    monkeypatch.setattr(staging, "BROADCAST_MAX_ROWS", 0)
+    assert "SortMergeJoin" not in plan_of(index.live_postings())
+    counted = {r["resume_id"]: r["count"] for r in index.live_postings().groupBy("resume_id").count().collect()}
+    assert set(counted) == set(found)
+
+
+def test_postings_of_one_segment_are_joined_with_nothing(spark, tmp_path):
+    docs = texts(spark, 30).unionByName(spark.createDataFrame([(None, "c", "w1")], texts(spark, 1).schema))
+    index = text_index.refresh_text_index(docs, str(tmp_path / "index"))
+    assert "Join" not in plan_of(index.live_postings())
+    assert index.live_postings().agg(F.sum("tf")).first()[0] == 90
+
+
+def test_postings_are_sorted_by_a_number_in_the_order_of_tokens(spark):
+    tokens = ["", "a", "a0", "ab", "abcdefg", "abcdefgh", "b", "zz", "é", "été", "中文", "𝔘"]
+    df = spark.createDataFrame([(t,) for t in tokens], "token string")
+    rows = df.select("token", text_index._first_bytes(F.col("token")).alias("n")).collect()
+    numbers = {r["token"]: r["n"] for r in rows}
+    assert [numbers[t] for t in sorted(tokens, key=lambda t: t.encode()[:7])] == sorted(numbers.values())
+    assert all(numbers[t] == int.from_bytes(t.encode()[:7].ljust(7, bytes(1)), "big") for t in tokens)
+
+
+def test_an_embedding_cuts_a_text_into_words_once(spark):
+    made = texts(spark, 3).select(queries.hashed_embedding(F.col("clean_text")).alias("e"))
+    assert plan_of(made).count("split(") == 1
+    assert all(sum(r["e"]) == 3.0 for r in made.collect())
+
+
+def test_a_compacted_file_is_bounded(spark, tmp_path, monkeypatch):
+    log = str(tmp_path / "log")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    shortlist.record_actions(queries._actions(events).coalesce(1), log)
+    size = staging.estimated_bytes(shortlist.read_actions(spark, log))
+    monkeypatch.setattr(shortlist, "COMPACTED_FILE_BYTES", int(size / 1.9))
+    shortlist.compact_actions(spark, log)
+    assert len(list((tmp_path / "log" / "_compacted").rglob("*.parquet"))) == 2
