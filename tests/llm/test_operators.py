@@ -8,8 +8,10 @@ import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ from vitaelake.llm import (
     sharding,
     url_filters,
 )
+from vitaelake.llm.arrays import ALPHANUMERIC, words_of
 from vitaelake.llm.components import components
 
 SCHEMA = "doc_id long, text string, source string, score string, kept string, __hash string"
@@ -100,6 +103,28 @@ def test_url_automaton(spark):
     assert url_filters.judge(pages.limit(0), rules).count() == 0
 
 
+def test_decontamination_holds_a_slice_at_a_time():
+    """A batch of 10 MB, as Spark hands it out, leaves the search and the cut in slices."""
+    rng = random.Random(2)
+    words = [f"w{n}" for n in range(5000)]
+    texts = [" ".join(rng.choices(words, k=700)) for _ in range(2500)]
+    passage = " ".join(f"é{n}" for n in range(12))
+    texts[1300] += f" {passage} end"
+    texts[1301] = None
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2500)), pa.array(texts)], names=["c0", "c1"])
+    number = next(words_of(pa.array([passage]), ALPHANUMERIC))[2].hashes
+    block = SimpleNamespace(value=decontamination._block([("i", number)], 10).parts())
+    search = decontamination._searched(block, 1, 2, False)
+    cut = decontamination._cut(1, 2, 0.5, None)
+    for run in (search, decontamination._chained(search, cut)):
+        out = list(run(iter([batch])))
+        assert max(len("".join(x or "" for x in b.column(1).to_pylist())) for b in out) <= 1 << 20
+        assert [x for b in out for x in b.column(0).to_pylist()] == list(range(2500))
+    made = [x for b in out for x in b.column(1).to_pylist()]
+    assert made[1300] == texts[1300].replace(passage, "") and made[1301] is None
+    assert made[:1300] == texts[:1300] and made[1302:] == texts[1302:]
+
+
 def test_decontamination(spark):
     rng = random.Random(3)
     letters = [f"t{i}" for i in range(6)]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitaelake.llm.arrays import ALPHANUMERIC, Words, constants, mixed, words_of
+from vitaelake.llm.arrays import ALPHANUMERIC, Words, constants, mixed, pieces, words_of
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -238,10 +238,21 @@ _NAMES = pa.list_(pa.string())
 _ADDED = "n_words long, hit_spans array<struct<begin: bigint, end: bigint>>, items array<string>"
 
 
+def _sliced(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about a megabyte of whole texts.
+
+    What a task makes of a slice goes out before the next is taken, so it never holds
+    the results of a whole batch beside the batch.
+    """
+    for batch in batches:
+        for lo, hi, _, _ in pieces(batch.column(at)):
+            yield batch.slice(lo, hi - lo)
+
+
 def _searched(block, at: int, width: int, carried: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _Block.of_parts(block.value)
-        for batch in batches:
+        for batch in _sliced(batches, at):
             counts, spans, items = [], [], []
             for lo, hi, words in words_of(batch.column(at), ALPHANUMERIC):
                 found = _found(words, own)
