@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vitaelake.llm import line_dedup
+from vitaelake.sources.staging import stage
 
 
 def distance(a: str, b: str) -> int:
@@ -183,3 +184,21 @@ def test_class_links_make_the_same_classes(spark, monkeypatch, crowded, edits):
     assert classes_of(found) == classes_of(expected)
     if crowded == 64:
         assert len(found) < len(expected)
+
+
+def test_lines_that_share_no_entry_are_not_kept_again(spark, monkeypatch):
+    """Marks and a second copy of the text are for lines that may be linked."""
+    staged = {}
+
+    def noted(df, name):
+        staged[name] = stage(df, name)
+        return staged[name]
+
+    monkeypatch.setattr(line_dedup, "stage", noted)
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(100)) for _ in range(60)]
+    texts += [texts[7][:50] + "x" + texts[7][50:], texts[9][:-1] + "y"]
+    found = line_dedup.links(spark.createDataFrame(list(enumerate(texts)), "id long, content string"))
+    assert {(r.a, r.b) for r in found.collect()} == {(7, 60), (9, 61)}
+    assert {r.id for r in staged["marked-lines"].collect()} == {7, 9, 60, 61}
+    assert "mark_0" not in staged["line-entries"].columns

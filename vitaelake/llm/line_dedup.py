@@ -233,7 +233,7 @@ def _placed(dealt: DataFrame, m: Column, v: Column, budget: Column) -> DataFrame
 
 
 def _entries(long: DataFrame, edits: Edits) -> DataFrame:
-    """The entries of all lines in their views, with lengths and marks."""
+    """The entries of all lines in their views, with lengths."""
     most = max(k for _, k in edits)
     lengths = F.filter(
         F.transform(F.sequence(F.lit(0), F.lit(most)), lambda t: F.col("n") - t), lambda n: n >= MIN_CHARS
@@ -244,7 +244,7 @@ def _entries(long: DataFrame, edits: Edits) -> DataFrame:
     placed = _placed(dealt, F.col("n"), F.col("v.low"), F.col("v.edits"))
     piece = F.substring(F.col("content"), F.col("begin") + 1, F.col("size"))
     return placed.select(
-        "id", "n", "mark_0", "mark_1", "v.edits", (F.col("n") > F.col("v.high")).cast("int").alias("guest"),
+        "id", "n", "v.edits", (F.col("n") > F.col("v.high")).cast("int").alias("guest"),
         F.xxhash64("v.low", "s.i", piece).alias("key"),
     )
 
@@ -349,7 +349,7 @@ def _pairs(
     crowded = shared.filter("crowded").select("key")
     if crowded.isEmpty():
         return pairs
-    return pairs.union(_crowded_pairs(lines, entries, crowded, edits))
+    return pairs.union(_like(lines, _crowded_pairs(lines, entries, crowded, edits).distinct(), edits))
 
 
 def _crowded_pairs(lines: DataFrame, entries: DataFrame, crowded: DataFrame, edits: Edits) -> DataFrame:
@@ -389,14 +389,20 @@ def _crowded_pairs(lines: DataFrame, entries: DataFrame, crowded: DataFrame, edi
 
 
 def _ready(lines: DataFrame, edits: Edits) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Lines with marks, their entries, and the entries that lines share."""
+    """Lines that share an entry, with marks, their shared entries, and one row for each of those.
+
+    Most lines share none; they are neither marked nor kept with their text again.
+    """
     most = max(k for _, k in edits)
     if 2 * most + 1 > _BAND_BITS or [k for _, k in sorted(edits)] != sorted(k for _, k in edits):
         raise ValueError(f"edits must not fall with length, nor be more than {(_BAND_BITS - 1) // 2}")
-    marked = stage(
-        lines.select("id", "content", F.length("content").alias("n"), *_marks(F.col("content"))), "marked-lines"
-    )
-    entries = stage(_entries(marked.filter(F.col("n") >= MIN_CHARS), edits), "line-entries")
+    measured = lines.select("id", "content", F.length("content").alias("n"))
+    every = stage(_entries(measured.filter(F.col("n") >= MIN_CHARS), edits), "line-entries")
+    keys = every.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1").select("key")
+    met = stage(every.join(sized(stage(keys, "shared-keys")), "key", "left_semi"), "met-entries")
+    ids = sized(stage(met.select("id").distinct(), "entered-ids"))
+    marked = stage(measured.join(ids, "id", "left_semi").select("*", *_marks(F.col("content"))), "marked-lines")
+    entries = stage(met.join(marked.select("id", "mark_0", "mark_1"), "id"), "marked-entries")
     return marked, entries, _shared(entries, F.lit(True), F.lit(False))
 
 
@@ -420,15 +426,20 @@ def class_links(lines: DataFrame, edits: Edits = EDITS) -> DataFrame:
     return stars.union(_verified(marked, pairs, edits)).distinct()
 
 
-def _verified(lines: DataFrame, pairs: DataFrame, edits: Edits) -> DataFrame:
-    """The pairs that are within their edits."""
+def _like(lines: DataFrame, pairs: DataFrame, edits: Edits) -> DataFrame:
+    """The pairs, met without a look at their marks, that may be linked by them."""
     pairs = stage(pairs, "met-lines")
     ids = sized(stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "met-ids"))
     marks = sized(stage(lines.join(ids, "id", "left_semi").select(*_LINE), "line-marks"))
     for side in "ab":
         own = marks.select(F.col("id").alias(side), F.struct("n", "mark_0", "mark_1").alias(f"own_{side}"))
         pairs = pairs.join(own, side)
-    pairs = stage(pairs.filter(_alike("own_a", "own_b", edits)).select("a", "b"), "like-lines")
+    return pairs.filter(_alike("own_a", "own_b", edits)).select("a", "b")
+
+
+def _verified(lines: DataFrame, pairs: DataFrame, edits: Edits) -> DataFrame:
+    """The pairs that are within their edits."""
+    pairs = stage(pairs, "like-lines")
     ids = sized(stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "like-ids"))
     texts = lines.join(ids, "id", "left_semi")
     sides = [texts.select(F.col("id").alias(s), F.col("content").alias(f"text_{s}")) for s in "ab"]
