@@ -202,3 +202,62 @@ def test_lines_that_share_no_entry_are_not_kept_again(spark, monkeypatch):
     assert {(r.a, r.b) for r in found.collect()} == {(7, 60), (9, 61)}
     assert {r.id for r in staged["marked-lines"].collect()} == {7, 9, 60, 61}
     assert "mark_0" not in staged["line-entries"].columns
+
+
+def inserted(rng: random.Random, text: str, word: str) -> str:
+    at = rng.randint(1, len(text) - 1)
+    return text[:at] + word + text[at:]
+
+
+@pytest.mark.parametrize("edits", [line_dedup.EDITS, ((0, 2),), ((0, 2), (72, 3))])
+def test_links_of_busy_entries(spark, monkeypatch, edits):
+    """All pairs of lines that meet by their rarest passages, whatever differs and wherever."""
+    monkeypatch.setattr(line_dedup, "CROWDED", 3)
+    monkeypatch.setattr(line_dedup, "CROWDED_TIMES", 10_000)
+    rng = random.Random(13)
+    texts = set()
+    for n in (66, 72, 300):
+        base = "".join(rng.choice("abcdefgh ") for _ in range(n)).strip()
+        repeated = ("is on he. " * 40)[: n - 1] + "x"
+        for text in (base, repeated):
+            texts |= {text, "zz" + text[2:], text[:-2] + "zz", text[:-1], text[1:] + "q", text[4:] + text[:4]}
+            texts |= {mutated(rng, text, rng.randint(1, 4)).strip() for _ in range(12)}
+            texts |= {inserted(rng, text, rng.choice(("kpq", "zé", "wvxy"))) for _ in range(8)}
+    texts = sorted(t for t in texts if len(t) >= 64)
+    lines = spark.createDataFrame(list(enumerate(texts)), "id long, content string")
+    expected = set()
+    for i, a in enumerate(texts):
+        for j in range(i + 1, len(texts)):
+            k = allowed(edits, min(len(a), len(texts[j])))
+            if abs(len(a) - len(texts[j])) <= k and distance(a, texts[j]) <= k:
+                expected.add((i, j))
+    staged = []
+
+    def noted(df, name):
+        staged.append(name)
+        return stage(df, name)
+
+    monkeypatch.setattr(line_dedup, "stage", noted)
+    assert {(r.a, r.b) for r in line_dedup.links(lines, edits).collect()} == expected
+    assert "rare-lines" in staged
+
+
+def test_busy_entries_make_few_pairs(spark, monkeypatch):
+    """Lines of a template that are no near copies of each other are not all paired."""
+    pairs = []
+
+    def noted(df, name):
+        out = stage(df, name)
+        if name == "line-pairs":
+            pairs.append(out)
+        return out
+
+    monkeypatch.setattr(line_dedup, "stage", noted)
+    rng = random.Random(17)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(300)).strip()
+    texts = [inserted(rng, base, "".join(rng.choice("jkpqvwxyz") for _ in range(4))) for _ in range(160)]
+    texts += [texts[5] + "x", "y" + texts[8]]
+    lines = spark.createDataFrame(list(enumerate(texts)), "id long, content string")
+    found = {(r.a, r.b) for r in line_dedup.class_links(lines).collect()}
+    assert {(5, 160), (8, 161)} <= found
+    assert pairs[0].count() < 30 * len(texts)

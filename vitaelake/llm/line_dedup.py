@@ -9,6 +9,10 @@ view; a line enters the view of its own length, and those of the shorter lines t
 may be linked with. Lines that meet are verified with a banded bit-parallel edit
 distance.
 
+Lines of an entry that more than ``CROWDED`` share and that may have more than one edit
+meet by the rarest passages of their text instead: lines of one template by what they
+differ in from it, and only those that hardly differ from it by the template.
+
 Lines of an index entry that very many share are not joined there. They are entered
 once more under their exact lengths, and what is left open beside the segment, each
 part with its own edits, is cut again in the same way, and again, as long as an entry
@@ -39,6 +43,9 @@ MIN_CHARS = 10
 #: Lines of an entry that are joined outright, and how many times more with each further edit.
 CROWDED = 64
 CROWDED_TIMES = 16
+#: Characters of a passage by which the lines of busy entries meet, and places cut at once.
+PASSAGE = 8
+PLACES = 256
 #: Pieces that are looked for near their place before the edit distance.
 PIECES = 16
 
@@ -232,23 +239,112 @@ def _placed(dealt: DataFrame, m: Column, v: Column, budget: Column) -> DataFrame
     return sized_.withColumn("begin", begin.cast("int")).filter((F.col("begin") >= 0) & (F.col("begin") + size <= m))
 
 
-def _entries(long: DataFrame, edits: Edits) -> DataFrame:
-    """The entries of all lines in their views, with lengths."""
+def _viewed(long: DataFrame, edits: Edits) -> DataFrame:
+    """All lines in their views ``v``; ``guest`` has lines that are longer than the view."""
     most = max(k for _, k in edits)
     lengths = F.filter(
         F.transform(F.sequence(F.lit(0), F.lit(most)), lambda t: F.col("n") - t), lambda n: n >= MIN_CHARS
     )
     views = F.array_distinct(F.transform(lengths, lambda n: _view(edits, n)))
     viewed = long.withColumn("v", F.explode(views)).filter("n - v.high <= v.edits AND v.edits > 0")
-    dealt = viewed.withColumn("s", F.explode(_segments(F.col("v.edits"), most)))
+    return viewed.withColumn("guest", (F.col("n") > F.col("v.high")).cast("int"))
+
+
+def _entries(long: DataFrame, edits: Edits) -> DataFrame:
+    """The entries of all lines in their views, with lengths."""
+    most = max(k for _, k in edits)
+    dealt = _viewed(long, edits).withColumn("s", F.explode(_segments(F.col("v.edits"), most)))
     placed = _placed(dealt, F.col("n"), F.col("v.low"), F.col("v.edits"))
     piece = F.substring(F.col("content"), F.col("begin") + 1, F.col("size"))
     return placed.select(
-        "id", "n", "v.edits", (F.col("n") > F.col("v.high")).cast("int").alias("guest"),
-        F.xxhash64("v.low", "s.i", piece).alias("key"),
+        "id", "n", "v.edits", "guest", F.xxhash64("v.low", "s.i", piece).alias("key"),
     )
 
 
+def _rare(lines: DataFrame, edits: Edits) -> DataFrame:
+    """Entries of these lines by the rarest passages of their text, in their views.
+
+    Of passages that lie apart, one more than edits, one is in the other line, too.
+    All passages have one order, rare ones first. A line is entered with those up to the
+    last of edits-plus-one that lie apart. Of two linked lines this comes first in
+    one, and the other one is entered with all that it has up to there. Each passage
+    that is taken rules out fewer than two sizes of places, so there always are enough.
+    """
+    low, budget, size, place = (F.col(name) for name in ("v.low", "v.edits", "size", "place"))
+    most_size = F.floor((low + budget) / (budget * 2 + 1))
+    viewed = _viewed(lines, edits).withColumn("size", F.least(F.lit(PASSAGE), most_size).cast("int"))
+    parts = viewed.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("n") - size, F.lit(PLACES)))).select(
+        "id", low.alias("low"), "size", "at", F.substring(F.col("content"), F.col("at") + 1, size + (PLACES - 1)).alias("part")
+    )
+    cut = parts.withColumn("place", F.explode(F.sequence(F.lit(0), F.length("part") - size)))
+    placed = stage(cut.select(
+        "id", "low", (F.col("at") + place).alias("place"),
+        F.xxhash64("low", F.substring(F.col("part"), place + 1, size)).alias("key"),
+    ), "line-passages")
+    counts = placed.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1")
+    # A passage that is there once is met by no other line, but counts among those apart.
+    counted = placed.join(sized(stage(counts, "passages")), "key", "left")
+    # Of equally rare ones the first is taken, so that a changed word gives two.
+    ranked = F.struct(F.coalesce("rows", F.lit(1)).alias("rows"), F.col("place"), F.col("key"))
+    gathered = counted.groupBy("id", "low").agg(F.collect_list(ranked).alias("places"))
+
+    def next_apart(taken: Column, _: Column) -> Column:
+        free = F.filter("places", lambda p: ~F.exists(taken, lambda t: F.abs(t["place"] - p["place"]) < size))
+        return F.concat(taken, F.array(F.array_min(free)))
+
+    def up_to_last(taken: Column) -> Column:
+        last = F.array_max(F.transform(taken, _rank))
+
+        def own(last: Column) -> Column:
+            entered = F.filter("places", lambda p: (p["rows"] > 1) & (_rank(p) <= last))
+            return F.struct(
+                taken.alias("taken"), last.alias("last"), entered.alias("entered"),
+                F.array_distinct(F.transform(entered, lambda p: p["key"])).alias("keys"),
+            )
+
+        return _once(last, own)
+
+    own = viewed.select(*_LINE, "guest", "size", low.alias("low"), budget.alias("edits"))
+    joined = gathered.join(own, ["id", "low"])
+    start = F.slice("places", F.lit(1), F.lit(0))
+    taken = F.aggregate(F.sequence(F.lit(0), F.col("edits")), start, next_apart)
+    chosen = stage(joined.select(*_LINE, "edits", "guest", "size", _once(taken, up_to_last).alias("own")), "rare-lines")
+    return chosen.select("*", F.explode("own.keys").alias("key"))
+
+
+def _rank(passage: Column) -> Column:
+    """The order of all passages."""
+    return F.struct(passage["rows"].alias("rows"), passage["key"].alias("key"))
+
+
+def _missing(x: str, y: str) -> Column:
+    """Places of passages taken in one line that the other one does not have near there."""
+    last, k = F.col(f"{y}.own.last"), F.col(f"{x}.edits")
+
+    def there(p: Column) -> Column:
+        return F.exists(
+            F.col(f"{y}.own.entered"), lambda q: (q["key"] == p["key"]) & (F.abs(q["place"] - p["place"]) <= k)
+        )
+
+    gone = F.filter(F.col(f"{x}.own.taken"), lambda p: (p["rows"] == 1) | ((_rank(p) <= last) & ~there(p)))
+    return F.transform(gone, lambda p: p["place"])
+
+
+def _few_missing(x: str, y: str) -> Column:
+    """Whether the passages that one of two lines lacks need no more edits than there may be.
+
+    An edit spoils one of a line's passages that lie apart, and none of the other
+    line's that begins a passage and all the edits further off.
+    """
+    apart, k = F.col(f"{x}.size") + F.col(f"{x}.edits"), F.col(f"{x}.edits")
+
+    def few(here: Column) -> Column:
+        others = F.filter(_missing(y, x), lambda p: ~F.exists(here, lambda q: F.abs(p - q) < apart))
+        return F.size(here) + F.size(others) <= k
+
+    return _once(_missing(x, y), few)
+
+
 def _cut(entries: DataFrame, most: int) -> DataFrame:
     """Entries of each segment of the widest open part, and what is open beside it.
 
@@ -295,12 +391,15 @@ def _guest(parts: Column) -> Column:
 _LINE = ("id", "n", "mark_0", "mark_1")
 
 
-def _met(entries: DataFrame, keys: DataFrame, edits: Edits, labels: DataFrame | None = None) -> DataFrame:
+def _met(
+    entries: DataFrame, keys: DataFrame, edits: Edits, labels: DataFrame | None = None, rare: bool = False
+) -> DataFrame:
     """(a, b) of the lines of these entries that may be linked and are not in one class yet.
 
-    In each part one of the two is as short as its view.
+    In each part one of the two is as short as its view. ``rare`` entries have passages,
+    which are compared last.
     """
-    met = entries.join(keys, "key").select("key", *_LINE, "guest")
+    met = entries.join(keys, "key").select("key", *_LINE, "guest", *(("edits", "size", "own") if rare else ()))
     differ = F.lit(True)
     if labels is not None:
         met = met.join(labels, met["id"] == labels["node"], "left").withColumn("label", F.coalesce("component", "id"))
@@ -308,7 +407,12 @@ def _met(entries: DataFrame, keys: DataFrame, edits: Edits, labels: DataFrame |
     x, y = met.alias("x"), met.alias("y")
     short = F.col("x.guest").bitwiseAND(F.col("y.guest")) == 0
     same = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))
-    joined = x.join(y, same & short & differ & _alike("x", "y", edits))
+    condition = same & short & differ & _alike("x", "y", edits)
+    if rare:
+        # A pair is made at the first of the entries that the two share.
+        once = F.col("x.key") == F.array_min(F.array_intersect("x.own.keys", "y.own.keys"))
+        condition = condition & once & _few_missing("x", "y")
+    joined = x.join(y, condition)
     return joined.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
@@ -331,7 +435,9 @@ def _shared(entries: DataFrame, open_: Column, tied: Column) -> DataFrame:
     many = F.lit(CROWDED) * F.pow(F.lit(CROWDED_TIMES), F.col("edits") - 1)
     crowded = (F.col("rows") > many) & F.col("open")
     return stage(
-        counted.filter("rows > 1").select("key", "first", "tied", crowded.alias("crowded")), "shared-entries"
+        counted.filter("rows > 1").select(
+            "key", "first", "tied", crowded.alias("crowded"), (F.col("rows") > CROWDED).alias("busy")
+        ), "shared-entries"
     )
 
 
@@ -344,8 +450,15 @@ def _pairs(
     lines: DataFrame, entries: DataFrame, shared: DataFrame, edits: Edits, labels: DataFrame | None
 ) -> DataFrame:
     """(a, b): ids of lines that may be linked; ``lines`` has id, content, n and marks."""
-    plain = shared.filter("NOT crowded").select("key")
-    pairs = stage(_met(entries, plain, edits, labels).distinct(), "line-pairs")
+    plain = shared.filter("NOT crowded AND NOT busy").select("key")
+    busy = shared.filter("NOT crowded AND busy").select("key")
+    pairs = _met(entries, plain, edits, labels)
+    if not busy.isEmpty():
+        ids = sized(stage(entries.join(busy, "key", "left_semi").select("id").distinct(), "busy-lines"))
+        rare = _rare(lines.join(ids, "id", "left_semi"), edits)
+        keys = rare.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1").select("key")
+        pairs = pairs.union(_met(rare, keys, edits, labels, rare=True))
+    pairs = stage(pairs.distinct(), "line-pairs")
     crowded = shared.filter("crowded").select("key")
     if crowded.isEmpty():
         return pairs
