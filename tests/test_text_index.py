@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -111,3 +112,57 @@ def test_of_two_writers_one_publishes(spark, tmp_path):
     assert manifest.latest(spark, root) == (3, {"a": 6})
     drafts = [p.name for p in (tmp_path / "versions" / "_versions").iterdir() if "json" not in p.name]
     assert not drafts
+
+
+ODD_TEXTS = (
+    "É–tude «a» 1²3 x_y a\u00a0b e\u0301 İstanbul ǅ 𝔘𝔫 中文,日本 \x85c a\u2028b \x7f\x00z", "-", " ", "", None,
+    "a" * 5_000, "a b\ta\nB;b é É", "١٢ ½ ⅷ ☃snow☃man " * 50, "de de de",
+)
+
+
+def test_words_are_those_of_the_scan(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(text_index, "TEXT_BYTES", 100)
+    monkeypatch.setattr(text_index, "TURNED_WORDS", 5)
+    rows = [(str(i % 8), "c", text) for i, text in enumerate(ODD_TEXTS)] + [(None, "c", "lost words"), ("8", "c", "w")]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    index = text_index.refresh_text_index(docs, str(tmp_path / "index"))
+    found = index.postings.select("resume_id", "token", "tf").collect()
+    expected = match.term_frequencies(docs, "resume_id", F.col("clean_text")).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(map(tuple, expected), key=repr)
+    held = {r["resume_id"]: (r["n"], r["tf"]) for r in index.per_document(F.count("*").alias("n"), F.sum("tf").alias("tf")).collect()}
+    assert held["8"] == (1, 1) and held["6"] == (3, 7) and "1" not in held
+    assert index.documents.count() == len(rows)
+
+
+def test_a_stored_row_holds_several_documents_of_a_token(spark, tmp_path):
+    rows = [(str(i), "c", f"the same of w{i % 7}") for i in range(400)]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    text_index.refresh_text_index(docs, str(tmp_path / "index"))
+    stored = spark.read.parquet(f"{tmp_path}/index/postings/*")
+    assert stored.count() * 10 < 4 * 400
+    assert stored.agg(F.max(F.size("ids")), F.sum(F.size("ids"))).first() == (text_index.HOLDERS, 4 * 400)
+
+
+@pytest.mark.parametrize("most", [1_000_000, 4, 0])
+def test_norms_with_all_some_or_no_words_sent_to_tasks(spark, tmp_path, monkeypatch, most):
+    rows = [(str(i), "c", f"the same w{i % 3} x{i} x{i}") for i in range(6000)] + [("none", "c", "")]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    expected = {r["resume_id"]: round(r["norm"], 9) for r in text_index.refresh_text_index(
+        docs, str(tmp_path / "all")).documents.filter("norm IS NOT NULL").collect()}
+    monkeypatch.setattr(text_index, "fits_broadcast", lambda df: df.count() <= most)
+    monkeypatch.setattr(staging, "BROADCAST_MAX_ROWS", most)
+    documents = text_index.refresh_text_index(docs, str(tmp_path / "index")).documents
+    found = {r["resume_id"]: r["norm"] and round(r["norm"], 9) for r in documents.collect()}
+    assert found == {**expected, "none": None} and len(expected) == 6000
+    x1 = 1 + math.log(6002 / 2)
+    shared = 2 * (1 + math.log(6002 / 6001)) ** 2 + (1 + math.log(6002 / 2001)) ** 2
+    assert found["1"] == pytest.approx(math.sqrt(shared + 4 * x1 * x1))
+
+
+def test_an_index_of_another_layout_is_built_anew(spark, tmp_path):
+    docs, root = some_docs(spark, 3), str(tmp_path / "index")
+    manifest.publish(spark, root, 1, {"segments": ["a"], "state": "b", "n_docs": 1, "former": {}})
+    assert text_index.open_index(spark, root) is None
+    index = text_index.refresh_text_index(docs, root)
+    assert parts(index) == parts(text_index.refresh_text_index(docs, str(tmp_path / "new")))
+    assert manifest.latest(spark, root)[0] == 2

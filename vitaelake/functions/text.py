@@ -135,6 +135,15 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+"), "")
 
 
+def ascii_separated(text: Column) -> Column:
+    """The text in lower case, where between two of its words is an ASCII character.
+
+    Other characters that are no part of a word become spaces. As these are rare, the
+    pattern is told from ASCII first.
+    """
+    return F.regexp_replace(F.lower(text), r"[\x{80}-\x{10FFFF}&&[^\p{L}\p{M}\p{N}]]+", " ")
+
+
 # Markup that carries no text, then the entities; the ampersand comes last so
 # that "&amp;lt;" stays the text "&lt;".
 _MARKUP = (

@@ -2,13 +2,16 @@
 
 ``postings`` hold token, document and frequency, range-partitioned by token and sorted
 by its first bytes, so a match reads only the pages of the question's words; a word of very many
-documents is spread over several files. A refresh writes the words of new and changed
-documents as one more segment. ``documents`` tells for each document which segment
+documents is spread over several files. They are stored as rows of a token and up to
+``HOLDERS`` documents, which are shuffled, sorted and joined in place of single postings.
+``words`` hold the same by document, with spaces between its tokens, so what is asked per
+document meets all its words in one task. A refresh writes the words of new and changed
+documents as one more segment of both. ``documents`` tells for each document which segment
 holds its words now, so older rows count no more, its text's hash, and the length
 (norm) of its vector; ``vocabulary`` holds the documents per token. These two are
-written anew by a refresh, from the last ones and the postings, not from texts.
+written anew by a refresh, from the last ones and the words, not from texts.
 
-A version names the folders of all three, so readers see a refresh whole or not at all.
+A version names the folders of all four, so readers see a refresh whole or not at all.
 The version before stays readable; what only older ones have read is deleted.
 """
 
@@ -16,31 +19,44 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitaelake.config import MATCH_LIMIT_DEFAULT, MATCH_LIMIT_MAX
-from vitaelake.functions.text import snippet
+from vitaelake.functions.text import ascii_separated, snippet
 from vitaelake.operators.match import (
     _DIGITS,
+    COMMON_TERM_SHARE,
     clamp,
     idf,
     term_frequencies,
     text_hash,
     vector_changes,
-    with_df,
 )
 from vitaelake.operators.vectors import score_of
 from vitaelake.sources import manifest
-from vitaelake.sources.staging import by_hash, scope, stage
+from vitaelake.sources.staging import by_hash, fits_broadcast, scope, stage
 
-POSTINGS = "token string, resume_id string, tf int, segment string"
+POSTINGS = "token string, ids array<string>, tfs array<int>"
+WORDS = "resume_id string, text_hash bigint, tokens string, tfs array<int>"
 DOCUMENTS = "resume_id string, text_hash bigint, segment string, norm double"
 VOCABULARY = "token string, df bigint"
 #: With more segments than this, a refresh writes all live postings as one.
 MAX_SEGMENTS = 8
+#: Documents of a stored row of postings. Rows are dealt out by their number, so few
+#: documents a row keep the files nearly even, also where a word is in all documents.
+HOLDERS = 16
+#: Bytes of text that are cut into words at a time, and words that are turned round.
+TEXT_BYTES, TURNED_WORDS = 4 * 1024 * 1024, 4_000_000
+#: Of the folders of a version; an index of another layout is built anew.
+LAYOUT = 2
 
 
 @dataclass(frozen=True)
@@ -48,6 +64,7 @@ class TextIndex:
     """One version of the index: what a match reads."""
 
     postings: DataFrame
+    words: DataFrame
     documents: DataFrame
     vocabulary: DataFrame
     n_docs: int
@@ -64,10 +81,10 @@ class TextIndex:
     def per_document(self, *numbers: Column) -> DataFrame:
         """Aggregates over each document's current words.
 
-        Older words are counted too and left out after: of the postings only a row per
-        document and segment is joined.
+        Older words are counted too and left out after: only a row per document and
+        segment is shuffled and joined.
         """
-        counted = self.postings.groupBy("resume_id", "segment").agg(*numbers)
+        counted = _listed(self.words, "segment").groupBy("resume_id", "segment").agg(*numbers)
         current = self.documents.select("resume_id", "segment")
         return counted.join(current, ["resume_id", "segment"], "left_semi").drop("segment")
 
@@ -75,34 +92,171 @@ class TextIndex:
 def open_index(spark: SparkSession, root: str) -> TextIndex | None:
     """The current version, None where there is none."""
     number, content = manifest.latest(spark, root)
-    return _opened(spark, root, content) if number else None
+    return _opened(spark, root, content) if number and content.get("layout") == LAYOUT else None
 
 
 def _opened(spark: SparkSession, root: str, content: dict) -> TextIndex:
-    parts = [
-        spark.read.schema(POSTINGS).parquet(f"{root}/postings/{name}") for name in content["segments"]
-    ]
-    postings = parts[0]
-    for part in parts[1:]:
-        postings = postings.unionByName(part)
-    state = f"{root}/state/{content['state']}"
+    names, state = content["segments"], f"{root}/state/{content['state']}"
+    named = lambda frame, name: frame.withColumn("segment", F.lit(name))
     return TextIndex(
-        postings,
+        reduce(DataFrame.unionByName, [named(_postings(spark, root, name), name) for name in names]),
+        reduce(DataFrame.unionByName, [named(_words(spark, root, name), name) for name in names]),
         spark.read.schema(DOCUMENTS).parquet(f"{state}/documents"),
         spark.read.schema(VOCABULARY).parquet(f"{state}/vocabulary"),
         content["n_docs"],
-        len(content["segments"]) == 1,
+        len(names) == 1,
     )
 
 
-def _write_segment(terms: DataFrame, root: str, name: str) -> None:
+def _words(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return spark.read.schema(WORDS).parquet(f"{root}/words/{name}")
+
+
+def _postings(spark: SparkSession, root: str, name: str) -> DataFrame:
+    stored = spark.read.schema(POSTINGS).parquet(f"{root}/postings/{name}")
+    # No row is without documents, so the outer form, which tests nothing, does.
+    held = stored.select("token", "tfs", F.posexplode_outer("ids").alias("at", "resume_id"))
+    return held.select("token", "resume_id", F.get("tfs", "at").alias("tf"))
+
+
+def _listed(words: DataFrame, *columns: str) -> DataFrame:
+    """A row per document and word, with ``token`` and ``tf``."""
+    tokens = F.posexplode_outer(F.split("tokens", " ")).alias("at", "token")
+    terms = words.select("resume_id", *columns, "tfs", tokens).filter("token IS NOT NULL")
+    return terms.select("resume_id", *columns, "token", F.get("tfs", "at").alias("tf"))
+
+
+def _slices(batch: pa.RecordBatch, sizes: pa.Array, most: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows that sum up to about ``most``, or exceed it by one row."""
+    total = np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    ends = np.append(np.flatnonzero(np.diff(total // most)) + 1, batch.num_rows)
+    start = 0
+    for end in ends.tolist():
+        if end > start:
+            yield batch.slice(start, end - start)
+        start = end
+
+
+#: A byte of UTF-8, or a space for the ASCII characters that are no part of a word.
+_SPACED = np.array([b if b > 127 or chr(b).isalnum() else 32 for b in range(256)], dtype=np.uint8)
+
+
+def _spaced(texts: pa.Array) -> pa.Array:
+    """Texts whose words have spaces between them."""
+    valid, offsets, data = texts.buffers()
+    if data is None:
+        return texts
+    spaced = pa.py_buffer(_SPACED[np.frombuffer(data, dtype=np.uint8)])
+    return pa.StringArray.from_buffers(len(texts), offsets, spaced, valid, -1, texts.offset)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct words of every text and how often it has them."""
+    for batch in batches:
+        at = batch.schema.get_field_index("text")
+        batch = batch.set_column(at, "text", _spaced(batch.column("text").cast("string")))
+        for part in _slices(batch, pc.binary_length(batch.column("text")), TEXT_BYTES):
+            lists = pc.split_pattern(part.column("text"), " ")
+            n_words = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+            row, words = np.repeat(np.arange(part.num_rows), n_words), lists.flatten()
+            some = pc.not_equal(words, "")
+            row, coded = row[some.to_numpy(zero_copy_only=False)], words.filter(some).dictionary_encode()
+            n_codes = max(len(coded.dictionary), 1)
+            found, tf = np.unique(row * n_codes + coded.indices.to_numpy(), return_counts=True)
+            row, code = np.divmod(found, n_codes)
+            starts = pa.array(np.searchsorted(row, np.arange(part.num_rows + 1)), "int32")
+            tokens = pa.ListArray.from_arrays(starts, coded.dictionary.take(pa.array(code)))
+            joined = pc.binary_join(tokens, " ")
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("resume_id"),
+                    part.column("text_hash"),
+                    pc.if_else(pc.equal(joined, ""), None, joined),
+                    pa.ListArray.from_arrays(starts, pa.array(tf, "int32")),
+                ],
+                ["resume_id", "text_hash", "tokens", "tfs"],
+            )
+
+
+def _terms(
+    batches: Iterator[pa.RecordBatch],
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, pa.Array, np.ndarray]]:
+    """Documents with, for each of their words: row, number, the numbers' words, and tf."""
+    for batch in batches:
+        batch = batch.filter(pc.is_valid(batch.column("tokens")))
+        for part in _slices(batch, pc.list_value_length(batch.column("tfs")), TURNED_WORDS):
+            lists = pc.split_pattern(part.column("tokens"), " ")
+            coded = lists.flatten().dictionary_encode()
+            row = np.repeat(np.arange(part.num_rows), pc.list_value_length(lists).to_numpy())
+            yield part, row, coded.indices.to_numpy(), coded.dictionary, part.column("tfs").flatten().to_numpy()
+
+
+def _turned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of documents as rows of a word and some of the documents that have it."""
+    for part, row, codes, words, tf in _terms(batches):
+        order = np.argsort(codes, kind="stable")
+        codes = codes[order]
+        first = np.flatnonzero(np.diff(codes, prepend=-1))
+        place = np.arange(len(codes)) - np.repeat(first, np.diff(first, append=len(codes)))
+        heads = np.flatnonzero(place % HOLDERS == 0)
+        starts = pa.array(np.append(heads, len(codes)), "int32")
+        holders = part.column("resume_id").take(pa.array(row[order]))
+        yield pa.RecordBatch.from_arrays(
+            [
+                words.take(pa.array(codes[heads])),
+                pa.ListArray.from_arrays(starts, holders),
+                pa.ListArray.from_arrays(starts, pa.array(tf[order])),
+            ],
+            ["token", "ids", "tfs"],
+        )
+
+
+def _weighed_by(known: pa.Table) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Per document the sum of squares over its known words, and the words left over."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = known["token"].combine_chunks()
+        squares = np.append(known["square"].to_numpy(), 0.0)
+        for part, row, codes, words, tf in _terms(batches):
+            at = pc.index_in(words, tokens).fill_null(-1).to_numpy()[codes]
+            sums = np.bincount(row, squares[at] * tf.astype(np.float64) ** 2, part.num_rows)
+            rest = np.flatnonzero(at < 0)
+            starts = pa.array(np.searchsorted(row[rest], np.arange(part.num_rows + 1)), "int32")
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("resume_id"),
+                    part.column("place"),
+                    pa.array(sums),
+                    pa.ListArray.from_arrays(starts, words.take(pa.array(codes[rest]))),
+                    pa.ListArray.from_arrays(starts, pa.array(tf[rest])),
+                ],
+                ["resume_id", "place", "square", "tokens", "tfs"],
+            )
+
+    return run
+
+
+def _write_words(texts: DataFrame, root: str, name: str) -> DataFrame:
+    """The words of a segment by document, also of those without any, as read back."""
+    clean = F.col("clean_text")
+    hashed = texts.select(
+        "resume_id", text_hash(clean).alias("text_hash"), ascii_separated(clean).alias("text")
+    )
+    hashed.mapInArrow(_counted, WORDS).write.parquet(f"{root}/words/{name}")
+    return _words(texts.sparkSession, root, name)
+
+
+def _by_token(words: DataFrame) -> DataFrame:
+    """The same by token, staged."""
+    return stage(words.select("resume_id", "tokens", "tfs").mapInArrow(_turned, POSTINGS), "postings")
+
+
+def _write_postings(by_token: DataFrame, root: str, name: str) -> None:
     """Ranges of token and document, so a frequent token is cut into several files."""
-    rows = terms.select("token", "resume_id", F.col("tf").cast("int").alias("tf"))
-    ranged = rows.repartitionByRange("token", "resume_id")
-    # The name is added after the sort, which else carries it with every row. A whole
-    # number is sorted by its digits, without comparisons of the rows' strings.
+    ranged = by_token.repartitionByRange("token", F.get("ids", 0))
+    # A whole number is sorted by its digits, without comparisons of the rows' strings.
     ordered = ranged.sortWithinPartitions(_first_bytes(F.col("token")))
-    ordered.withColumn("segment", F.lit(name)).write.parquet(f"{root}/postings/{name}")
+    ordered.write.parquet(f"{root}/postings/{name}")
 
 
 def _first_bytes(token: Column) -> Column:
@@ -114,19 +268,39 @@ def _first_bytes(token: Column) -> Column:
     return F.conv(F.hex(padded), 16, 10).cast("bigint")
 
 
-def _norms(postings: DataFrame, vocabulary: DataFrame, n_docs: int, names: list[str]) -> DataFrame:
+def _norms(
+    spark: SparkSession, root: str, names: list[str], vocabulary: DataFrame, n_docs: int
+) -> DataFrame:
     """Length of the vector per document and segment, be its words current or older ones.
 
-    While rows are joined and shuffled a segment goes by its place in ``names``.
+    Tasks get the words of many documents, or all if they are few, and sum these up where
+    the document lies; only the rest is joined by shuffle. A segment goes by its place in
+    ``names``.
     """
-    weight = F.col("tf") * idf(n_docs, F.col("df"))
-    places = F.create_map(*(F.lit(x) for pair in zip(names, range(len(names))) for x in pair))
-    terms = postings.select("resume_id", "token", "tf", places[F.col("segment")].alias("place"))
-    weighted = with_df(terms, vocabulary, n_docs).groupBy("resume_id", "place")
+    many = F.col("df") * COMMON_TERM_SHARE > n_docs
+    known = vocabulary if fits_broadcast(vocabulary) else stage(vocabulary.filter(many), "common-terms")
+    if not fits_broadcast(known):
+        known = known.limit(0)
+    factor = idf(n_docs, F.col("df"))
+    sent = known.select("token", (factor * factor).alias("square")).toArrow()
+    placed = [_words(spark, root, name).withColumn("place", F.lit(i)) for i, name in enumerate(names)]
+    words = reduce(DataFrame.unionByName, placed).select("resume_id", "place", "tokens", "tfs")
+    schema = "resume_id string, place int, square double, tokens array<string>, tfs array<int>"
+    weighed = stage(words.mapInArrow(_weighed_by(sent), schema), "weighed-documents")
+    squares = weighed.select("resume_id", "place", "square")
+    if sent.num_rows < vocabulary.count():
+        rest = vocabulary.filter(~many) if sent.num_rows else vocabulary
+        left = weighed.select("resume_id", "place", "tfs", F.posexplode("tokens").alias("at", "token"))
+        joined = left.select("resume_id", "place", "token", F.get("tfs", "at").alias("tf")).join(
+            by_hash(rest), "token"
+        )
+        weight = F.col("tf") * factor
+        squares = squares.unionByName(
+            joined.select("resume_id", "place", (weight * weight).alias("square"))
+        )
     segment = F.element_at(F.array(*map(F.lit, names)), F.col("place") + 1).alias("segment")
-    return weighted.agg(F.sqrt(F.sum(weight * weight)).alias("norm")).select(
-        "resume_id", segment, "norm"
-    )
+    lengths = squares.groupBy("resume_id", "place").agg(F.sqrt(F.sum("square")).alias("norm"))
+    return lengths.select("resume_id", segment, "norm")
 
 
 def refresh_text_index(docs: DataFrame, root: str) -> TextIndex:
@@ -143,15 +317,16 @@ def refresh_text_index(docs: DataFrame, root: str) -> TextIndex:
 
 def _refreshed(spark: SparkSession, docs: DataFrame, root: str) -> TextIndex:
     number, content = manifest.latest(spark, root)
-    old = _opened(spark, root, content) if number else None
+    old = open_index(spark, root)
     name, state = f"{number + 1:012d}-{uuid.uuid4().hex}", uuid.uuid4().hex
-    hashed = docs.select("resume_id", text_hash(F.col("clean_text")).alias("text_hash"))
     texts = docs.select("resume_id", "clean_text")
+    per_token = lambda rows, df: rows.groupBy("token").agg(df.alias("df"))
 
     if old is None:
-        terms = stage(term_frequencies(texts, "resume_id", F.col("clean_text")), "terms")
-        documents = stage(hashed.withColumn("segment", F.lit(name)), "indexed-documents")
-        vocabulary = terms.groupBy("token").agg(F.count("*").alias("df"))
+        words = _write_words(texts, root, name)
+        by_token = _by_token(words)
+        documents = words.select("resume_id", "text_hash", F.lit(name).alias("segment"))
+        vocabulary = per_token(by_token, F.sum(F.size("tfs")))
         segments = [name]
     else:
         changes = stage(vector_changes(docs, old.documents), "index-changes")
@@ -159,46 +334,49 @@ def _refreshed(spark: SparkSession, docs: DataFrame, root: str) -> TextIndex:
             return old
         due = by_hash(changes.filter("action <> 'removed'").select("resume_id"))
         gone = by_hash(changes.filter("action <> 'new'").select("resume_id"))
-        changed = texts.join(due, "resume_id", "left_semi")
-        terms = stage(term_frequencies(changed, "resume_id", F.col("clean_text")), "terms")
-        fresh = hashed.join(due, "resume_id", "left_semi").withColumn("segment", F.lit(name))
+        words = _write_words(texts.join(due, "resume_id", "left_semi"), root, name)
+        by_token = _by_token(words)
+        fresh = words.select("resume_id", "text_hash", F.lit(name).alias("segment"))
         kept = old.documents.drop("norm").join(
             by_hash(changes.select("resume_id")), "resume_id", "left_anti"
         )
         documents = stage(kept.unionByName(fresh), "indexed-documents")
-        lost = old.live_postings().join(gone, "resume_id", "left_semi")
+        # Of a document that goes its words are joined as one row.
+        going = old.documents.join(gone, "resume_id", "left_semi").select("resume_id", "segment")
+        going = by_hash(stage(going, "going-documents"))
+        lost = old.words.select("resume_id", "segment", "tokens", "tfs").join(
+            going, ["resume_id", "segment"], "left_semi"
+        )
+        lost = _listed(lost)
         vocabulary = (
-            old.vocabulary.unionByName(terms.groupBy("token").agg(F.count("*").alias("df")))
-            .unionByName(lost.groupBy("token").agg((-F.count("*")).alias("df")))
+            old.vocabulary.unionByName(per_token(by_token, F.sum(F.size("tfs"))))
+            .unionByName(per_token(lost, -F.count("*")))
             .groupBy("token")
             .agg(F.sum("df").alias("df"))
             .filter("df > 0")
         )
         segments = [*content["segments"], name]
 
-    _write_segment(terms, root, name)
     vocabulary.select("token", "df").sort("token").write.parquet(f"{root}/state/{state}/vocabulary")
     vocabulary = spark.read.schema(VOCABULARY).parquet(f"{root}/state/{state}/vocabulary")
     n_docs = documents.count()
-    if old is None:
-        every = terms.withColumn("segment", F.lit(name))
-    else:
-        every = _opened(spark, root, {**content, "segments": segments}).postings
     if len(segments) > MAX_SEGMENTS:
-        current = documents.select("resume_id", "segment")
-        live = stage(every.join(by_hash(current), ["resume_id", "segment"], "left_semi"), "live-postings")
-        manifest.delete(spark, f"{root}/postings/{name}")  # no version has named it
-        name = f"{number + 1:012d}-{uuid.uuid4().hex}"
-        _write_segment(live, root, name)
-        documents, segments = documents.withColumn("segment", F.lit(name)), [name]
-        every = live.withColumn("segment", F.lit(name))
-    norms = _norms(every, vocabulary, n_docs, segments)
+        every = [_words(spark, root, s).withColumn("segment", F.lit(s)) for s in segments]
+        current = by_hash(documents.select("resume_id", "segment"))
+        live = reduce(DataFrame.unionByName, every).join(current, ["resume_id", "segment"], "left_semi")
+        one = f"{number + 1:012d}-{uuid.uuid4().hex}"
+        live.drop("segment").write.parquet(f"{root}/words/{one}")
+        manifest.delete(spark, f"{root}/words/{name}")  # no version has named it
+        name, segments, by_token = one, [one], _by_token(_words(spark, root, one))
+        documents = documents.withColumn("segment", F.lit(one))
+    _write_postings(by_token, root, name)
+    norms = _norms(spark, root, segments, vocabulary, n_docs)
     normed = documents.join(norms, ["resume_id", "segment"], "left")
     normed.select("resume_id", "text_hash", "segment", "norm").write.parquet(
         f"{root}/state/{state}/documents"
     )
     former = {name: content.get(name) for name in ("segments", "state")}
-    new = {"segments": segments, "state": state, "n_docs": n_docs, "former": former}
+    new = {"layout": LAYOUT, "segments": segments, "state": state, "n_docs": n_docs, "former": former}
     manifest.publish(spark, root, number + 1, new)
     _clean(spark, root, content, segments)
     return _opened(spark, root, new)
@@ -211,7 +389,8 @@ def _clean(spark: SparkSession, root: str, content: dict, segments: list[str]) -
         manifest.delete(spark, f"{root}/state/{older['state']}")
     for name in older.get("segments") or []:
         if name not in content["segments"] and name not in segments:
-            manifest.delete(spark, f"{root}/postings/{name}")
+            for kind in ("postings", "words"):
+                manifest.delete(spark, f"{root}/{kind}/{name}")
 
 
 def match_index(
