@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vitaelake.operators import shortlist, text_index, vectors
 from vitaelake.plans import queries
 from vitaelake.sources import manifest, staging
-from vitaelake.sources.landing import empty_files, file_session
+from vitaelake.sources.landing import empty_files, file_session, read_landing
 
 
 def test_files_are_listed_without_a_task_or_a_process_per_file(spark, tmp_path):
@@ -109,3 +109,43 @@ def test_a_compacted_file_is_bounded(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(shortlist, "COMPACTED_FILE_BYTES", int(size / 1.9))
     shortlist.compact_actions(spark, log)
     assert len(list((tmp_path / "log" / "_compacted").rglob("*.parquet"))) == 2
+
+
+def test_pages_land_in_local_folders_without_a_process_a_file(spark, tmp_path):
+    rows = [(i, f"<p>é {i}</p>" if i % 4 else None) for i in range(40)] + [(7, "<p>é 7</p>"), (8, "a\nb")]
+    pages = spark.createDataFrame(rows, "page_id long, html string").repartition(3)
+    folder = tmp_path / "files"
+    queries._landed(pages, f"file://{folder}", days_ago=40)
+    queries._landed(pages.limit(0), f"file://{folder}")
+    found = [p for p in folder.rglob("*") if p.is_file()]
+    # Spark's writer leaves a checksum beside each file and sets the rights of both.
+    assert len(found) == len(rows) and all(p.suffix == ".txt" for p in found)
+    expected = sorted((f"topic=topic{i % 3}", f"{html or ''}\n") for i, html in rows)
+    assert sorted((p.parent.name, p.read_text()) for p in found) == expected
+    assert all(abs(time.time() - 40 * 86_400 - p.stat().st_mtime) < 600 for p in found)
+    assert not list((tmp_path / "files-drafts").iterdir())
+    queries._landed(pages.limit(0), str(tmp_path / "none"))
+    assert not list((tmp_path / "none").iterdir())
+
+
+def test_a_task_reads_more_than_a_few_small_files(spark, tmp_path):
+    for i in range(2000):
+        (tmp_path / f"{i}.txt").write_bytes(b"x")
+    files = read_landing(spark, str(tmp_path), "txt")
+    assert files.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    assert files.count() == 2000
+
+
+def test_empty_files_of_a_local_folder_cost_no_call_each(spark, tmp_path, monkeypatch):
+    names = ("a b/1.txt", "a b/2%20.txt", "ä/x/3.txt", "a b/.4.txt.crc", "a b/.5.txt", "6.md", "a b/7.txt")
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"7" if "7" in name else b"")
+    (tmp_path / "gone.txt").symlink_to(tmp_path / "nowhere")
+    listed = {(s.getPath().toString(), s.getLen()) for s in manifest.files(spark, str(tmp_path))}
+    for root in (str(tmp_path), f"file://{tmp_path}/"):
+        assert set(manifest.lengths(spark, root, "")) == listed
+    empty = {path for path, length in listed if length == 0 and path.endswith(".txt")}
+    assert len(empty) == 4
+    monkeypatch.setattr(manifest, "files", None)
+    assert {r["path"] for r in empty_files(spark, str(tmp_path), "txt").collect()} == empty
