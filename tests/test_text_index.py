@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,3 +167,25 @@ def test_an_index_of_another_layout_is_built_anew(spark, tmp_path):
     index = text_index.refresh_text_index(docs, root)
     assert parts(index) == parts(text_index.refresh_text_index(docs, str(tmp_path / "new")))
     assert manifest.latest(spark, root)[0] == 2
+
+
+def test_ranges_of_postings_are_in_the_order_of_tokens_and_even(spark, tmp_path, monkeypatch):
+    rows = [(str(i), "c", f"the w{i % 997:03d} été of {'中文' if i % 2 else 'zz'}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    words = text_index._write_words(docs, str(tmp_path / "index"), "a")
+    tokens = spark.createDataFrame([(t,) for t in ["", "abcdefgh", "é", "w001", "𝔘x"]], "token string")
+    expected = [r["n"] for r in tokens.select(text_index._first_bytes(F.col("token")).alias("n")).collect()]
+    assert text_index._numbers(pa.array([r["token"] for r in tokens.collect()])).tolist() == expected
+    assert text_index._numbers(pa.array(["x", "é", "b"])[1:]).tolist()[0] == expected[2]
+    monkeypatch.setattr(text_index, "RANGE_BYTES", text_index.estimated_bytes(words) // 9)
+    monkeypatch.setattr(text_index, "SAMPLED", 500)
+    stored = text_index._write_postings(words, str(tmp_path / "index"), "a")
+    numbered = stored.select(
+        F.input_file_name().alias("file"), F.size("ids").alias("n"), text_index._first_bytes(F.col("token")).alias("at")
+    )
+    ranges = sorted((r["a"], r["b"], r["n"]) for r in numbered.groupBy("file").agg(
+        F.min("at").alias("a"), F.max("at").alias("b"), F.sum("n").alias("n")).collect())
+    assert sum(n for _, _, n in ranges) == 10_000 and len(ranges) >= 8
+    assert all(before[1] <= after[0] for before, after in zip(ranges, ranges[1:]))
+    # "the", "of" and "été" are in all documents; each fills ranges of its own.
+    assert max(n for _, _, n in ranges) < 2000

@@ -42,7 +42,7 @@ from vitaelake.operators.match import (
 )
 from vitaelake.operators.vectors import score_of
 from vitaelake.sources import manifest
-from vitaelake.sources.staging import by_hash, fits_broadcast, scope, stage
+from vitaelake.sources.staging import by_hash, estimated_bytes, fits_broadcast, scope, stage
 
 POSTINGS = "token string, ids array<string>, tfs array<int>"
 WORDS = "resume_id string, text_hash bigint, tokens string, tfs array<int>"
@@ -50,9 +50,10 @@ DOCUMENTS = "resume_id string, text_hash bigint, segment string, norm double"
 VOCABULARY = "token string, df bigint"
 #: With more segments than this, a refresh writes all live postings as one.
 MAX_SEGMENTS = 8
-#: Documents of a stored row of postings. Rows are dealt out by their number, so few
-#: documents a row keep the files nearly even, also where a word is in all documents.
+#: Documents of a stored row of postings; a word of very many has rows enough to be spread.
 HOLDERS = 16
+#: Bytes of words whose postings make one range, and documents that the ranges are told by.
+RANGE_BYTES, SAMPLED = 16 * 1024 * 1024, 20_000
 #: Bytes of text that are cut into words at a time, and words that are turned round.
 TEXT_BYTES, TURNED_WORDS = 4 * 1024 * 1024, 4_000_000
 #: Of the folders of a version; an index of another layout is built anew.
@@ -191,24 +192,51 @@ def _terms(
             yield part, row, coded.indices.to_numpy(), coded.dictionary, part.column("tfs").flatten().to_numpy()
 
 
-def _turned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of documents as rows of a word and some of the documents that have it."""
-    for part, row, codes, words, tf in _terms(batches):
-        order = np.argsort(codes, kind="stable")
-        codes = codes[order]
-        first = np.flatnonzero(np.diff(codes, prepend=-1))
-        place = np.arange(len(codes)) - np.repeat(first, np.diff(first, append=len(codes)))
-        heads = np.flatnonzero(place % HOLDERS == 0)
-        starts = pa.array(np.append(heads, len(codes)), "int32")
-        holders = part.column("resume_id").take(pa.array(row[order]))
-        yield pa.RecordBatch.from_arrays(
-            [
-                words.take(pa.array(codes[heads])),
-                pa.ListArray.from_arrays(starts, holders),
-                pa.ListArray.from_arrays(starts, pa.array(tf[order])),
-            ],
-            ["token", "ids", "tfs"],
-        )
+def _numbers(words: pa.Array) -> np.ndarray:
+    """``_first_bytes`` of the words."""
+    spans, data = words.buffers()[1:]
+    spans = np.frombuffer(spans, dtype=np.int32)[words.offset : words.offset + len(words) + 1]
+    data = np.append(np.frombuffer(data or b"", dtype=np.uint8), np.uint8(0))
+    numbers = np.zeros(len(words), dtype=np.int64)
+    for i in range(7):
+        at = spans[:-1] + i
+        inside = at < spans[1:]
+        numbers = numbers * 256 + np.where(inside, data[np.where(inside, at, 0)], 0)
+    return numbers
+
+
+def _turned_by(
+    bounds: np.ndarray,
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The words of documents as rows of a word and some of the documents that have it.
+
+    ``part`` is the range of the word; the rows of one that fills several ranges take turns.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, row, codes, words, tf in _terms(batches):
+            numbers = _numbers(words)
+            lowest = np.searchsorted(bounds, numbers)
+            ranges = np.searchsorted(bounds, numbers, "right") - lowest + 1
+            order = np.argsort(codes, kind="stable")
+            codes = codes[order]
+            first = np.flatnonzero(np.diff(codes, prepend=-1))
+            place = np.arange(len(codes)) - np.repeat(first, np.diff(first, append=len(codes)))
+            heads = np.flatnonzero(place % HOLDERS == 0)
+            starts = pa.array(np.append(heads, len(codes)), "int32")
+            holders = part.column("resume_id").take(pa.array(row[order]))
+            at = codes[heads]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    words.take(pa.array(at)),
+                    pa.ListArray.from_arrays(starts, holders),
+                    pa.ListArray.from_arrays(starts, pa.array(tf[order])),
+                    pa.array(lowest[at] + np.arange(len(at)) % ranges[at], "int32"),
+                ],
+                ["token", "ids", "tfs", "part"],
+            )
+
+    return run
 
 
 def _weighed_by(known: pa.Table) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -246,17 +274,33 @@ def _write_words(texts: DataFrame, root: str, name: str) -> DataFrame:
     return _words(texts.sparkSession, root, name)
 
 
-def _by_token(words: DataFrame) -> DataFrame:
-    """The same by token, staged."""
-    return stage(words.select("resume_id", "tokens", "tfs").mapInArrow(_turned, POSTINGS), "postings")
+def _bounds(words: DataFrame, n_ranges: int) -> np.ndarray:
+    """Numbers of tokens that cut the postings into ranges of about one size."""
+    n_rows = words.count()
+    some = words.sample(min(1.0, SAMPLED / n_rows), 7) if n_rows > SAMPLED else words
+    tokens = some.select(F.explode_outer(F.split("tokens", " ")).alias("token"))
+    shares = [i / n_ranges for i in range(1, n_ranges)]
+    if not shares:
+        return np.empty(0, dtype=np.int64)
+    # Accuracy beyond the ranges, so that a word's share is met.
+    found = tokens.select(_first_bytes(F.col("token")).alias("n")).agg(
+        F.percentile_approx("n", shares, max(10_000, 20 * n_ranges)).alias("n")
+    )
+    return np.array(found.first()["n"] or [], dtype=np.int64)
 
 
-def _write_postings(by_token: DataFrame, root: str, name: str) -> None:
-    """Ranges of token and document, so a frequent token is cut into several files."""
-    ranged = by_token.repartitionByRange("token", F.get("ids", 0))
+def _write_postings(words: DataFrame, root: str, name: str) -> DataFrame:
+    """Ranges of token, of which a frequent token fills several; its rows by token."""
+    spark = words.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    n_ranges = max(-(-estimated_bytes(words) // RANGE_BYTES), min(cores, words.count() // HOLDERS), 1)
+    turn = _turned_by(_bounds(words, n_ranges))
+    rows = words.select("resume_id", "tokens", "tfs").mapInArrow(turn, f"{POSTINGS}, part int")
+    ranged = rows.repartitionById(n_ranges, F.col("part")).drop("part")
     # A whole number is sorted by its digits, without comparisons of the rows' strings.
     ordered = ranged.sortWithinPartitions(_first_bytes(F.col("token")))
     ordered.write.parquet(f"{root}/postings/{name}")
+    return spark.read.schema(POSTINGS).parquet(f"{root}/postings/{name}")
 
 
 def _first_bytes(token: Column) -> Column:
@@ -324,9 +368,7 @@ def _refreshed(spark: SparkSession, docs: DataFrame, root: str) -> TextIndex:
 
     if old is None:
         words = _write_words(texts, root, name)
-        by_token = _by_token(words)
         documents = words.select("resume_id", "text_hash", F.lit(name).alias("segment"))
-        vocabulary = per_token(by_token, F.sum(F.size("tfs")))
         segments = [name]
     else:
         changes = stage(vector_changes(docs, old.documents), "index-changes")
@@ -335,7 +377,6 @@ def _refreshed(spark: SparkSession, docs: DataFrame, root: str) -> TextIndex:
         due = by_hash(changes.filter("action <> 'removed'").select("resume_id"))
         gone = by_hash(changes.filter("action <> 'new'").select("resume_id"))
         words = _write_words(texts.join(due, "resume_id", "left_semi"), root, name)
-        by_token = _by_token(words)
         fresh = words.select("resume_id", "text_hash", F.lit(name).alias("segment"))
         kept = old.documents.drop("norm").join(
             by_hash(changes.select("resume_id")), "resume_id", "left_anti"
@@ -347,16 +388,20 @@ def _refreshed(spark: SparkSession, docs: DataFrame, root: str) -> TextIndex:
         lost = old.words.select("resume_id", "segment", "tokens", "tfs").join(
             going, ["resume_id", "segment"], "left_semi"
         )
-        lost = _listed(lost)
+        segments = [*content["segments"], name]
+
+    if len(segments) <= MAX_SEGMENTS:
+        vocabulary = per_token(_write_postings(words, root, name), F.sum(F.size("tfs")))
+    else:
+        vocabulary = per_token(_listed(words), F.count("*"))
+    if old is not None:
         vocabulary = (
-            old.vocabulary.unionByName(per_token(by_token, F.sum(F.size("tfs"))))
-            .unionByName(per_token(lost, -F.count("*")))
+            old.vocabulary.unionByName(vocabulary)
+            .unionByName(per_token(_listed(lost), -F.count("*")))
             .groupBy("token")
             .agg(F.sum("df").alias("df"))
             .filter("df > 0")
         )
-        segments = [*content["segments"], name]
-
     vocabulary.select("token", "df").sort("token").write.parquet(f"{root}/state/{state}/vocabulary")
     vocabulary = spark.read.schema(VOCABULARY).parquet(f"{root}/state/{state}/vocabulary")
     n_docs = documents.count()
@@ -367,9 +412,9 @@ def _refreshed(spark: SparkSession, docs: DataFrame, root: str) -> TextIndex:
         one = f"{number + 1:012d}-{uuid.uuid4().hex}"
         live.drop("segment").write.parquet(f"{root}/words/{one}")
         manifest.delete(spark, f"{root}/words/{name}")  # no version has named it
-        name, segments, by_token = one, [one], _by_token(_words(spark, root, one))
+        segments = [one]
         documents = documents.withColumn("segment", F.lit(one))
-    _write_postings(by_token, root, name)
+        _write_postings(_words(spark, root, one), root, one)
     norms = _norms(spark, root, segments, vocabulary, n_docs)
     normed = documents.join(norms, ["resume_id", "segment"], "left")
     normed.select("resume_id", "text_hash", "segment", "norm").write.parquet(
