@@ -53,7 +53,9 @@ MAX_SEGMENTS = 8
 #: Documents of a stored row of postings; a word of very many has rows enough to be spread.
 HOLDERS = 16
 #: Bytes of words whose postings make one range, and documents that the ranges are told by.
-RANGE_BYTES, SAMPLED = 16 * 1024 * 1024, 20_000
+RANGE_BYTES, SAMPLED = 10 * 1024 * 1024, 20_000
+#: Of words and postings, which are long and much alike.
+CODEC = "zstd"
 #: Bytes of text that are cut into words at a time, and words that are turned round.
 TEXT_BYTES, TURNED_WORDS = 4 * 1024 * 1024, 4_000_000
 #: Of the folders of a version; an index of another layout is built anew.
@@ -270,7 +272,7 @@ def _write_words(texts: DataFrame, root: str, name: str) -> DataFrame:
     hashed = texts.select(
         "resume_id", text_hash(clean).alias("text_hash"), ascii_separated(clean).alias("text")
     )
-    hashed.mapInArrow(_counted, WORDS).write.parquet(f"{root}/words/{name}")
+    hashed.mapInArrow(_counted, WORDS).write.parquet(f"{root}/words/{name}", compression=CODEC)
     return _words(texts.sparkSession, root, name)
 
 
@@ -299,7 +301,7 @@ def _write_postings(words: DataFrame, root: str, name: str) -> DataFrame:
     ranged = rows.repartitionById(n_ranges, F.col("part")).drop("part")
     # A whole number is sorted by its digits, without comparisons of the rows' strings.
     ordered = ranged.sortWithinPartitions(_first_bytes(F.col("token")))
-    ordered.write.parquet(f"{root}/postings/{name}")
+    ordered.write.parquet(f"{root}/postings/{name}", compression=CODEC)
     return spark.read.schema(POSTINGS).parquet(f"{root}/postings/{name}")
 
 
@@ -410,7 +412,7 @@ def _refreshed(spark: SparkSession, docs: DataFrame, root: str) -> TextIndex:
         current = by_hash(documents.select("resume_id", "segment"))
         live = reduce(DataFrame.unionByName, every).join(current, ["resume_id", "segment"], "left_semi")
         one = f"{number + 1:012d}-{uuid.uuid4().hex}"
-        live.drop("segment").write.parquet(f"{root}/words/{one}")
+        live.drop("segment").write.parquet(f"{root}/words/{one}", compression=CODEC)
         manifest.delete(spark, f"{root}/words/{name}")  # no version has named it
         segments = [one]
         documents = documents.withColumn("segment", F.lit(one))
